@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.session import ship_package
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
@@ -52,6 +54,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
                 if out is not None and out.num_rows:
                     yield out
 
+    ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

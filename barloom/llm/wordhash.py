@@ -51,8 +51,11 @@ def separator_table(separators: bytes) -> np.ndarray:
     return table
 
 
-def _hash_piece(data: np.ndarray, breaks: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, start and end of each word in data; words also end at the offsets in breaks."""
+def _hash_piece(data: np.ndarray, breaks: np.ndarray, table: np.ndarray, stems: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Hash and start of each word in data, and for each of stems the hashes of the words' first bytes.
+
+    Words also end at the offsets in breaks.
+    """
     n = len(data)
     inside = ~table[data]
     first = inside.copy()
@@ -65,7 +68,9 @@ def _hash_piece(data: np.ndarray, breaks: np.ndarray, table: np.ndarray) -> tupl
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[data] * _power(_BASE, n)[:n], out=total[1:])
-    return mix((total[end] - total[start]) * _power(_INVERSE, n + 1)[start]), start, end
+    back = _power(_INVERSE, n + 1)[start]
+    begun = [mix((total[np.minimum(end, start + k)] - total[start]) * back + _SHORT[k]) for k in stems]
+    return mix((total[end] - total[start]) * back), start, begun
 
 
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -86,14 +91,20 @@ def blocks(offsets: np.ndarray, most: int = BLOCK) -> Iterator[tuple[int, int]]:
 
 def word_hashes(col: pa.Array, separators: bytes = SPACES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For ranges of rows lo..hi: the hashes of all their words, and each row's offset among them."""
+    for lo, hi, h, at, _ in stem_hashes(col, separators, ()):
+        yield lo, hi, h, at
+
+
+def stem_hashes(col: pa.Array, separators: bytes, stems: tuple[int, ...]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """As word_hashes, and for each length in stems the hashes of the words' first so many bytes."""
     data, offsets = buffers(col)
     table = separator_table(separators)
     for lo, hi in blocks(offsets):
         base, stop = int(offsets[lo]), int(offsets[hi])
         bounds = offsets[lo : hi + 1] - base
         if stop - base <= BLOCK:
-            h, start, _ = _hash_piece(data[base:stop], bounds, table)
-            yield lo, hi, h, np.searchsorted(start, bounds, "left")
+            h, start, begun = _hash_piece(data[base:stop], bounds, table, stems)
+            yield lo, hi, h, np.searchsorted(start, bounds, "left"), begun
         else:  # one long row
             parts, at = [], base
             while at < stop:
@@ -105,10 +116,10 @@ def word_hashes(col: pa.Array, separators: bytes = SPACES) -> Iterator[tuple[int
                     else:  # a word longer than a block
                         ahead = np.flatnonzero(table[data[end:stop]])
                         end = end + int(ahead[0]) + 1 if len(ahead) else stop
-                parts.append(_hash_piece(data[at:end], np.zeros(0, np.int64), table)[0])
+                parts.append(_hash_piece(data[at:end], np.zeros(0, np.int64), table, stems))
                 at = end
-            h = np.concatenate(parts)
-            yield lo, hi, h, np.array([0, len(h)])
+            h = np.concatenate([p[0] for p in parts])
+            yield lo, hi, h, np.array([0, len(h)]), [np.concatenate([p[2][k] for p in parts]) for k in range(len(stems))]
 
 
 def grams(h: np.ndarray, offsets: np.ndarray, n: int, short: bool = False) -> tuple[np.ndarray, np.ndarray]:
