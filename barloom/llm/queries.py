@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from barloom.llm.exact_dedup import exact_dedup
+from barloom.llm.packing import pack
 from barloom.llm.quality import quality_scores
 from barloom.llm.toxicity import toxicity_scores
 
@@ -15,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -30,6 +35,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_packing": op3_packing,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_toxicity": op8_toxicity,
 }

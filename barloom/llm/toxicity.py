@@ -82,17 +82,18 @@ class Weights:
 
 def fit_weights(col: pa.Array, y: np.ndarray, epochs: int = 6, bits: int = BITS, seed: int = 7) -> Weights:
     """Several passes in a fixed random order. Without rows every score is 0.5."""
-    docs: list[np.ndarray] = []
-    for lo, hi, cells, rows in features(col, bits):
-        one = np.unique(rows * np.int64(1 << bits) + cells)
-        ends = np.searchsorted(one >> bits, np.arange(hi - lo + 1))
-        cell = (one & ((1 << bits) - 1)).astype(np.int32)
-        docs += [cell[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-    # A cell in a single document tells nothing about others.
+    def present():
+        for lo, hi, cells, rows in features(col, bits):
+            one = np.unique(rows * np.int64(1 << bits) + cells)
+            ends = np.searchsorted(one >> bits, np.arange(hi - lo + 1))
+            cell = (one & ((1 << bits) - 1)).astype(np.int32)
+            yield from (cell[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True))
+
+    # A cell in one or two documents tells little about others. Two passes, so that rare cells aren't kept.
     seen = np.zeros(1 << bits, np.int32)
-    for d in docs:
+    for d in present():
         seen[d] += 1
-    docs = [d[seen[d] > 2] for d in docs]
+    docs = [d[seen[d] > 2] for d in present()]
     model, order = Ftrl(bits), np.random.Generator(np.random.PCG64(seed))
     for _ in range(epochs):
         for i in order.permutation(len(docs)):
