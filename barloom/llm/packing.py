@@ -23,7 +23,7 @@ from barloom.llm import tokens
 from barloom.llm.common import map_arrow, narrow, stored, texts
 
 #: Rests of one length and salt that a single task ranks, about.
-RANKED_AT_ONCE = 50_000
+RANKED_AT_ONCE = 2_000
 
 
 def price_column(value: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:

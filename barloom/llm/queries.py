@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barloom.llm import chat, licenses
+from barloom.llm.decontam import leaks
 from barloom.llm.exact_dedup import exact_dedup
+from barloom.llm.language import languages
 from barloom.llm.packing import pack
 from barloom.llm.quality import quality_scores
 from barloom.llm.toxicity import toxicity_scores
@@ -20,27 +24,72 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_conversations(rows.unionByName(extra)))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(_table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_packing": op3_packing,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_language_id": op6_language_id,
+    "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
 }
 
+def _escaped(text: str) -> str:
+    """The template's escaping as a DuckDB expression."""
+    for first in ("<", "["):
+        rest = "|".join(re.escape(c[1:]) for c in chat.CONTROLS if c[0] == first)
+        text = rf"regexp_replace({text}, '({re.escape(first)})(\\*(?:{rest}))', '\1\\\2', 'g')"
+    return text
+
+
 SQL: dict[str, str] = {
+    "op1_license_scan": licenses.duckdb_sql(),
+    "op4_chat_formatting": rf"""
+        WITH r AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               sum(length({_escaped('role')}) + length({_escaped('text')}) + {len('<|turn|><|text|><|end|>')})::BIGINT AS formatted_chars
+        FROM r GROUP BY conv_id
+    """,
     "op5_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
