@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barloom.llm import chat, licenses
 from barloom.llm.decontam import leaks
 from barloom.llm.exact_dedup import exact_dedup
+from barloom.llm.jaccard_join import jaccard_components
 from barloom.llm.language import languages
 from barloom.llm.packing import pack
 from barloom.llm.quality import quality_scores
@@ -56,6 +57,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_classifier": op2_quality_classifier,
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 def _escaped(text: str) -> str:
