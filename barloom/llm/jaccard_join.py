@@ -331,3 +331,13 @@ def jaccard_components(df: DataFrame, words: int = WORDS, percent: int = PERCENT
     class. Other columns are ignored; an empty table gives an empty result.
     """
     return Join(df, words, percent).run()
+
+
+def one_of_each(df: DataFrame) -> DataFrame:
+    """The rows of df that stay when each component keeps the row with its smallest doc_id, with all columns.
+
+    Texts without words stay. Where ids repeat (or are null), rows of one id stay together if any does.
+    """
+    found = jaccard_components(df)
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays")).distinct()
+    return df.join(stored(stay, "stay"), F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
