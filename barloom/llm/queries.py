@@ -12,6 +12,7 @@ from barloom.llm.decontam import leaks
 from barloom.llm.exact_dedup import exact_dedup
 from barloom.llm.jaccard_join import jaccard_components
 from barloom.llm.language import languages
+from barloom.llm.lm_score import lm_scores
 from barloom.llm.packing import pack
 from barloom.llm.quality import quality_scores
 from barloom.llm.toxicity import toxicity_scores
@@ -57,6 +58,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
