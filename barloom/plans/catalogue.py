@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from barloom.plans import aggregates, indicators, incremental, joining, research, tables, windowed  # noqa: F401
+from barloom.plans.registry import QUERIES, SQL  # noqa: F401
