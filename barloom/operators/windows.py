@@ -24,6 +24,13 @@ def rolling(fn: Callable[[Column], Column], x: Column, w: WindowSpec, n: int) ->
     return full(fn(x).over(rows(w, n)), x, w, n)
 
 
+def correlation(x: Column, y: Column, w: WindowSpec, n: int) -> Column:
+    """Correlation over the last n rows; null where either doesn't vary."""
+    f = rows(w, n)
+    sx, sy = F.stddev_pop(x).over(f), F.stddev_pop(y).over(f)
+    return full(F.when((sx > 1e-12) & (sy > 1e-12), F.covar_pop(x, y).over(f) / (sx * sy)), x, w, n)
+
+
 def gap_clusters(df: DataFrame, keys: list[str], ts: str, seconds: int) -> DataFrame:
     """df with cluster: a new one begins where the gap to the row before is longer than so many seconds."""
     w = Window.partitionBy(*keys).orderBy(ts)

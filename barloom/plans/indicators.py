@@ -10,7 +10,7 @@ from barloom.functions import indicators as I
 from barloom.functions import recursive
 from barloom.functions.derived import cross_code, position, session_opening, swing
 from barloom.operators import bars as B
-from barloom.operators.windows import full, masked, rolling, rows
+from barloom.operators.windows import correlation, full, masked, rolling, rows
 from barloom.plans import market
 from barloom.plans.registry import query
 
@@ -448,9 +448,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     df = base(spark, sf_dir).withColumns({"dp": c() - c("prev_close"), "dv": (c("volume") - F.lag("volume").over(W())).cast("double")})
-    w = rows(W(), 20)
-    varied = (F.stddev_pop("dp").over(w) > 1e-12) & (F.stddev_pop("dv").over(w) > 1e-12)
-    return df.withColumns({"price_volume_corr_20": full(F.when(varied, F.corr("dp", "dv").over(w)), c("dp"), W(), 20), "divergence_score": I.slope_degrees(W(), 20) - I.slope_degrees(W(), 20, c("volume"))})
+    return df.withColumns({"price_volume_corr_20": correlation(c("dp"), c("dv"), W(), 20), "divergence_score": I.slope_degrees(W(), 20) - I.slope_degrees(W(), 20, c("volume"))})
 
 
 @query(
