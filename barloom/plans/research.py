@@ -1 +1,402 @@
-"""Queries."""
+"""Continuous series, signals, simulation money, ranking, reconciliation queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from barloom.operators import ledger, quality, roll, scoring, signals
+from barloom.operators.research import parameter_grid
+from barloom.plans import market
+from barloom.plans.indicators import CTE as BASE_CTE
+from barloom.plans.indicators import W, agg, base, lag, o
+from barloom.plans.market import table
+from barloom.plans.registry import query
+from barloom.functions import indicators as I
+
+# --- continuous series ----------------------------------------------------------------------------
+
+
+@query(
+    "roll_calendar",
+    "instrument_id ts:t active",
+    """SELECT c.instrument_id, c.ts, arg_min(l.contract_id, l.maturity) AS active FROM (SELECT DISTINCT instrument_id, ts FROM daily) c
+        JOIN (SELECT contract_id, any_value(instrument_id) AS instrument_id, any_value(maturity) AS maturity, min(ts) AS first_ts,
+              CASE WHEN any_value(maturity) < 2 THEN list_sort(list(ts))[greatest(1, count(*) - 2 - 8 * (1 - any_value(maturity)))] END AS roll_ts FROM (SELECT *, CAST(right(contract_id, 1) AS INT) AS maturity FROM daily) GROUP BY contract_id) l
+        ON c.instrument_id = l.instrument_id AND c.ts >= l.first_ts AND (l.roll_ts IS NULL OR c.ts < l.roll_ts) GROUP BY c.instrument_id, c.ts""",
+)
+def _(spark, sf_dir):
+    d = market.daily(spark, sf_dir).withColumn("maturity", F.right("contract_id", F.lit(1)).cast("int"))
+    back = F.lit(2) + 8 * (1 - F.col("maturity"))
+    return roll.calendar_front(d, "instrument_id", "contract_id", "maturity", back, 2)
+
+
+LIQ = """liq AS (
+    SELECT instrument_id, ts, arg_max(contract_id, (open_interest, contract_id)) AS top, max(open_interest) / sum(open_interest) AS share FROM daily GROUP BY instrument_id, ts
+), held AS (
+    SELECT *, CASE WHEN count(*) OVER w = 2 AND min(top) OVER w = max(top) OVER w AND share >= 0.4 THEN CAST(right(top, 1) AS INT) END AS cand FROM liq
+    WINDOW w AS (PARTITION BY instrument_id ORDER BY ts ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)
+), act AS (
+    SELECT instrument_id, ts, max(decided) OVER (PARTITION BY instrument_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS maturity FROM (
+        SELECT *, lag(cand) OVER (PARTITION BY instrument_id ORDER BY ts) AS decided FROM held)
+), ev AS (
+    SELECT *, lag(maturity) OVER (PARTITION BY instrument_id ORDER BY ts) AS p, lag(ts) OVER (PARTITION BY instrument_id ORDER BY ts) AS decision_ts FROM act
+)"""
+
+
+@query("roll_liquidity", "instrument_id ts:t maturity:i", "SELECT * FROM act", market.CTE + ", " + LIQ)
+def _(spark, sf_dir):
+    return front(spark, sf_dir)
+
+
+def front(spark, sf_dir):
+    d = market.daily(spark, sf_dir).withColumn("maturity", F.right("contract_id", F.lit(1)).cast("int"))
+    return roll.liquidity_front(d, "instrument_id", "contract_id", "maturity", "open_interest", 0.4, 2)
+
+
+EVENTS = """gaps AS (
+    SELECT ev.instrument_id, ev.ts, decision_ts, p AS old_maturity, maturity AS new_maturity, n.close - o.close AS gap, row_number() OVER (PARTITION BY ev.instrument_id ORDER BY ev.ts) AS seq FROM ev
+    LEFT JOIN daily o ON o.contract_id = ev.instrument_id || '-' || p AND o.ts = decision_ts LEFT JOIN daily n ON n.contract_id = ev.instrument_id || '-' || maturity AND n.ts = decision_ts
+    WHERE p IS NOT NULL AND p <> maturity
+)"""
+
+
+@query("roll_events", "instrument_id ts:t decision_ts:t old_maturity:i new_maturity:i gap:d seq:i", "SELECT * FROM gaps", f"{market.CTE}, {LIQ}, {EVENTS}")
+def _(spark, sf_dir):
+    return roll.roll_events(front(spark, sf_dir), market.daily(spark, sf_dir))
+
+
+@query(
+    "roll_front_bars",
+    "instrument_id ts:t contract_id close:d roll_epoch:i bars_since_roll:i close0:d",
+    """SELECT f.instrument_id, f.ts, d.contract_id, d.close, f.roll_epoch, row_number() OVER (PARTITION BY f.instrument_id, f.roll_epoch ORDER BY f.ts) - 1 AS bars_since_roll,
+        d.close - coalesce(f.offset0, 0) AS close0 FROM (
+        SELECT a.instrument_id, a.ts, a.maturity, count(g.seq) AS roll_epoch, sum(g.gap) AS offset0 FROM act a LEFT JOIN gaps g ON g.instrument_id = a.instrument_id AND g.ts <= a.ts GROUP BY ALL) f
+        JOIN daily d ON d.contract_id = f.instrument_id || '-' || f.maturity AND d.ts = f.ts""",
+    f"{market.CTE}, {LIQ}, {EVENTS}",
+)
+def _(spark, sf_dir):
+    d = market.daily(spark, sf_dir)
+    f = front(spark, sf_dir)
+    return roll.front_bars(f, d, roll.roll_events(f, d))
+
+
+# --- signals --------------------------------------------------------------------------------------
+
+FEATURES = f"""feat AS (SELECT *, round({agg('avg', 'close', 5)}, 9) AS f5, round({agg('avg', 'close', 20)}, 9) AS s20, {agg('max', 'high', 20)} AS hi20, {agg('min', 'low', 20)} AS lo20,
+    {agg('avg', 'true_range', 14)} AS atr, 4 * {agg('stddev_pop', 'close', 20)} AS width, (close - {agg('min', 'low', 20)}) / nullif({agg('max', 'high', 20)} - {agg('min', 'low', 20)}, 0) AS pos20,
+    (close - {agg('min', 'low', 5)}) / nullif({agg('max', 'high', 5)} - {agg('min', 'low', 5)}, 0) AS pos5, {lag('close', 5)} AS c5 FROM base),
+  feat2 AS (SELECT *, {lag('hi20')} AS ph, {lag('lo20')} AS pl FROM feat)"""
+F_CTE = BASE_CTE + ", " + FEATURES
+
+
+def features(spark, sf_dir):
+    w = W()
+    c = I.c()
+    df = base(spark, sf_dir).withColumns(
+        {
+            "f5": F.round(I.sma(w, 5), 9), "s20": F.round(I.sma(w, 20), 9), "hi20": I.highest(w, 20), "lo20": I.lowest(w, 20), "atr": I.sma(w, 14, I.c("true_range")), "width": 4 * I.std(w, 20),
+            "pos20": I.ratio(c - I.lowest(w, 20), I.highest(w, 20) - I.lowest(w, 20)), "pos5": I.ratio(c - I.lowest(w, 5), I.highest(w, 5) - I.lowest(w, 5)), "c5": F.lag("close", 5).over(w),
+        }
+    )
+    return df.withColumns({"ph": F.lag("hi20").over(w), "pl": F.lag("lo20").over(w)})
+
+
+def signal(name: str, sql: tuple[str, str], states, inner: str = "feat2"):
+    """States are false where their features are missing."""
+
+    def run(spark, sf_dir):
+        df = features(spark, sf_dir)
+        up, down = states(df)
+        return df.withColumns({"long_state": F.coalesce(up, F.lit(False)), "short_state": F.coalesce(down, F.lit(False))})
+
+    query(name, "instrument_id ts:t long_state short_state", f"SELECT instrument_id, ts, coalesce({sql[0]}, false) AS long_state, coalesce({sql[1]}, false) AS short_state FROM {inner}", F_CTE)(run)
+
+
+c = F.col
+signal("sig_ma_cross", ("f5 > s20 AND close >= s20", "f5 < s20 AND close <= s20"), lambda df: signals.ma_cross(c("f5"), c("s20"), c("close"), c("s20")))
+signal("sig_breakout", ("bar_index >= 30 AND close >= ph + 0.1 * atr", "bar_index >= 30 AND close <= pl - 0.1 * atr"), lambda df: signals.breakout(c("close"), c("ph"), c("pl"), c("bar_index"), c("atr"), 30, 0.1))
+signal("sig_mean_reversion", ("pos20 * 100 <= 15 AND (close - s20) / nullif(atr, 0) <= -0.8", "pos20 * 100 >= 85 AND (close - s20) / nullif(atr, 0) >= 0.8"), lambda df: signals.mean_reversion(c("pos20") * 100, I.ratio(c("close") - c("s20"), c("atr")), 15, 0.8))
+signal(
+    "sig_squeeze_release",
+    (f"coalesce(sum(CASE WHEN width <= 250 THEN 1 ELSE 0 END) {o(4).replace('CURRENT ROW', '1 PRECEDING')} = 3, false) AND close > s20", f"coalesce(sum(CASE WHEN width <= 250 THEN 1 ELSE 0 END) {o(4).replace('CURRENT ROW', '1 PRECEDING')} = 3, false) AND close < s20"),
+    lambda df: signals.squeeze_release(c("width") / 1000, 25, c("close"), c("s20"), W(), 3),
+)
+signal("sig_band_reversion", ("least(pos20, pos5) <= 0.05", "greatest(pos20, pos5) >= 0.95"), lambda df: signals.band_reversion([c("pos20"), c("pos5")], 0.05, 0.95))
+signal(
+    "sig_failed_breakout",
+    (f"coalesce(max(CASE WHEN close < pl THEN 1 ELSE 0 END) {o(4).replace('CURRENT ROW', '1 PRECEDING')}, 0) = 1 AND close >= pl", f"coalesce(max(CASE WHEN close > ph THEN 1 ELSE 0 END) {o(4).replace('CURRENT ROW', '1 PRECEDING')}, 0) = 1 AND close <= ph"),
+    lambda df: signals.failed_breakout(c("close"), c("ph"), c("pl"), W(), 3),
+)
+signal("sig_divergence", ("degrees(atan((close - c5) / 5)) - degrees(atan(f5 - s20)) <= -40", "degrees(atan((close - c5) / 5)) - degrees(atan(f5 - s20)) >= 40"), lambda df: signals.divergence(F.degrees(F.atan((c("close") - c("c5")) / 5)) - F.degrees(F.atan(c("f5") - c("s20"))), 40))
+signal("sig_trend_movement", ("least(f5 - s20, close - c5) > 0", "greatest(f5 - s20, close - c5) < 0"), lambda df: (F.least(c("f5") - c("s20"), c("close") - c("c5")) > 0, F.greatest(c("f5") - c("s20"), c("close") - c("c5")) < 0))
+signal("sig_channel_continuation", ("close > ph AND (close - ph) / nullif(atr, 0) <= 1.5", "close < pl AND (pl - close) / nullif(atr, 0) <= 1.5"), lambda df: ((c("close") > c("ph")) & (I.ratio(c("close") - c("ph"), c("atr")) <= 1.5), (c("close") < c("pl")) & (I.ratio(c("pl") - c("close"), c("atr")) <= 1.5)))
+signal(
+    "sig_mtf_pullback",
+    (f"s20 > {lag('s20', 4)} AND pos5 <= 0.5 AND (sum(CASE WHEN close > c5 THEN 1 ELSE 0 END) {o(2)} = 2 AND count(*) {o(2)} = 2)", f"s20 < {lag('s20', 4)} AND pos5 >= 0.5 AND (sum(CASE WHEN close < c5 THEN 1 ELSE 0 END) {o(2)} = 2 AND count(*) {o(2)} = 2)"),
+    lambda df: (
+        (c("s20") > F.lag("s20", 4).over(W())) & (c("pos5") <= 0.5) & signals.confirmed(F.coalesce(c("close") > c("c5"), F.lit(False)), W(), 2),
+        (c("s20") < F.lag("s20", 4).over(W())) & (c("pos5") >= 0.5) & signals.confirmed(F.coalesce(c("close") < c("c5"), F.lit(False)), W(), 2),
+    ),
+)
+
+
+@query(
+    "sig_events_alternating",
+    "instrument_id ts:t event",
+    f"""SELECT instrument_id, ts, CASE WHEN k = 1 THEN 'entry' ELSE 'exit' END AS event FROM (SELECT *, coalesce(lag(k) OVER (PARTITION BY instrument_id ORDER BY ts), -1) AS pk FROM (
+        SELECT instrument_id, ts, CASE WHEN coalesce({lag('rise')}, false) THEN 1 WHEN coalesce({lag('fall')}, false) THEN -1 END AS k FROM (
+        SELECT *, s AND NOT coalesce({lag('s')}, false) AS rise, NOT s AND coalesce({lag('s')}, false) AS fall FROM (SELECT *, coalesce(f5 > s20, false) AS s FROM feat2))) WHERE k IS NOT NULL) WHERE k <> pk""",
+    F_CTE,
+)
+def _(spark, sf_dir):
+    df = features(spark, sf_dir).withColumn("state", F.coalesce(c("f5") > c("s20"), F.lit(False)))
+    return signals.alternated(signals.edges(df, "state", W(), 1), ["instrument_id"], "ts")
+
+
+@query(
+    "sig_stops_and_entry_mask",
+    "instrument_id ts:t stop:d may_enter",
+    "SELECT instrument_id, ts, CASE WHEN f5 > s20 THEN close - 2 * atr WHEN f5 < s20 THEN close + 2 * atr END AS stop, hour(ts) >= 22 OR hour(ts) <= 4 AS may_enter FROM feat2",
+    F_CTE,
+)
+def _(spark, sf_dir):
+    side = F.when(c("f5") > c("s20"), "long").when(c("f5") < c("s20"), "short")
+    return features(spark, sf_dir).withColumns({"stop": signals.stops(c("close"), c("atr"), 2, side), "may_enter": signals.session_entry(F.hour("ts"), 22, 4)})
+
+
+@query(
+    "sig_surface_grid",
+    "fast:i slow:i instrument_id n_long:i n_short:i",
+    f"""SELECT fast, slow, instrument_id, sum(CASE WHEN x > y THEN 1 ELSE 0 END) AS n_long, sum(CASE WHEN x < y THEN 1 ELSE 0 END) AS n_short FROM (
+        SELECT *, CASE fast WHEN 3 THEN a3 ELSE a5 END AS x, CASE slow WHEN 10 THEN a10 ELSE a20 END AS y FROM (SELECT instrument_id, {', '.join(f"round({agg('avg', 'close', n)}, 9) AS a{n}" for n in (3, 5, 10, 20))} FROM base),
+        (VALUES (3), (5)) f(fast), (VALUES (10), (20)) s(slow)) GROUP BY ALL""",
+    BASE_CTE,
+)
+def _(spark, sf_dir):
+    """The cube of time, parameters and instrument in long form: few literal parameter rows by all bars."""
+    df = base(spark, sf_dir).withColumns({f"a{n}": F.round(I.sma(W(), n), 9) for n in (3, 5, 10, 20)})
+    grid = parameter_grid(spark, {"fast": [3, 5], "slow": [10, 20]}, ["fast < slow"])
+    x, y = F.when(c("fast") == 3, c("a3")).otherwise(c("a5")), F.when(c("slow") == 10, c("a10")).otherwise(c("a20"))
+    long = df.crossJoin(F.broadcast(grid))
+    return long.groupBy("fast", "slow", "instrument_id").agg(F.sum(F.when(x > y, 1).otherwise(0)).alias("n_long"), F.sum(F.when(x < y, 1).otherwise(0)).alias("n_short"))
+
+
+@query(
+    "sim_position_size",
+    "p_partkey:i qty:i",
+    "SELECT p_partkey, CASE WHEN q >= 1 THEN q END AS qty FROM (SELECT p_partkey, least(floor(100000 * 0.01 / (p_retailprice * 0.02 / 0.5 * (p_size + 1) / 10)), 50, floor(100000 / (p_retailprice * 3))) AS q FROM part)",
+    "",
+)
+def _(spark, sf_dir):
+    price = c("p_retailprice")
+    qty = ledger.position_size(F.lit(100000.0), F.lit(0.01), price, F.lit(0.02), F.lit(0.5), (c("p_size") + 1) / 10, F.lit(50), price * 3)
+    return table(spark, sf_dir, "part").withColumn("qty", qty)
+
+
+TRADE_SQL = """SELECT l_orderkey, l_linenumber, price AS entry_price, price * (1 + l_discount - l_tax) AS exit_price, CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * l_quantity AS qty FROM (SELECT *, l_extendedprice / l_quantity AS price FROM lineitem)"""
+
+
+def trades(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", (c("l_extendedprice") / c("l_quantity")).alias("entry_price"),
+        (c("l_extendedprice") / c("l_quantity") * (1 + c("l_discount") - c("l_tax"))).alias("exit_price"), (F.when(c("l_returnflag") == "R", -1).otherwise(1) * c("l_quantity")).alias("qty"),
+    )
+
+
+@query("sim_trade_money", "l_orderkey:i l_linenumber:i gross:f cost:f net:f", f"SELECT *, gross - cost AS net FROM (SELECT *, (exit_price - entry_price) / 0.5 * 2.5 * qty AS gross, 2 * abs(qty) * (1.25 + 0.5 * 2.5) AS cost FROM ({TRADE_SQL}))", "")
+def _(spark, sf_dir):
+    return ledger.trade_money(trades(spark, sf_dir), F.lit(0.5), F.lit(2.5), F.lit(1.25), F.lit(0.5))
+
+
+@query(
+    "sim_run_stats",
+    "instrument_id:i total:f annualised:d sharpe:d sortino:d",
+    """SELECT instrument_id, total, CASE WHEN total / 1e7 > -1 THEN pow(1 + total / 1e7, 12.0 / n) - 1 END AS annualised, m / nullif(s, 0) * sqrt(12) AS sharpe, m / nullif(d, 0) * sqrt(12) AS sortino FROM (
+        SELECT instrument_id, sum(pnl) AS total, count(*) AS n, avg(pnl) AS m, stddev_pop(pnl) AS s, sqrt(avg(CASE WHEN pnl < 0 THEN pnl * pnl ELSE 0 END)) AS d
+        FROM (SELECT instrument_id, date_trunc('month', ts) AS month, sum(net_pnl) AS pnl FROM executions GROUP BY 1, 2) GROUP BY 1)""",
+)
+def _(spark, sf_dir):
+    monthly = market.executions(spark, sf_dir).groupBy("instrument_id", F.date_trunc("month", "ts").alias("month")).agg(F.sum("net_pnl").alias("pnl"))
+    return scoring.run_stats(monthly, ["instrument_id"], "pnl", 12, 1e7)
+
+
+@query(
+    "sim_splits",
+    "instrument_id role n:i first_ts:t last_ts:t",
+    """SELECT instrument_id, role, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM base JOIN (VALUES ('train_1', 0, 99), ('test_1', 104, 149), ('train_2', 50, 149), ('test_2', 154, 199)) w(role, lo, hi) ON bar_index BETWEEN lo AND hi GROUP BY 1, 2""",
+    BASE_CTE,
+)
+def _(spark, sf_dir):
+    """Walk-forward windows by bar index with a purge of 4 bars."""
+    windows = scoring.walk_forward(100, 46, 50, 4, 2)
+    split = spark.createDataFrame(windows, "role string, lo int, hi int")
+    return base(spark, sf_dir).join(F.broadcast(split), c("bar_index").between(c("lo"), c("hi"))).groupBy("instrument_id", "role").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
+RUNS = """runs AS (SELECT instrument_id AS run_id, instrument_id % 4 AS strategy, instrument_id % 3 AS p1, instrument_id % 5 AS p2, sum(net_pnl) / 1e6 AS ret, count(*) AS n,
+    avg(CASE WHEN net_pnl > 0 THEN 1::DOUBLE ELSE 0::DOUBLE END) AS win, sum(abs(price) * abs(qty)) AS traded, sum(net_pnl) + sum(fee) AS gross, sum(net_pnl) AS net FROM executions GROUP BY instrument_id)"""
+
+
+def runs(spark, sf_dir):
+    e = market.executions(spark, sf_dir)
+    return e.groupBy(c("instrument_id").alias("run_id")).agg(
+        (F.sum("net_pnl") / 1e6).alias("ret"), F.count(F.lit(1)).alias("n"), F.avg((c("net_pnl") > 0).cast("double")).alias("win"), F.sum(F.abs("price") * F.abs("qty")).alias("traded"),
+        (F.sum("net_pnl") + F.sum("fee")).alias("gross"), F.sum("net_pnl").alias("net"),
+    ).withColumns({"strategy": c("run_id") % 4, "p1": c("run_id") % 3, "p2": c("run_id") % 5})
+
+
+@query("rank_metric_score", "run_id:i score:d", "SELECT run_id, (2 * (0.5 + 0.5 * tanh(ret)) + greatest(0, least(1, (win - 0.3) / 0.4))) / 3 AS score FROM runs", f"{market.CTE}, {RUNS}")
+def _(spark, sf_dir):
+    return runs(spark, sf_dir).withColumn("score", scoring.rank_weighted([scoring.tanh_score(c("ret"), 1.0), scoring.linear_score(c("win"), 0.3, 0.7)]))
+
+
+@query("rank_slippage_score", "run_id:i slippage_score:d", "SELECT run_id, CASE WHEN net - traded * 12.5 / 10000 > 0 THEN 1 WHEN gross <= 0 THEN 0 ELSE gross / (gross + traded * 12.5 / 10000) END AS slippage_score FROM runs", f"{market.CTE}, {RUNS}")
+def _(spark, sf_dir):
+    return runs(spark, sf_dir).withColumn("slippage_score", scoring.slippage_score(c("net"), c("gross"), c("traded"), 12.5))
+
+
+@query(
+    "rank_fold_consistency",
+    "strategy:i consistency:d",
+    "SELECT strategy, avg(CASE WHEN pnl > 0 THEN 1::DOUBLE ELSE 0::DOUBLE END) / (1 + stddev_pop(pnl) / greatest(abs(avg(pnl)), 0.02)) AS consistency FROM (SELECT instrument_id % 4 AS strategy, year(ts) AS fold, sum(net_pnl) / 1e6 AS pnl FROM executions GROUP BY 1, 2) GROUP BY 1",
+)
+def _(spark, sf_dir):
+    f = market.executions(spark, sf_dir).groupBy((c("instrument_id") % 4).alias("strategy"), F.year("ts").alias("fold")).agg((F.sum("net_pnl") / 1e6).alias("pnl"))
+    return f.groupBy("strategy").agg(scoring.fold_consistency(c("pnl")).alias("consistency"))
+
+
+@query(
+    "rank_parameter_stability",
+    "run_id:i stability:d",
+    """SELECT a.run_id, CASE WHEN count(b.run_id) = 0 THEN 0.5 ELSE 1 - abs(any_value(a.ret) - avg(b.ret)) / greatest(abs(avg(b.ret)), 0.05) END AS stability
+        FROM runs a LEFT JOIN runs b ON a.strategy = b.strategy AND (CASE WHEN a.p1 <> b.p1 THEN 1 ELSE 0 END + CASE WHEN a.p2 <> b.p2 THEN 1 ELSE 0 END) = 1 GROUP BY a.run_id""",
+    f"{market.CTE}, {RUNS}",
+)
+def _(spark, sf_dir):
+    return scoring.parameter_stability(runs(spark, sf_dir), "run_id", "strategy", ["p1", "p2"], "ret")
+
+
+@query(
+    "rank_policy",
+    "run_id:i failures total:d family_rank:i overall_rank:i",
+    """SELECT run_id, failures, total, fr AS family_rank, row_number() OVER (ORDER BY fr, total DESC, run_id) AS overall_rank FROM (SELECT *, row_number() OVER (PARTITION BY strategy ORDER BY total DESC, run_id) AS fr FROM (
+        SELECT run_id, strategy, concat_ws(',', CASE WHEN n < 12 THEN 'min_trades' END, CASE WHEN win < 0.5 THEN 'positive_ratio' END, CASE WHEN ret <= 0 THEN 'return' END) AS failures,
+        round(0.3 * (0.5 + 0.5 * tanh(ret)) + 0.2 * win + 0.2 * CASE WHEN ret > 0 THEN 1 ELSE 0 END, 9) AS total FROM runs))""",
+    f"{market.CTE}, {RUNS}",
+)
+def _(spark, sf_dir):
+    total = 0.3 * scoring.tanh_score(c("ret"), 1.0) + 0.2 * c("win") + 0.2 * (c("ret") > 0).cast("int")
+    df = runs(spark, sf_dir).withColumns({"failures": quality.reasons(min_trades=c("n") < 12, positive_ratio=c("win") < 0.5, **{"return": c("ret") <= 0}), "total": F.round(total, 9)})
+    return scoring.family_first(df, "strategy", "total", "run_id")
+
+
+@query(
+    "rank_confirmation",
+    "strategy:i confirmed confirm_pnl:f n_confirm:i",
+    "SELECT strategy, coalesce(sum(pnl) FILTER (WHERE fold >= 1999), 0) > 0 AS confirmed, sum(pnl) FILTER (WHERE fold >= 1999) AS confirm_pnl, count(*) FILTER (WHERE fold >= 1999) AS n_confirm FROM (SELECT instrument_id % 4 AS strategy, year(ts) AS fold, sum(net_pnl) AS pnl FROM executions GROUP BY 1, 2) GROUP BY 1",
+)
+def _(spark, sf_dir):
+    blind = c("fold") >= 1999
+    f = market.executions(spark, sf_dir).groupBy((c("instrument_id") % 4).alias("strategy"), F.year("ts").alias("fold")).agg(F.sum("net_pnl").alias("pnl"))
+    out = f.groupBy("strategy").agg(F.sum(F.when(blind, c("pnl"))).alias("confirm_pnl"), F.count(F.when(blind, 1)).alias("n_confirm"))
+    return out.withColumn("confirmed", F.coalesce(c("confirm_pnl"), F.lit(0.0)) > 0)
+
+
+@query(
+    "rank_candidates",
+    "candidate_id instrument_id ts:t side stop:d target:d",
+    f"""SELECT 'CAND-' || upper(left(sha256(instrument_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S')), 12)) AS candidate_id, instrument_id, ts, side, CASE side WHEN 'long' THEN close - 1.5 * atr ELSE close + 1.5 * atr END AS stop,
+        CASE side WHEN 'long' THEN close + 3 * atr ELSE close - 3 * atr END AS target FROM (SELECT *, CASE WHEN f5 > s20 THEN 'long' WHEN f5 < s20 THEN 'short' END AS side, row_number() OVER (PARTITION BY instrument_id ORDER BY ts DESC) AS rn FROM feat2) WHERE rn = 1 AND side IS NOT NULL AND atr IS NOT NULL""",
+    F_CTE,
+)
+def _(spark, sf_dir):
+    latest = features(spark, sf_dir).withColumn("rn", F.row_number().over(Window.partitionBy("instrument_id").orderBy(F.desc("ts")))).where("rn = 1 AND atr IS NOT NULL")
+    df = latest.withColumn("side", F.when(c("f5") > c("s20"), "long").when(c("f5") < c("s20"), "short")).where("side IS NOT NULL")
+    way = F.when(c("side") == "long", 1).otherwise(-1)
+    key = F.concat_ws("|", "instrument_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return df.withColumns({"candidate_id": F.concat(F.lit("CAND-"), F.upper(F.substring(F.sha2(key, 256), 1, 12))), "stop": c("close") - way * 1.5 * c("atr"), "target": c("close") + way * 3 * c("atr")})
+
+
+@query(
+    "eval_forward_observations",
+    "event_id:i status entry:d mfe:d mae:d pnl:d",
+    f"""SELECT t.event_id, CASE WHEN h.ts IS NULL THEN 'no_market_data' WHEN h.n_ahead < 4 THEN 'no_forward_window' ELSE 'ok' END AS status, h.open AS entry,
+        CASE WHEN n_ahead = 4 THEN hi - open END AS mfe, CASE WHEN n_ahead = 4 THEN open - lo END AS mae, CASE WHEN n_ahead = 4 THEN last_close - open END AS pnl
+        FROM (SELECT event_id, instrument_id, date_trunc('hour', ts) AS ts FROM ticks WHERE event_id % 7 = 0) t ASOF LEFT JOIN (
+            SELECT *, count(*) OVER f AS n_ahead, max(high) OVER f AS hi, min(low) OVER f AS lo, last_value(close) OVER f AS last_close FROM hourly
+            WINDOW f AS (PARTITION BY instrument_id ORDER BY ts ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)) h ON t.instrument_id = h.instrument_id AND t.ts <= h.ts""",
+)
+def _(spark, sf_dir):
+    t = market.ticks(spark, sf_dir).where("event_id % 7 = 0").select("event_id", "instrument_id", F.date_trunc("hour", "ts").alias("ts"))
+    return scoring.forward_observations(t, market.hourly(spark, sf_dir), ["instrument_id"], 4)
+
+
+@query(
+    "recon_cross_feed",
+    "o_orderkey:i status drift_bps:d gate",
+    """SELECT coalesce(o_orderkey, l_orderkey) AS o_orderkey, CASE WHEN o_orderkey IS NULL THEN 'unexpected' WHEN l_orderkey IS NULL THEN 'missing' ELSE 'matched' END AS status,
+        abs(total - o_totalprice) / nullif(o_totalprice, 0) * 10000 AS drift_bps, CASE WHEN o_orderkey IS NULL OR l_orderkey IS NULL THEN 'FAIL' WHEN coalesce(abs(total - o_totalprice) / nullif(o_totalprice, 0) * 10000, 0) > CASE WHEN o_orderstatus = 'F' THEN 5000 ELSE 9000 END THEN 'FAIL' ELSE 'PASS' END AS gate
+        FROM orders FULL JOIN (SELECT l_orderkey, sum(l_extendedprice) AS total FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey""",
+    "",
+)
+def _(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum("l_extendedprice").alias("total"))
+    return scoring.reconciled(table(spark, sf_dir, "orders"), lines)
+
+
+@query(
+    "recon_execution_reasons",
+    "o_orderkey:i reasons",
+    """SELECT o_orderkey, reasons FROM (SELECT o_orderkey, concat_ws(',', CASE WHEN l.n IS NULL THEN 'missing_fill' END, CASE WHEN o_orderstatus = 'P' AND l.n IS NOT NULL THEN 'fill_on_pending' END, CASE WHEN l.n > 5 THEN 'too_many_fills' END, CASE WHEN l.q < 0 THEN 'negative_position' END) AS reasons
+        FROM orders LEFT JOIN (SELECT order_id, count(*) AS n, sum(qty) AS q FROM executions GROUP BY 1) l ON o_orderkey = order_id) WHERE reasons <> ''""",
+)
+def _(spark, sf_dir):
+    fills = market.executions(spark, sf_dir).groupBy("order_id").agg(F.count(F.lit(1)).alias("fills"), F.sum("qty").alias("q"))
+    j = table(spark, sf_dir, "orders").join(fills, c("o_orderkey") == c("order_id"), "left")
+    why = quality.reasons(missing_fill=c("fills").isNull(), fill_on_pending=(c("o_orderstatus") == "P") & c("fills").isNotNull(), too_many_fills=c("fills") > 5, negative_position=c("q") < 0)
+    return j.select("o_orderkey", why.alias("reasons")).where("reasons <> ''")
+
+
+@query("paper_positions", "order_id:i fill_no:i position:d average_price:d", None)
+def _(spark, sf_dir):
+    return ledger.folded_positions(market.executions(spark, sf_dir), ["instrument_id"], ["ts", "order_id", "fill_no", "price", "qty"])
+
+
+@query(
+    "contract_economics",
+    "contract_id d:D tick_value:d margin:d",
+    "SELECT contract_id, ts::DATE AS d, CASE WHEN floor(high) - floor(low) > 0 THEN (volume + 1) / (floor(high) - floor(low)) END AS tick_value, close * 0.1 + greatest(0, true_range) * 0.5 AS margin FROM (SELECT *, high - low AS true_range FROM daily)",
+)
+def _(spark, sf_dir):
+    ticks = F.floor("high") - F.floor("low")
+    return market.daily(spark, sf_dir).select("contract_id", F.to_date("ts").alias("d"), F.when(ticks > 0, (c("volume") + 1) / ticks).alias("tick_value"), (c("close") * 0.1 + F.greatest(F.lit(0.0), c("high") - c("low")) * 0.5).alias("margin"))
+
+
+@query(
+    "instrument_tree",
+    "instrument_id n_contracts:i contracts first_ts:t",
+    "SELECT instrument_id, count(DISTINCT contract_id) AS n_contracts, string_agg(DISTINCT contract_id, ',' ORDER BY contract_id) AS contracts, min(ts) AS first_ts FROM ticks GROUP BY 1",
+)
+def _(spark, sf_dir):
+    t = market.ticks(spark, sf_dir).groupBy("instrument_id", "contract_id").agg(F.min("ts").alias("first_ts"))
+    return t.groupBy("instrument_id").agg(F.count(F.lit(1)).alias("n_contracts"), F.array_join(F.array_sort(F.collect_list("contract_id")), ",").alias("contracts"), F.min("first_ts").alias("first_ts"))
+
+
+@query(
+    "bar_usage_profiles",
+    "contract_id ts:t profile flags:i may_enter",
+    """SELECT contract_id, ts, profile, flags, flags & 2 = 2 AS may_enter FROM (SELECT *, CASE profile WHEN 'shortened_risk' THEN 261 WHEN 'boundary_risk' THEN 133 WHEN 'incomplete' THEN 5 WHEN 'risk_only' THEN 5 ELSE 127 END AS flags FROM (
+        SELECT *, CASE WHEN n = 1 THEN 'shortened_risk' WHEN day(ts) IN (1, 30) THEN 'boundary_risk' WHEN n = 2 THEN 'incomplete' WHEN dayofweek(ts) IN (0, 6) THEN 'risk_only' ELSE 'regular_trading' END AS profile FROM daily))""",
+)
+def _(spark, sf_dir):
+    from barloom.functions.scalars import PROFILES, has_flags
+
+    profile = (
+        F.when(c("n") == 1, "shortened_risk").when(F.dayofmonth("ts").isin(1, 30), "boundary_risk").when(c("n") == 2, "incomplete").when(F.dayofweek("ts").isin(1, 7), "risk_only").otherwise("regular_trading")
+    )
+    lookup = F.create_map(*[F.lit(x) for kv in PROFILES.items() for x in kv])
+    df = market.daily(spark, sf_dir).withColumn("profile", profile).withColumn("flags", lookup[c("profile")])
+    return df.withColumn("may_enter", has_flags(c("flags"), 2))
+
+
