@@ -17,6 +17,7 @@ inside a component already found is looked for.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ from barloom.session import ship_package
 WORDS = 5
 PERCENT = 80
 #: Cells of the frequency sketch: its size doesn't depend on the input.
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 _SPAN = 4096
 _CHOICES = (1, 2, 3, 4, 6, 8, 12, 16, 24)
 #: Similarity, in percent, from which a class belongs to a central class's neighbourhood.
@@ -42,6 +43,8 @@ NEIGHBOUR = 50
 BLOCK_CLASSES = 512
 #: Central classes that a class is compared with first, and classes compared with one copy of the central one.
 CENTRES, FAN = 2, 64
+#: Bits of the map by which texts that aren't wanted are left out of a shuffle.
+MAP_BITS = 24
 
 
 def shingle_sets(col: pa.Array, words: int = WORDS) -> Iterator[tuple[int, np.ndarray]]:
@@ -57,19 +60,22 @@ def sketch(df: DataFrame, words: int) -> np.ndarray:
     cells = 1 << SKETCH_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cells, np.uint32)
+        total, held, size = np.zeros(cells, np.uint32), [np.zeros(0, np.uint64)], 0
         for batch in batches:
             for _, _, h, at in W.word_hashes(texts(batch), W.SPACES):
-                g, _ = W.grams(h, at, words, short=True)
-                total += np.bincount((g >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=cells).astype(np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array(range(cells // _SPAN), pa.int64()), pa.array([p.tobytes() for p in total.reshape(-1, _SPAN)], pa.binary())], ["span", "n"])
+                held.append(W.grams(h, at, words, short=True)[0])
+                size += len(held[-1])
+                if size > cells // 2:
+                    total += np.bincount((np.concatenate(held) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=cells).astype(np.uint32)
+                    held, size = held[:1], 0
+        total += np.bincount((np.concatenate(held) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=cells).astype(np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array(range(cells // _SPAN), pa.int64()), pa.array([zlib.compress(p.tobytes(), 1) for p in total.reshape(-1, _SPAN)], pa.binary())], ["span", "n"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for span, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = np.frombuffer(raw, np.uint64 if len(raw) == 8 * _SPAN else np.uint32)
-                total[span] = total.get(span, np.zeros(_SPAN, np.uint64)) + own.astype(np.uint64)
+                total[span] = total.get(span, np.zeros(_SPAN, np.uint64)) + np.frombuffer(zlib.decompress(raw), np.uint32)
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([v.tobytes() for v in total.values()], pa.binary())], ["span", "n"])
 
@@ -85,12 +91,12 @@ def levels(counts: np.ndarray) -> np.ndarray:
     """log2 of the estimated frequency of each cell's shingles above what an average cell holds, 0 to 63."""
     mean = counts.mean()
     over = np.maximum(counts - mean - 4 * np.sqrt(mean + 1), 0)
-    return np.minimum(np.log2(1 + over).astype(np.uint64), np.uint64(63))
+    return np.minimum(np.log2(1 + over), 63).astype(np.uint8)
 
 
 def ordered(shingles: np.ndarray, level: np.ndarray) -> np.ndarray:
     """Shingles under the global order, as keys: their level before their hash."""
-    return np.sort((level[(shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] << np.uint64(58)) | (shingles >> np.uint64(6)))
+    return np.sort((level[(shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(58)) | (shingles >> np.uint64(6)))
 
 
 def choose_matches(keys: np.ndarray, percent: int) -> int:
@@ -146,6 +152,35 @@ def measured(df: DataFrame, level, words: int, percent: int) -> DataFrame:
     return map_arrow(narrow(df, doc_id="doc_id", text="text"), run, "doc_id long, n long, digest binary, central int, matches int, prefix array<long>")
 
 
+def _bits(ids: pa.Array) -> np.ndarray:
+    return (W.mix(ids.fill_null(0).to_numpy().view(np.uint64)) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+
+
+def possible(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """docs without most of those whose doc_id isn't in rows, by a bitmap of fixed size: fewer texts to shuffle."""
+
+    def note(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << MAP_BITS, bool)
+        for batch in batches:
+            seen[_bits(batch.column(0))] = True
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(seen).tobytes(), 1)], pa.binary())], ["map"])
+
+    ship_package(docs.sparkSession)
+    total = np.zeros(1 << (MAP_BITS - 3), np.uint8)
+    for row in rows.select("doc_id").coalesce(16).mapInArrow(note, "map binary").toLocalIterator():
+        total |= np.frombuffer(zlib.decompress(row["map"]), np.uint8)
+    packed = docs.sparkSession.sparkContext.broadcast(zlib.compress(total.tobytes(), 1))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.unpackbits(np.frombuffer(zlib.decompress(packed.value), np.uint8)).view(bool)
+        for batch in batches:
+            out = batch.filter(pa.array(seen[_bits(batch.column(0))]))
+            if out.num_rows:
+                yield out
+
+    return docs.mapInArrow(keep, "doc_id long, text string")
+
+
 class Join:
     """One run: the tables that its steps share."""
 
@@ -170,7 +205,7 @@ class Join:
     def bodies(self, wanted: DataFrame) -> DataFrame:
         """cid, text of the wanted classes (column cid, distinct)."""
         rows = wanted.join(self.sets.where("n > 0").select(F.col("row_no").alias("cid"), "doc_id", "digest"), "cid")
-        texts_of = self.docs.select(F.col("doc_id").alias("_doc"), "text")
+        texts_of = possible(self.docs, rows).select(F.col("doc_id").alias("_doc"), "text")
         joined = rows.join(texts_of, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("cid", "digest", "text")
         words = self.words
 
@@ -305,7 +340,9 @@ class Join:
         )
 
     def run(self) -> DataFrame:
-        met = self.shared.where("cid <> centre").groupBy(F.col("cid").alias("a"), F.col("centre").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+        # Classes that share fewer shingles with their centre than they would need to are left to across().
+        met = self.shared.where("cid <> centre").groupBy(F.col("cid").alias("a"), F.col("centre").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.first("matches").alias("matches"))
+        met = met.where("shared >= matches")
         nth = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))
         first = self.verified(met.withColumn("nth", nth).where(F.col("nth") <= CENTRES), NEIGHBOUR)
         edges = first.select(F.col("a").alias("u"), F.col("b").alias("v"), "linked")

@@ -10,7 +10,8 @@ corpus counts, a token w after v scores
 and a document's score is the sum. Unigram counts are one aggregation. A pair of two very frequent
 words, of which there is a bounded number, is counted by another and scored where it is read.
 All other pairs travel by their hash: each partition builds its share of the bigram count table and
-joins it to the exploded pairs it was built from; partial sums then meet per document. No partition
+joins it to the exploded pairs it was built from; partial sums, packed by ranges of rows, then meet
+per document. No partition
 of pairs can be dominated by one pair, since pairs with over N/1000 tokens are of the first kind.
 
 Word tables are broadcast in blocks of a bounded number of words, and each pair of blocks is a pass
@@ -39,6 +40,8 @@ BLOCK_WORDS = 4_000_000
 FREQUENT = 1000
 #: Tokens that a task gathers before it sends counts on, and pairs in a partition, about.
 GATHER, PAIRS_AT_ONCE = 4_000_000, 3_000_000
+#: Partial sums travel in buckets of 2 to this power consecutive rows.
+ROW_BITS = 12
 
 
 def _batch(names: list[str], *columns) -> pa.RecordBatch:
@@ -85,13 +88,43 @@ class Words:
         return np.where(there, k, -1), np.where(there, self.n[k], 1).astype(np.float64)
 
 
-def _pairs(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For ranges of rows from lo: word hashes, row of each, whether it starts its row."""
+def _pairs(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For ranges of rows from lo: word hashes, row of each, whether it starts its row, words of each row."""
     for lo, hi, h, at in W.word_hashes(texts(batch), W.SPACES):
         row = np.repeat(np.arange(hi - lo), np.diff(at))
         first = np.ones(len(h), bool)
         first[1:] = row[1:] != row[:-1]
-        yield lo, h, row, first
+        yield lo, h, row, first, np.diff(at)
+
+
+def _by_bucket(kind: int, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """Columns of 64-bit values, row numbers first (ascending), as one packed row per bucket of row numbers."""
+    bucket = columns[0] >> ROW_BITS
+    cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    bodies = [b"".join(np.ascontiguousarray(c[x:y]).tobytes() for c in columns) for x, y in zip(cut, np.append(cut[1:], len(bucket)), strict=True)]
+    return _batch(["bucket", "kind", "body"], bucket[cut], pa.array([kind] * len(cut), pa.int32()), pa.array(bodies, pa.binary()))
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed rows to doc_id, n_tokens, score: kind 0 has row, score, id, whether it is null, tokens; kind 1 has row, score."""
+    rows, scores, facts = [], [], []
+    for batch in batches:
+        for kind, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            t = np.frombuffer(raw, np.int64).reshape(2 if kind else 5, -1)
+            rows.append(t[0])
+            scores.append(t[1].view(np.float64))
+            if kind == 0:
+                facts.append(t[[0, 2, 3, 4]])
+    if not rows:
+        return
+    row, inverse = np.unique(np.concatenate(rows), return_inverse=True)
+    score = np.bincount(inverse, np.concatenate(scores), len(row))
+    fact = np.concatenate(facts, axis=1)
+    at = np.searchsorted(row, fact[0])
+    ids, null, tokens = np.zeros(len(row), np.int64), np.zeros(len(row), bool), np.zeros(len(row), np.int64)
+    ids[at], null[at] = fact[1], fact[2].astype(bool)
+    np.add.at(tokens, at, fact[3])
+    yield _batch(["doc_id", "n_tokens", "score"], pa.array(ids, mask=null), tokens, score)
 
 
 def frequent_pairs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -101,7 +134,7 @@ def frequent_pairs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(words.h) ** 2, np.int64)
         for batch in batches:
-            for _, h, _, first in _pairs(batch):
+            for _, h, _, first, _ in _pairs(batch):
                 k, _ = words.find(h)
                 both = (k[1:] >= 0) & (k[:-1] >= 0) & ~first[1:]
                 total += np.bincount(k[:-1][both] * len(words.h) + k[1:][both], minlength=len(total))
@@ -141,7 +174,8 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
     log_n, log_back = float(np.log(max(total, 1))), float(np.log(BACKOFF))
 
     # Rows are told apart by a number that survives a repeated task: the table is written once.
-    numbered = stored(docs.withColumn("row_no", F.monotonically_increasing_id()).select("row_no", "doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("size"), "text"), "numbered") if _moves(docs) else docs.withColumn("row_no", F.monotonically_increasing_id())
+    numbered = docs.withColumn("row_no", F.monotonically_increasing_id())
+    numbered = stored(numbered, "numbered") if _moves(docs) else numbered
     sums = None
     for i in range(n_blocks):
         before = broad(block(i))
@@ -153,10 +187,8 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
                 (top, pair_n), own = common.value, n_blocks > 1
                 for batch in batches:
                     row_no = batch.column(batch.schema.get_field_index("row_no")).to_numpy()
-                    for lo, h, row, first in _pairs(batch):
-                        rows = int(row[-1]) + 1 if len(row) else 0
-                        if not rows:
-                            continue
+                    for lo, h, row, first, n_words in _pairs(batch):
+                        rows = len(n_words)
                         v, w = np.concatenate([h[:1], h[:-1]]), h
                         if own:
                             mine = ((h.view(np.int64) % n_blocks) == j) & (first & (i == j) | ~first & ((v.view(np.int64) % n_blocks) == i))
@@ -173,7 +205,9 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
                         value[seen] = np.log(c[seen]) - np.log(c_v[seen])
                         ask = ~first & ~both & (a >= 0) & (b >= 0)
                         value[ask] = 0
-                        blobs, parts = [row_no[lo : lo + rows].tobytes() + np.bincount(row, value, rows).tobytes()], [int(row_no[lo]) % n_parts]
+                        ids = batch.column(batch.schema.get_field_index("doc_id")).slice(lo, rows)
+                        told = [row_no[lo : lo + rows], np.bincount(row, value, rows), ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64), n_words if i == j == 0 else 0 * n_words]
+                        blobs, parts = [b"".join(np.ascontiguousarray(x).tobytes() for x in told)], [int(row_no[lo]) % n_parts]
                         key = (a[ask].astype(np.uint64) << np.uint64(32)) | b[ask].astype(np.uint64)
                         part = (W.mix(key) % np.uint64(n_parts)).astype(np.int64)
                         order = np.lexsort((row[ask], part))
@@ -192,8 +226,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
                 for batch in batches:
                     for kind, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                         if kind == 0:  # scores known where the pairs were read
-                            half = len(raw) // 2
-                            yield _batch(["row_no", "score"], np.frombuffer(raw[:half], np.int64), np.frombuffer(raw[half:], np.float64))
+                            yield _by_bucket(0, list(np.frombuffer(raw, np.int64).reshape(5, -1)))
                             continue
                         n = int(np.frombuffer(raw, np.int64, 1)[0])
                         head = np.frombuffer(raw, np.int64, 2 * n, 8)
@@ -208,16 +241,14 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
                 score = np.where(c >= LEAST_PAIR, np.log(c) - np.log(before.value.n[a]), log_back + np.log(after.value.n[b]) - log_n)
                 row, inverse = np.unique(np.concatenate(rows), return_inverse=True)
                 got = np.bincount(np.repeat(inverse, np.concatenate(sizes)), score[at], len(row))
-                yield _batch(["row_no", "score"], row, got)
+                yield _by_bucket(1, [row, got.view(np.int64)])
 
-            sent = numbered.select("row_no", "text").mapInArrow(explode, "part long, kind int, body binary")
-            each = sent.repartition(int(n_parts), "part").mapInArrow(count_and_join, "row_no long, score double")
+            sent = numbered.mapInArrow(explode, "part long, kind int, body binary")
+            each = sent.repartition(int(n_parts), "part").mapInArrow(count_and_join, "bucket long, kind int, body binary")
             sums = each if sums is None else sums.unionByName(each)
-    per_row = sums.groupBy("row_no").agg(F.sum("score").alias("score"))
-    n_tokens = F.size(F.expr(r"filter(split(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '')")).cast("long")
-    base = numbered.select(F.col("row_no").alias("_row"), "doc_id", n_tokens.alias("n_tokens"))
-    return base.join(per_row, F.col("_row") == F.col("row_no"), "left").select(
-        "doc_id", "n_tokens", F.round(F.coalesce("score", F.lit(0.0)), 6).alias("score"), F.round(F.col("score") / F.when(F.col("n_tokens") > 0, F.col("n_tokens")), 6).alias("mean_score")
+    summed = sums.repartition("bucket").mapInArrow(_add_up, "doc_id long, n_tokens long, score double")
+    return summed.select(
+        "doc_id", "n_tokens", F.round("score", 6).alias("score"), F.round(F.col("score") / F.when(F.col("n_tokens") > 0, F.col("n_tokens")), 6).alias("mean_score")
     )
 
 

@@ -35,7 +35,7 @@ def broken_links(rows: DataFrame, parents: DataFrame, child_hash: str, parent_ha
 
 
 def coverage(df: DataFrame, columns: list[str]) -> DataFrame:
-    """column, n, has_value: whether each required column has a value anywhere."""
+    """name, n, has_value: whether each required column has a value anywhere."""
     counts = df.agg(*(F.count(c).alias(c) for c in columns))
-    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in columns)))
-    return counts.select(pairs.alias("p")).select("p.column", "p.n", (F.col("p.n") > 0).alias("has_value"))
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).alias("n")) for c in columns)))
+    return counts.select(pairs.alias("p")).select("p.name", "p.n", (F.col("p.n") > 0).alias("has_value"))
