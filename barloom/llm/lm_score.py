@@ -213,7 +213,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
                         order = np.lexsort((row[ask], part))
                         key, part, at = key[order], part[order], row[ask][order]
                         cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
-                        for x, y in zip(cut, np.append(cut[1:], len(part)), strict=True):
+                        for x, y in zip(cut, np.append(cut[1:], [len(part)] * min(1, len(cut))), strict=True):
                             r, size = np.unique(at[x:y], return_counts=True)
                             head = np.concatenate([[len(r)], row_no[lo + r], size]).astype(np.int64)
                             blobs.append(head.tobytes() + key[x:y].tobytes())

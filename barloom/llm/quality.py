@@ -214,7 +214,7 @@ def fit_quality(df: DataFrame, labels: DataFrame, label_col: str = "quality", he
         return pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("y")), pa.array(list(x), pa.list_(pa.float64()))], ["y", "x"])
 
     got = map_arrow(rows.select("text", "y"), measure, "y int, x array<double>").orderBy(F.xxhash64("x", "y")).limit(2 * max_rows).toPandas()
-    x = np.array(got["x"].tolist(), np.float64).reshape(len(got), -1)
+    x = np.array(got["x"].tolist(), np.float64) if len(got) else np.zeros((0, 16 + N_CLASSES))
     return fit_trees(x, got["y"].to_numpy(np.float64))
 
 

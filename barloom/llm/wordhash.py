@@ -80,7 +80,7 @@ def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), offsets
 
 
-def blocks(offsets: np.ndarray, most: int = BLOCK) -> Iterator[tuple[int, int]]:
+def blocks(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of whole rows of about most bytes; one row may be longer."""
     lo, n = 0, len(offsets) - 1
     while lo < n:
@@ -99,7 +99,7 @@ def stem_hashes(col: pa.Array, separators: bytes, stems: tuple[int, ...]) -> Ite
     """As word_hashes, and for each length in stems the hashes of the words' first so many bytes."""
     data, offsets = buffers(col)
     table = separator_table(separators)
-    for lo, hi in blocks(offsets):
+    for lo, hi in blocks(offsets, BLOCK):
         base, stop = int(offsets[lo]), int(offsets[hi])
         bounds = offsets[lo : hi + 1] - base
         if stop - base <= BLOCK:
