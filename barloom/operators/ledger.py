@@ -57,7 +57,7 @@ def position_size(cash: Column, risk: Column, price: Column, stop: Column, tick:
 def folded_positions(fills: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """position and average_price after each fill: same direction averages, a partial close keeps it, a flip takes the fill's price.
 
-    An account's fills are folded in order in one task.
+    An account's fills are folded in order in one task. Without a position the average is 0.
     """
     ship_package(fills.sparkSession)
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fills.schema) + ", position double, average_price double"

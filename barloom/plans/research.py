@@ -358,9 +358,16 @@ def _(spark, sf_dir):
     return j.select("o_orderkey", why.alias("reasons")).where("reasons <> ''")
 
 
-@query("paper_positions", "order_id:i fill_no:i position:d average_price:d", None)
+@query(
+    "paper_positions",
+    "order_id:i fill_no:i position:d average_price:d",
+    """SELECT order_id, fill_no, q AS position, avg AS average_price FROM (WITH RECURSIVE s AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY ts, fill_no, price, qty) AS rn FROM executions),
+        p AS (SELECT order_id, fill_no, rn, qty AS q, price AS avg FROM s WHERE rn = 1 UNION ALL
+            SELECT s.order_id, s.fill_no, s.rn, p.q + s.qty, CASE WHEN p.q * s.qty >= 0 THEN (abs(p.q) * p.avg + abs(s.qty) * s.price) / (abs(p.q) + abs(s.qty))
+                WHEN abs(s.qty) > abs(p.q) THEN s.price WHEN abs(s.qty) = abs(p.q) THEN 0 ELSE p.avg END FROM p JOIN s ON s.order_id = p.order_id AND s.rn = p.rn + 1) SELECT * FROM p)""",
+)
 def _(spark, sf_dir):
-    return ledger.folded_positions(market.executions(spark, sf_dir), ["instrument_id"], ["ts", "order_id", "fill_no", "price", "qty"])
+    return ledger.folded_positions(market.executions(spark, sf_dir), ["order_id"], ["ts", "fill_no", "price", "qty"])
 
 
 @query(
