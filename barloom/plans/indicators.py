@@ -308,7 +308,17 @@ def _(spark, sf_dir):
 @query(
     "ind_volume_profile",
     "instrument_id ts:t poc:i volume:d vwap:d n_ticks:i va_low:i va_high:i",
-    None,
+    """SELECT g.instrument_id, g.day AS ts, g.poc, g.volume, g.vwap, g.n_ticks, e.lo AS va_low, e.hi AS va_high FROM g JOIN (
+        SELECT instrument_id, day, arg_max(lo, step) AS lo, arg_max(hi, step) AS hi FROM p GROUP BY 1, 2) e ON e.instrument_id = g.instrument_id AND e.day = g.day""",
+    market.CTE
+    + """, hist AS (SELECT instrument_id, day, tick, sum(v) AS raw, round(sum(v), 9) AS v FROM (
+        SELECT instrument_id, date_trunc('day', ts) AS day, unnest(generate_series(floor(low)::BIGINT, ceil(high)::BIGINT)) AS tick, volume / (ceil(high) - floor(low) + 1) AS v FROM hourly) GROUP BY ALL),
+    g AS (SELECT instrument_id, day, arg_min(tick, (-v, tick)) AS poc, max(v) AS top, sum(raw) AS volume, sum(tick * raw) / sum(raw) AS vwap, count(*) AS n_ticks, min(tick) AS first, max(tick) AS last, 0.7 * sum(v) AS goal FROM hist GROUP BY ALL),
+    p AS (SELECT instrument_id, day, poc AS lo, poc AS hi, top AS total, 0 AS step FROM g UNION ALL
+        SELECT instrument_id, day, CASE WHEN lv >= rv THEN lo - 1 ELSE lo END, CASE WHEN lv >= rv THEN hi ELSE hi + 1 END, total + greatest(0, CASE WHEN lv >= rv THEN lv ELSE rv END), step + 1 FROM (
+            SELECT p.*, CASE WHEN p.lo > g.first THEN coalesce(l.v, 0) ELSE -1 END AS lv, CASE WHEN p.hi < g.last THEN coalesce(r.v, 0) ELSE -1 END AS rv FROM p JOIN g ON g.instrument_id = p.instrument_id AND g.day = p.day
+            LEFT JOIN hist l ON l.instrument_id = p.instrument_id AND l.day = p.day AND l.tick = p.lo - 1 LEFT JOIN hist r ON r.instrument_id = p.instrument_id AND r.day = p.day AND r.tick = p.hi + 1
+            WHERE p.total < g.goal AND (p.lo > g.first OR p.hi < g.last)))""",
 )
 def _(spark, sf_dir):
     """Daily: each hour's volume spread evenly over whole ticks from its low to its high."""
