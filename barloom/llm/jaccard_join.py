@@ -16,6 +16,7 @@ inside a component already found is looked for.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -69,30 +70,32 @@ def sketch(df: DataFrame, words: int) -> np.ndarray:
                     total += np.bincount((np.concatenate(held) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=cells).astype(np.uint32)
                     held, size = held[:1], 0
         total += np.bincount((np.concatenate(held) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=cells).astype(np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array(range(cells // _SPAN), pa.int64()), pa.array([p.tobytes() for p in total.reshape(-1, _SPAN)], pa.binary())], ["span", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(cells // _SPAN), pa.int64()), pa.array([zlib.compress(p.tobytes(), 1) for p in total.reshape(-1, _SPAN)], pa.binary())], ["span", "n"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for span, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = np.frombuffer(raw, np.uint64 if len(raw) == 8 * _SPAN else np.uint32)
-                total[span] = total.get(span, np.zeros(_SPAN, np.uint64)) + own.astype(np.uint64)
+                total[span] = total.get(span, np.zeros(_SPAN, np.uint64)) + np.frombuffer(zlib.decompress(raw), np.uint32)
         if total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([v.tobytes() for v in total.values()], pa.binary())], ["span", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([zlib.compress(v.tobytes(), 1) for v in total.values()], pa.binary())], ["span", "n"])
 
     ship_package(df.sparkSession)
     spans = narrow(df, text="text").mapInArrow(count, "span long, n binary").repartition("span").mapInArrow(add, "span long, n binary")
-    out = np.zeros((cells // _SPAN, _SPAN), np.uint64)
+    out = np.zeros((cells // _SPAN, _SPAN), np.float32)
     for row in spans.toLocalIterator():  # a fixed number of rows
-        out[row["span"]] = np.frombuffer(row["n"], np.uint64)
+        out[row["span"]] = np.frombuffer(zlib.decompress(row["n"]), np.uint64)
     return out.reshape(-1)
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
     """log2 of the estimated frequency of each cell's shingles above what an average cell holds, 0 to 63."""
-    mean = counts.mean()
-    over = np.maximum(counts - mean - 4 * np.sqrt(mean + 1), 0)
-    return np.minimum(np.log2(1 + over), 63).astype(np.uint8)
+    mean = float(counts.mean(dtype=np.float64))
+    base = mean + 4 * (mean + 1) ** 0.5
+    out = np.zeros(len(counts), np.uint8)
+    for at in range(0, len(counts), _SPAN):  # in pieces: the driver is small
+        out[at : at + _SPAN] = np.minimum(np.log2(1 + np.maximum(counts[at : at + _SPAN] - base, 0)), 63)
+    return out
 
 
 def ordered(shingles: np.ndarray, level: np.ndarray) -> np.ndarray:
@@ -190,6 +193,7 @@ class Join:
         self.words, self.percent = words, percent
         self.docs = narrow(df, doc_id="doc_id", text="text")
         level = self.spark.sparkContext.broadcast(levels(sketch(self.docs, words)))
+        gc.collect()
         self.sets = stored(measured(self.docs, level, words, percent).withColumn("row_no", F.monotonically_increasing_id()), "sets")
         full = self.sets.where("n > 0")
         self.classes = stored(full.groupBy("digest").agg(F.min("row_no").alias("cid"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "classes")
@@ -341,7 +345,9 @@ class Join:
         )
 
     def run(self) -> DataFrame:
-        met = self.shared.where("cid <> centre").groupBy(F.col("cid").alias("a"), F.col("centre").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+        # Classes that share fewer shingles with their centre than they would need to are left to across().
+        met = self.shared.where("cid <> centre").groupBy(F.col("cid").alias("a"), F.col("centre").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.first("matches").alias("matches"))
+        met = met.where("shared >= matches")
         nth = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))
         first = self.verified(met.withColumn("nth", nth).where(F.col("nth") <= CENTRES), NEIGHBOUR)
         edges = first.select(F.col("a").alias("u"), F.col("b").alias("v"), "linked")
@@ -376,4 +382,5 @@ def one_of_each(df: DataFrame) -> DataFrame:
     """
     found = jaccard_components(df)
     stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays")).distinct()
-    return df.join(stored(stay, "stay"), F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
+    own = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col("doc_id").alias("_id"))
+    return own.join(stored(stay, "stay"), F.col("_id").eqNullSafe(F.col("_stays")), "left_semi").select("_row.*")
