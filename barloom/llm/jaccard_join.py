@@ -269,10 +269,15 @@ class Join:
         state = stored(
             groups.join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("node", "grp", F.coalesce("root", F.col("node")).alias("root")), "state"
         )
-        apart = state.groupBy("grp").agg(F.countDistinct("root").alias("roots")).where("roots > 1").select(F.col("grp").alias("_g"))
+        apart = stored(state.groupBy("grp").agg(F.countDistinct("root").alias("roots")).where("roots > 1").select(F.col("grp").alias("_g")), "apart")
         state = state.join(apart, F.col("grp") == F.col("_g"), "left_semi")
-        nth = F.row_number().over(Window.partitionBy("grp").orderBy("root", "node")) - 1
-        placed = stored(state.withColumn("block", F.floor(nth / BLOCK_CLASSES).cast("int")), "placed")
+        # A large component has blocks of its own, small ones share blocks: dealt out by hashes, no group is sorted in one task.
+        per_root = stored(state.groupBy(F.col("grp").alias("_g"), F.col("root").alias("_r")).agg(F.count(F.lit(1)).alias("own")), "per_root")
+        small = stored(per_root.where(F.col("own") < BLOCK_CLASSES).groupBy(F.col("_g").alias("_s")).agg(F.sum("own").alias("rest")), "small")
+        deal = lambda key, n: F.pmod(F.xxhash64(key), F.ceil(F.col(n) / BLOCK_CLASSES)).cast("string")
+        block = F.when(F.col("own") >= BLOCK_CLASSES, F.concat_ws("-", F.lit("large"), F.col("root").cast("string"), deal("node", "own"))).otherwise(F.concat_ws("-", F.lit("small"), deal("root", "rest")))
+        sized = state.join(per_root, (F.col("grp") == F.col("_g")) & (F.col("root") == F.col("_r"))).join(small, F.col("grp") == F.col("_s"), "left")
+        placed = stored(sized.select("node", "grp", "root", block.alias("block")), "placed")
         blocks = placed.groupBy("grp", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         x, y = blocks.alias("x"), blocks.alias("y")
         meet = x.join(y, (F.col("x.grp") == F.col("y.grp")) & (F.col("x.block") <= F.col("y.block"))).where("NOT (x.lo = x.hi AND y.lo = y.hi AND x.lo = y.lo)")
