@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm import wordhash as W
-from barloom.llm.common import id_bucket, map_arrow, narrow, texts
+from barloom.llm.common import id_bucket, map_arrow, narrow, stored, texts
+from barloom.session import ship_package
 
 CELLS = 1 << 13
 #: Languages that one model may hold: the table of likelihoods is broadcast.
@@ -126,19 +127,17 @@ def fit_mixture(df: DataFrame, lang_col: str = "lang", held_modulus: int = 4, he
             cells = cells if len(cells) else np.array([0])
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(cells)), pa.array(cells, pa.int64()), pa.array(vector[cells], pa.int64())], ["lang", "cell", "n"])
 
-    from barloom.session import ship_package
-
     ship_package(df.sparkSession)
     found = narrow(rows, text="text", lang=lang_col).mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    # At most MAX_LANGUAGES x CELLS rows, gathered by language.
-    table = found.groupBy("lang").agg(F.collect_list(F.struct("cell", "n")).alias("cells")).limit(MAX_LANGUAGES + 1).toPandas().sort_values("lang")
-    if len(table) > MAX_LANGUAGES:
+    found = stored(found, "trigrams")
+    known = sorted(r["lang"] for r in found.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    if len(known) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    counts = np.zeros((len(table), CELLS))
-    for k, cells in enumerate(table["cells"]):
-        for c in cells:
-            counts[k, c["cell"]] = c["n"]
-    return Mixture(table["lang"].tolist(), counts)
+    counts = np.zeros((len(known), CELLS))
+    for k, lang in enumerate(known):  # at most CELLS rows each
+        own = found.where(F.col("lang") == lang).select("cell", "n").toArrow()
+        counts[k, own.column("cell").to_numpy()] = own.column("n").to_numpy()
+    return Mixture(known, counts)
 
 
 def languages(df: DataFrame) -> DataFrame:
