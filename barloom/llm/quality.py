@@ -211,11 +211,12 @@ def fit_quality(df: DataFrame, labels: DataFrame, label_col: str = "quality", he
 
     def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = statistics(texts(batch))
-        return pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("y")), pa.array(list(x), pa.list_(pa.float64()))], ["y", "x"])
+        return pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("y")), pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], x.ravel())], ["y", "x"])
 
-    got = map_arrow(rows.select("text", "y"), measure, "y int, x array<double>").orderBy(F.xxhash64("x", "y")).limit(2 * max_rows).toPandas()
-    x = np.array(got["x"].tolist(), np.float64) if len(got) else np.zeros((0, 16 + N_CLASSES))
-    return fit_trees(x, got["y"].to_numpy(np.float64))
+    got = map_arrow(rows.select("text", "y"), measure, "y int, x array<double>").orderBy(F.xxhash64("x", "y")).limit(2 * max_rows).toArrow()
+    lists = got.column("x").combine_chunks()
+    flat = np.concatenate([np.asarray(c.flatten()) for c in (lists.chunks if isinstance(lists, pa.ChunkedArray) else [lists])] or [np.zeros(0)])
+    return fit_trees(flat.reshape(-1, 16 + N_CLASSES), got.column("y").to_numpy().astype(np.float64))
 
 
 def score_quality(df: DataFrame, model: Trees) -> DataFrame:
