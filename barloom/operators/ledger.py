@@ -78,3 +78,33 @@ def folded_positions(fills: DataFrame, keys: list[str], order: list[str]) -> Dat
         return pdf.assign(position=qs, average_price=avgs)
 
     return fills.groupBy(*keys).applyInPandas(fold, types)
+
+
+def simulate_long(bars: DataFrame, keys: list[str], stop_distance: str = "atr", stop_multiple: float = 2.0) -> DataFrame:
+    """Trades of a long-only book per series: keys, entry_ts, exit_ts, entry_price, exit_price, reason.
+
+    bars have ts, open, low, entry, exit and the stop distance. It enters at the open of a bar with
+    entry and leaves at the open of a later one with exit, or at the stop (or a worse open) once a
+    later bar's low reaches it. What is open at the end is no trade. A series is one task.
+    """
+    ship_package(bars.sparkSession)
+    kinds = {f.name: f.dataType.simpleString() for f in bars.schema}
+    types = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), f"entry_ts {kinds['ts']}", f"exit_ts {kinds['ts']}", "entry_price double", "exit_price double", "reason string"])
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ts", kind="stable")
+        head = [pdf[k].iloc[0] for k in keys]
+        out, at = [], None
+        for ts, o, low, enter, leave, dist in zip(pdf["ts"], pdf["open"], pdf["low"], pdf["entry"], pdf["exit"], pdf[stop_distance], strict=True):
+            if at is None:
+                if enter:
+                    at = (ts, o, o - stop_multiple * dist if dist == dist and dist is not None else -float("inf"))
+            elif leave:
+                out.append((*head, at[0], ts, at[1], o, "exit"))
+                at = None
+            elif low <= at[2]:
+                out.append((*head, at[0], ts, at[1], min(o, at[2]), "stop"))
+                at = None
+        return pd.DataFrame(out, columns=[*keys, "entry_ts", "exit_ts", "entry_price", "exit_price", "reason"])
+
+    return bars.groupBy(*keys).applyInPandas(walk, types)

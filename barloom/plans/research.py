@@ -182,6 +182,26 @@ def _(spark, sf_dir):
     return long.groupBy("fast", "slow", "instrument_id").agg(F.sum(F.when(x > y, 1).otherwise(0)).alias("n_long"), F.sum(F.when(x < y, 1).otherwise(0)).alias("n_short"))
 
 
+@query(
+    "sim_portfolio",
+    "instrument_id entry_ts:t exit_ts:t entry_price:d exit_price:d reason",
+    f"""SELECT instrument_id, ets AS entry_ts, ts AS exit_ts, xe AS entry_price, xp AS exit_price, reason FROM (WITH RECURSIVE e AS (
+            SELECT *, s AND NOT coalesce({lag('s')}, false) AS rise, NOT s AND coalesce({lag('s')}, false) AS fall FROM (SELECT *, coalesce(f5 > s20, false) AS s FROM feat2)),
+        b AS (SELECT instrument_id, ts, open, low, atr, coalesce({lag('rise')}, false) AS entry, coalesce({lag('fall')}, false) AS leave, row_number() OVER (PARTITION BY instrument_id ORDER BY ts) AS rn FROM e),
+        p AS (SELECT instrument_id, rn, ts, entry AS held, CASE WHEN entry THEN open END AS ep, CASE WHEN entry THEN coalesce(open - 2 * atr, -1e300) END AS stop, CASE WHEN entry THEN ts END AS since,
+                NULL::TIMESTAMP AS ets, NULL::DOUBLE AS xe, NULL::DOUBLE AS xp, NULL::VARCHAR AS reason FROM b WHERE rn = 1
+            UNION ALL SELECT b.instrument_id, b.rn, b.ts, CASE WHEN p.held THEN NOT (b.leave OR b.low <= p.stop) ELSE b.entry END,
+                CASE WHEN p.held THEN p.ep WHEN b.entry THEN b.open END, CASE WHEN p.held THEN p.stop WHEN b.entry THEN coalesce(b.open - 2 * b.atr, -1e300) END, CASE WHEN p.held THEN p.since WHEN b.entry THEN b.ts END,
+                p.since, p.ep, CASE WHEN p.held AND b.leave THEN b.open WHEN p.held AND b.low <= p.stop THEN least(b.open, p.stop) END, CASE WHEN p.held AND b.leave THEN 'exit' WHEN p.held AND b.low <= p.stop THEN 'stop' END
+            FROM p JOIN b ON b.instrument_id = p.instrument_id AND b.rn = p.rn + 1) SELECT * FROM p WHERE reason IS NOT NULL)""",
+    F_CTE,
+)
+def _(spark, sf_dir):
+    df = features(spark, sf_dir).withColumn("state", F.coalesce(c("f5") > c("s20"), F.lit(False)))
+    marked = signals.edges(df, "state", W(), 1)
+    return ledger.simulate_long(marked.select("instrument_id", "ts", "open", "low", "entry", "exit", "atr"), ["instrument_id"])
+
+
 @query(
     "sim_position_size",
     "p_partkey:i qty:i",
