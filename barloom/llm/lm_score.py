@@ -39,7 +39,7 @@ BLOCK_WORDS = 4_000_000
 #: A word is very frequent from this share of all tokens on, so there are at most so many.
 FREQUENT = 1000
 #: Tokens that a task gathers before it sends counts on, and pairs in a partition, about.
-GATHER, PAIRS_AT_ONCE = 4_000_000, 3_000_000
+GATHER, PAIRS_AT_ONCE = 2_000_000, 1_000_000
 #: Partial sums travel in buckets of 2 to this power consecutive rows.
 ROW_BITS = 12
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 SPACES = b" \t\n\x0b\x0c\r"
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 #: Bytes of text hashed at once; a longer document is hashed in pieces that end at separators.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240517))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
