@@ -61,15 +61,21 @@ def sketch(df: DataFrame, words: int) -> np.ndarray:
     cells = 1 << SKETCH_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, held, size = np.zeros(cells, np.uint32), [np.zeros(0, np.uint64)], 0
+        total, held, size = np.zeros(cells, np.uint32), [], 0
+
+        def note() -> None:
+            cell, n = np.unique((np.concatenate(held) >> np.uint64(64 - SKETCH_BITS)).astype(np.uint32), return_counts=True)
+            total[cell] += n.astype(np.uint32)
+
         for batch in batches:
             for _, _, h, at in W.word_hashes(texts(batch), W.SPACES):
                 held.append(W.grams(h, at, words, short=True)[0])
                 size += len(held[-1])
-                if size > cells // 2:
-                    total += np.bincount((np.concatenate(held) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=cells).astype(np.uint32)
-                    held, size = held[:1], 0
-        total += np.bincount((np.concatenate(held) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=cells).astype(np.uint32)
+                if size > 1 << 19:
+                    note()
+                    held, size = [], 0
+        if held:
+            note()
         yield pa.RecordBatch.from_arrays([pa.array(range(cells // _SPAN), pa.int64()), pa.array([zlib.compress(p.tobytes(), 1) for p in total.reshape(-1, _SPAN)], pa.binary())], ["span", "n"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
