@@ -7,6 +7,9 @@ single lines finds notices that refer to a licence.
 
 from __future__ import annotations
 
+import json
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +66,9 @@ TEXTS = {
         "the specific language governing permissions and limitations under the License."
     ],
 }
+#: Whole long licences, a file each; what follows ~ in a name tells other wordings of one licence apart.
+for _file in sorted(resources.files("barloom.llm").joinpath("license_texts").iterdir(), key=lambda f: f.name):
+    TEXTS.setdefault(_file.name.removesuffix(".txt").split("~")[0], []).append(_file.read_text(encoding="utf-8"))
 TITLES = {"MIT": "MIT License", "ISC": "ISC License", "0BSD": "Zero-Clause BSD License", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License"}
 NOTICES = {
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", "MIT License"],
@@ -76,14 +82,15 @@ NOTICES = {
     "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "Licensed under the GNU General Public License, version 2."],
     "BSD-3-Clause": ["Released under the BSD 3-Clause License.", "Licensed under the BSD 3-Clause License."],
     "MPL-2.0": ["Licensed under the Mozilla Public License, version 2.0.", "Released under the Mozilla Public License, version 2.0."],
-    "CC-BY-4.0": [
-        "This work is licensed under the Creative Commons Attribution 4.0 International License.",
-        "Licensed under the Creative Commons Attribution 4.0 International License.",
-        "Licensed under CC BY 4.0.",
-    ],
-    "CC-BY-SA-4.0": ["This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.", "Licensed under CC BY-SA 4.0."],
     "CC0-1.0": ["Released under CC0 1.0 Universal."],
 }
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+for _form, _name in _CC.items():
+    for _version, _port in (("4.0", "International"), ("3.0", "Unported")):
+        _as = [f"the Creative Commons {_name} {_version} {_port} License", f"a Creative Commons {_name} {_version} {_port} License", f"CC {_form} {_version}"]
+        NOTICES[f"CC-{_form}-{_version}"] = [f"{_verb} {_a}." for _verb in ("This work is licensed under", "Licensed under", "Released under") for _a in _as]
+for _id, _name in (("LGPL-2.1", "Lesser General Public License, version 2.1"), ("LGPL-3.0", "Lesser General Public License, version 3")):
+    NOTICES[_id] = [f"{_verb} the GNU {_name}." for _verb in ("This work is licensed under", "Licensed under", "Released under")]
 #: Equivalent spellings, as words of normalised text.
 SPELLINGS = (("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sublicence", "sublicense"), ("merchantibility", "merchantability"), ("noncommercial", "non commercial"), ("copyright owner", "copyright holder"))
 #: Fixed value: a copyright line, and a line that reserves all rights.
@@ -111,27 +118,34 @@ def canonical(text: str) -> Column:
 
 
 def catalogue(spark: SparkSession) -> DataFrame:
-    """license_id, kind (text or notice), sha256 of each known canonical text: a fixed, small table."""
+    """license_id, kind (text or notice), text of each known licence text and notice: a fixed, small table."""
     rows = [(i, "text", t) for i, all_of in TEXTS.items() for t in all_of]
     rows += [(i, "text", f"{TITLES[i]}\n{t}") for i, all_of in TEXTS.items() if i in TITLES for t in all_of]
     rows += [(i, "notice", t) for i, all_of in NOTICES.items() for t in all_of]
-    known = spark.createDataFrame(rows, "license_id string, kind string, t string")
-    return known.select("license_id", "kind", F.sha2(canonical("t"), 256).alias("digest")).distinct()
+    return spark.createDataFrame(rows, "license_id string, kind string, text string")
 
 
-def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: DataFrame | None = None) -> DataFrame:
     """One row per row of df: doc_id, license_id (the entire text is that licence, else null), notices.
 
     notices: sorted distinct identifiers of licences that single lines of the text refer to, or are.
+    known: license_id, kind (text or notice) and text, else catalogue(); it is read by the driver. Where it
+    has several identifiers for one text, license_id lists them.
     Null, empty and wholly punctuated texts match nothing. Repeated rows give repeated results.
     """
     docs = narrow(df, doc_id=id_col, text=text_col)
-    known = catalogue(df.sparkSession)
-    whole = F.broadcast(known.where("kind = 'text'").select(F.col("digest").alias("_whole"), "license_id"))  # a fixed table
-    pairs = sorted({(r["digest"], r["license_id"]) for r in known.collect()})  # a fixed table, too
-    lookup = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
+    spark = df.sparkSession
+    known = catalogue(spark) if known is None else known
+    known = known.select("license_id", "kind", canonical("text").alias("c")).where("c <> ''").select("license_id", "kind", F.sha2("c", 256).alias("digest"))
+    whole, line = {}, {}
+    for i, kind, digest in sorted(set(map(tuple, known.collect()))):
+        if kind == "text":
+            whole.setdefault(digest, []).append(i)
+        line.setdefault(digest, set()).add(i)
+    whole = F.broadcast(spark.createDataFrame([(d, ",".join(ids)) for d, ids in whole.items()], "_whole string, license_id string"))  # a small table
+    lookup = F.from_json(F.lit(json.dumps({d: sorted(ids) for d, ids in line.items()})), "map<string,array<string>>")
     digests = F.expr(f"transform(filter(split(coalesce(text, ''), '\\n'), x -> trim(x) <> ''), x -> sha2({canonical_sql('x', 'spark')}, 256))")
-    found = F.filter(F.transform(digests, lambda d: lookup[d]), lambda v: v.isNotNull())
+    found = F.flatten(F.filter(F.transform(digests, lambda d: lookup[d]), lambda v: v.isNotNull()))
     return (
         docs.withColumn("_digest", F.sha2(canonical("text"), 256))
         .join(whole, F.col("_digest") == F.col("_whole"), "left")

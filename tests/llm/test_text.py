@@ -1,6 +1,7 @@
 """Word hashing, chat, licences, decontamination, pipeline."""
 
 import hashlib
+import pathlib
 import random
 import sys
 
@@ -92,6 +93,26 @@ def test_licences(spark):
     assert licenses.license_scan(df).count() == 7 and licenses.license_scan(df.where("false")).count() == 0
 
 
+def test_more_licences(spark):
+    folder = pathlib.Path(licenses.__file__).parent / "license_texts"
+    whole = {f.name: f.read_text() for f in folder.glob("*.txt")}
+    assert {"Apache-2.0.txt", "GPL-2.0.txt", "GPL-3.0.txt", "LGPL-2.1.txt", "LGPL-3.0.txt", "MPL-2.0.txt", "CC0-1.0.txt", "CC-BY-4.0.txt", "CC-BY-SA-4.0.txt"} <= set(whole)
+    got = {r["doc_id"]: r["license_id"] for r in licenses.license_scan(spark.createDataFrame([(k, " ".join(v.upper().split(" "))) for k, v in whole.items()], "doc_id string, text string")).collect()}
+    assert got == {k: k.removesuffix(".txt").split("~")[0] for k in whole}
+    lines = {"CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.", "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."}
+    lines |= {"CC-BY-4.0": "Licensed under CC BY 4.0.", "CC-BY-ND-3.0": "Released under CC BY-ND 3.0.", "LGPL-3.0": "Licensed under the GNU Lesser General Public License, version 3."}
+    got = licenses.license_scan(spark.createDataFrame([(k, f"text\n{v}\n") for k, v in lines.items()], "doc_id string, text string")).collect()
+    assert {(r["doc_id"], r["notices"]) for r in got} == {(k, k) for k in lines}
+
+
+def test_catalogue_table(spark):
+    known = spark.createDataFrame([("b", "text", "Do what you like."), ("a", "text", "do what you like"), ("a", "notice", "See A"), ("none", "text", "!!"), ("none", "text", None)], "license_id string, kind string, text string")
+    df = spark.createDataFrame([(1, "Do what you LIKE"), (2, "x\nsee a!\nsee b"), (3, "Licensed under CC BY 4.0."), (4, None), (5, "See A")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["license_id"], r["notices"]) for r in licenses.license_scan(df, known=known).collect()}
+    assert got == {1: ("a,b", "a,b"), 2: (None, "a"), 3: (None, ""), 4: (None, ""), 5: (None, "a")}
+    assert {r["license_id"] for r in licenses.license_scan(df, known=known.where("false")).collect()} == {None}
+
+
 def coverage(item, text, least):
     """Greedy string tiling by looking at every pair of places."""
     a, b = [False] * len(item), [False] * len(text)
