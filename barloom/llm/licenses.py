@@ -91,10 +91,22 @@ for _form, _name in _CC.items():
         NOTICES[f"CC-{_form}-{_version}"] = [f"{_verb} {_a}." for _verb in ("This work is licensed under", "Licensed under", "Released under") for _a in _as]
 for _id, _name in (("LGPL-2.1", "Lesser General Public License, version 2.1"), ("LGPL-3.0", "Lesser General Public License, version 3")):
     NOTICES[_id] = [f"{_verb} the GNU {_name}." for _verb in ("This work is licensed under", "Licensed under", "Released under")]
+for _id, _title in TITLES.items():
+    NOTICES[_id] = [*dict.fromkeys([*NOTICES.get(_id, []), _title, *(f"{_verb} the {_title}." for _verb in ("Licensed under", "Released under"))])]
+    TEXTS[_id] += [f"{n}\n{t}" for n in NOTICES[_id] for t in TEXTS[_id]]  # such a statement can follow the copyright
 #: Equivalent spellings, as words of normalised text.
 SPELLINGS = (("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sublicence", "sublicense"), ("merchantibility", "merchantability"), ("noncommercial", "non commercial"), ("copyright owner", "copyright holder"))
-#: Fixed value: a copyright line, and a line that reserves all rights.
-_COPYRIGHT = r"(?im)^[ \t*#/;-]*(copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+_YEAR = r"[\[<{(]?(?:[12][0-9]{3}|yyyy|year)\b"
+_UNDER = (
+    r"(?:licen[sc]ed|released|distributed|published|available) +under\b[^\n]*|this +(?:work|software|file|code|program|document|project|package) +is +\w+ +under\b[^\n]*"
+    r"|permission +(?:is +hereby|to +use)\b[^\n]*|redistribution +and +use\b[^\n]*"
+)
+_NAMED = r"(?:the +)?(?:mit|isc|bsd|apache|gnu|mozilla|creative +commons|cc0|cc +by)\b[^\n]*"
+#: Fixed value: a copyright statement up to a licence statement (a group) or the end of its line, and a line that only reserves all rights.
+_COPYRIGHT = (
+    rf"(?im)^[ \t*#/;-]*(?:(?:copyright[ \t:,]*(?:\(c\)|©|{_YEAR})|\(c\)[ \t]*(?:copyright|©|{_YEAR})|©)"
+    rf"(?:[^\n]*?(?:[^\w\n]({_UNDER})|[.;,|][ \t]+({_NAMED}))$|[^\n]*$)|all rights reserved[ \t\r.!;,*/#-]*({_UNDER}|{_NAMED})?$)"
+)
 
 
 def canonical_sql(text: str, engine: str) -> str:
@@ -104,7 +116,7 @@ def canonical_sql(text: str, engine: str) -> str:
         return f"regexp_replace({x}, '{pattern}', '{by}')" if engine == "spark" else f"regexp_replace({x}, '{pattern}', '{by}', 'g')"
 
     out = f"coalesce({text}, '')"
-    out = replace(out, _COPYRIGHT if engine == "duckdb" else _COPYRIGHT.replace("(?im)", "(?imd)").replace("\\", "\\\\"), " ")
+    out = replace(out, _COPYRIGHT if engine == "duckdb" else _COPYRIGHT.replace("(?im)", "(?imd)").replace("\\", "\\\\"), r" \1\2\3" if engine == "duckdb" else " $1$2$3")
     out = f"lower({out})"
     out = replace(out, "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+" if engine == "duckdb" else "[\\\\x00-\\\\x2F\\\\x3A-\\\\x60\\\\x7B-\\\\x7F]+", " ")
     out = f"concat(' ', {out}, ' ')"

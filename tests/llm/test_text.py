@@ -4,6 +4,7 @@ import hashlib
 import pathlib
 import random
 import sys
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -105,6 +106,34 @@ def test_more_licences(spark):
     assert {(r["doc_id"], r["notices"]) for r in got} == {(k, k) for k in lines}
 
 
+def test_copyright_statements(spark):
+    heads = ["Copyright (c) 2024, X Y <x@y.org>", "(c) 2024 X", "© X", "Copyright 2024 X. All rights reserved.", "Copyright [yyyy] [name]\nAll rights reserved.", " * Copyright: 2001-2024 X"]
+    rows, want = [], {}
+    for i in ("ISC", "BSD-2-Clause", "BSD-3-Clause", "MIT", "0BSD"):
+        for width in range(60, 81):  # some of them break lines before "copyright notice" or "copyright holders"
+            body = textwrap.fill(licenses.TEXTS[i][0], width)
+            rows += [(f"{i} {width} {k}", f"{head}\n\n{body}\n") for k, head in enumerate(heads)]
+            want |= {f"{i} {width} {k}": i for k in range(len(heads))}
+    assert sum("\ncopyright notice" in t for _, t in rows) > 10
+    isc = (
+        "ISC License\n\nCopyright (c) 2024 X\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, "
+        "provided that the above\ncopyright notice and this permission notice appear in all copies.\n\n" + textwrap.fill(licenses._ISC, 76)
+    )
+    rows += [("isc", isc), ("one", "Copyright (c) 2024 X. Released under the MIT License.\n" + licenses.TEXTS["MIT"][0])]
+    got = {r["doc_id"]: r["license_id"] for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == want | {"isc": "ISC", "one": "MIT"}
+    lines = {
+        "Copyright (c) 2024 X. Released under the MIT License.": "MIT", "Copyright 2024 X, licensed under the Apache License, Version 2.0.": "Apache-2.0", "© X. MIT License": "MIT",
+        "All rights reserved. Released under the MIT License.": "MIT", "Copyright (c) 2024 MIT": "", "Copyright (c) 2024 X": "", "All rights reserved.": "", "(c) You must keep it": "",
+    }
+    df = spark.createDataFrame([(k, f"text\n{k}\nmore") for k in lines], "doc_id string, text string")
+    assert {r["doc_id"]: r["notices"] for r in licenses.license_scan(df).collect()} == lines
+    shared = ["Copyright (c) 2024 X. All rights", "copyright notice and", "Copyright 2024 X\r\nbody", "ALL RIGHTS RESERVED by", "(c) You", "© é. Released under é", "Copyright (c) 2024 X - licensed under MIT"]
+    spark_says = [r[0] for r in spark.createDataFrame(list(enumerate(shared)), "i int, t string").orderBy("i").select(licenses.canonical("t")).collect()]
+    duckdb_says = [connect(SF).execute(f"SELECT {licenses.canonical_sql('t', 'duckdb')} FROM (SELECT ? AS t)", [t]).fetchone()[0] for t in shared]
+    assert spark_says == duckdb_says == ["", "copyright notice and", "body", "all rights reserved by", "c you", "released under é", "licensed under mit"]
+
+
 def test_catalogue_table(spark):
     known = spark.createDataFrame([("b", "text", "Do what you like."), ("a", "text", "do what you like"), ("a", "notice", "See A"), ("none", "text", "!!"), ("none", "text", None)], "license_id string, kind string, text string")
     df = spark.createDataFrame([(1, "Do what you LIKE"), (2, "x\nsee a!\nsee b"), (3, "Licensed under CC BY 4.0."), (4, None), (5, "See A")], "doc_id long, text string")
