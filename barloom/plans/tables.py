@@ -20,18 +20,19 @@ SCHEMA = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, valu
 
 def jsonl(spark, sf_dir) -> str:
     path = io.scratch(spark, "jsonl")
-    table(spark, sf_dir, "events").where("event_id % 5 = 0").write.json(path)
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # the default writes milliseconds
+    table(spark, sf_dir, "events").write.options(timestampFormat=f"{micros}XXX", timestampNTZFormat=micros).json(path)
     return path
 
 
 @query("src_jsonl_inferred", "event_id:i user_id:i event_type value:d", "SELECT * FROM events WHERE event_id % 5 = 0", "")
 def _(spark, sf_dir):
-    return io.read_jsonl(spark, jsonl(spark, sf_dir))
+    return io.read_jsonl(spark, jsonl(spark, sf_dir)).where("event_id % 5 = 0")
 
 
 @query("src_jsonl_schema", EVENT, "SELECT * FROM events WHERE event_id % 5 = 0", "")
 def _(spark, sf_dir):
-    return io.read_jsonl(spark, jsonl(spark, sf_dir), SCHEMA)
+    return io.read_jsonl(spark, jsonl(spark, sf_dir), SCHEMA).where("event_id % 5 = 0")
 
 
 @query("src_rows", "scope_id:i name", "SELECT * FROM (VALUES (1, 'a'), (2, NULL)) v(scope_id, name)", "")
