@@ -9,6 +9,7 @@ each against all documents, so it may be of any length.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,7 +58,7 @@ def tile(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int,
     """Tiles (start in item, start in text, length) of at least `least` tokens, longest first.
 
     The search length starts high and falls; matches found at a length are extended as far as they
-    go and marked longest first unless a longer tile took their tokens; ties go to the earliest.
+    go and marked longest first, each up to the first token that a longer tile took; ties go to the earliest.
     """
     tiles: list[tuple[int, int, int]] = []
     in_item, in_text = np.zeros(len(item), np.int64), np.zeros(len(text), np.int64)
@@ -84,8 +85,16 @@ def tile(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int,
         if longest > 2 * size:
             size = longest
             continue
-        for k, p, q in sorted(found, key=lambda f: (-f[0], f[1], f[2])):
-            if not in_item[p : p + k].any() and not in_text[q : q + k].any():
+        heap = [(-k, p, q) for k, p, q in found]
+        heapq.heapify(heap)
+        while heap:
+            k, p, q = heapq.heappop(heap)
+            k = -k
+            taken = np.flatnonzero(in_item[p : p + k] | in_text[q : q + k])
+            if len(taken):
+                if taken[0] >= size:  # what is left of the match waits for its turn
+                    heapq.heappush(heap, (-int(taken[0]), p, q))
+            else:
                 in_item[p : p + k] = 1
                 in_text[q : q + k] = 1
                 tiles.append((p, q, k))

@@ -206,3 +206,19 @@ def test_pipeline(spark):
         body = " " + " ".join(words(text.translate(str.maketrans({c: " " for c in W.PUNCTUATION.decode()})))) + " "
         assert not any(f" {' '.join(i)} " in body for i in items)
     assert check(P.run(spark, SF).collect(), rows[4]) < 0.02
+
+
+def test_tiling_of_short_overlapping_pieces():
+    item = list(range(16))
+    text = [90, *item[:6], 91, *item[5:12], 92]  # t0..t4 is what the tile t5..t11 leaves of the first piece
+    assert sorted(decontam.tile(np.array(item, np.uint64), np.array(text, np.uint64), 5)) == [(0, 1, 5), (5, 8, 7)]
+    rng = random.Random(7)
+    for _ in range(300):
+        item = [rng.choice([*range(40), i]) for i in range(rng.randint(8, 24))]
+        text = []
+        for _ in range(rng.randint(1, 6)):
+            lo = rng.randrange(len(item))
+            text += [*item[lo : lo + rng.randint(3, 10)], *[rng.randint(100, 200)] * rng.randint(0, 1)]
+        for least in (3, 5):
+            tiles = decontam.tile(np.array(item, np.uint64), np.array(text, np.uint64), least)
+            assert sum(k for _, _, k in tiles) == coverage(item, text, least)
