@@ -3,19 +3,23 @@
 Tokens are white-space words with A-Z lower-cased. With N tokens in all rows, c(w) and c(v w) the
 corpus counts, a token w after v scores
 
-    log(c(v w) / c(v))          if c(v w) >= 2,
+    log(c(v w) / c(v))          if c(v w) >= least,
     log(0.4 * c(w) / N)         otherwise, and
     log(c(w) / N)               at the start of a document,
 
-and a document's score is the sum. Unigram counts are one aggregation. A pair of two very frequent
-words, of which there is a bounded number, is counted by another and scored where it is read.
-All other pairs travel by their hash: each partition builds its share of the bigram count table and
-joins it to the exploded pairs it was built from; partial sums, packed by ranges of rows, then meet
-per document. No partition
-of pairs can be dominated by one pair, since pairs with over N/1000 tokens are of the first kind.
+and a document's score is the sum: every token's backed-off score, plus for each pair that is in the
+model what it is better by. The corpus is scored by its own counts, so the one occurrence that is being
+scored is no evidence for itself: least is 2. With least 1 no pair would ever back off.
 
-Word tables are broadcast in blocks of a bounded number of words, and each pair of blocks is a pass
-over the documents; vocabularies that fit one block take one pass.
+Every occurrence of every pair travels once, to the partition that counts it:
+
+* Two words of the commonest (a bounded number, whose counts are broadcast) go by the hash of the pair.
+* Any other word goes by its own hash, with its neighbours if they are common; its count is made there.
+* Two words that aren't common are a small rest, counted and joined as rows.
+
+A pair of two very frequent words is counted ahead and scored where it is read, so that no partition
+can be dominated by one pair. Each partition builds its share of the count tables, joins it to the
+occurrences it was built from, and sends sums per document back, packed by groups of consecutive rows.
 """
 
 from __future__ import annotations
@@ -34,20 +38,31 @@ from barloom.session import ship_package
 BACKOFF = 0.4
 #: A pair of words is in the model from this count on.
 LEAST_PAIR = 2
-#: Words of a broadcast block (16 bytes each).
-BLOCK_WORDS = 4_000_000
+#: Common words whose counts are broadcast, at most (16 bytes each); a place among them has so many bits.
+TOP_BITS = 20
 #: A word is very frequent from this share of all tokens on, so there are at most so many.
 FREQUENT = 1000
-#: Tokens that a task gathers before it sends counts on, and pairs in a partition, about.
-GATHER, PAIRS_AT_ONCE = 2_000_000, 1_000_000
-#: Partial sums travel in buckets of 2 to this power consecutive rows.
-ROW_BITS = 12
+#: Tokens that a task gathers before it sends them on, and pairs in a partition, about.
+GATHER, PAIRS_AT_ONCE = 1_000_000, 1_000_000
+#: Rows of a group, at most: their numbers within it have 16 bits.
+GROUP_ROWS = 1 << 16
 
 
 def _batch(names: list[str], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
 
 
+def _pack(*columns: np.ndarray) -> bytes:
+    return pa.Codec("zstd").compress(b"".join(np.ascontiguousarray(c).tobytes() for c in columns), asbytes=True)
+
+
+def _unpack(raw: bytes, *columns: tuple[type, int]) -> list[np.ndarray]:
+    sizes = [np.dtype(t).itemsize * n for t, n in columns]
+    data = pa.Codec("zstd").decompress(raw, decompressed_size=sum(sizes), asbytes=True)
+    ends = np.cumsum([0, *sizes])
+    return [np.frombuffer(data, t, n, int(at)) for (t, n), at in zip(columns, ends[:-1], strict=True)]
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """h (word hash), n over all texts."""
 
@@ -73,58 +88,31 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class Words:
-    """A block of words: hashes in order, and their counts. A word of the block that isn't here occurs once."""
+    """Words by hash, in order, and their counts."""
 
     def __init__(self, h: np.ndarray, n: np.ndarray):
         order = np.argsort(h)
         self.h, self.n = h[order], n[order]
 
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place in the block (-1: not there) and count of each word."""
-        if not len(self.h):
-            return np.full(len(h), -1), np.ones(len(h))
-        k = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
-        there = self.h[k] == h
-        return np.where(there, k, -1), np.where(there, self.n[k], 1).astype(np.float64)
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Place of each word, -1 if it isn't here."""
+        if not len(self.h) or not len(h):
+            return np.full(len(h), -1)
+        one, at = np.unique(h, return_inverse=True)
+        k = np.minimum(np.searchsorted(self.h, one), len(self.h) - 1)
+        return np.where(self.h[k] == one, k, -1)[at]
 
 
-def _pairs(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For ranges of rows from lo: word hashes, row of each, whether it starts its row, words of each row."""
-    for lo, hi, h, at in W.word_hashes(texts(batch), W.SPACES):
-        row = np.repeat(np.arange(hi - lo), np.diff(at))
-        first = np.ones(len(h), bool)
-        first[1:] = row[1:] != row[:-1]
-        yield lo, h, row, first, np.diff(at)
-
-
-def _by_bucket(kind: int, columns: list[np.ndarray]) -> pa.RecordBatch:
-    """Columns of 64-bit values, row numbers first (ascending), as one packed row per bucket of row numbers."""
-    bucket = columns[0] >> ROW_BITS
-    cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    bodies = [b"".join(np.ascontiguousarray(c[x:y]).tobytes() for c in columns) for x, y in zip(cut, np.append(cut[1:], len(bucket)), strict=True)]
-    return _batch(["bucket", "kind", "body"], bucket[cut], pa.array([kind] * len(cut), pa.int32()), pa.array(bodies, pa.binary()))
-
-
-def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed rows to doc_id, n_tokens, score: kind 0 has row, score, id, whether it is null, tokens; kind 1 has row, score."""
-    rows, scores, facts = [], [], []
-    for batch in batches:
-        for kind, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            t = np.frombuffer(raw, np.int64).reshape(2 if kind else 5, -1)
-            rows.append(t[0])
-            scores.append(t[1].view(np.float64))
-            if kind == 0:
-                facts.append(t[[0, 2, 3, 4]])
-    if not rows:
-        return
-    row, inverse = np.unique(np.concatenate(rows), return_inverse=True)
-    score = np.bincount(inverse, np.concatenate(scores), len(row))
-    fact = np.concatenate(facts, axis=1)
-    at = np.searchsorted(row, fact[0])
-    ids, null, tokens = np.zeros(len(row), np.int64), np.zeros(len(row), bool), np.zeros(len(row), np.int64)
-    ids[at], null[at] = fact[1], fact[2].astype(bool)
-    np.add.at(tokens, at, fact[3])
-    yield _batch(["doc_id", "n_tokens", "score"], pa.array(ids, mask=null), tokens, score)
+def common_words(counts: DataFrame, most: int) -> Words:
+    """The commonest words, at most so many: all from some count on. The driver sees a histogram of logarithms, and them."""
+    level = F.floor(F.log2("n") * 16)
+    left, least = most, None
+    for row in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("level")).collect():  # under 1,024 rows
+        if row["words"] > left:
+            break
+        left, least = left - row["words"], row["level"]
+    t = counts.where(F.lit(False) if least is None else level >= least).toArrow()
+    return Words(t.column("h").to_numpy().view(np.uint64), t.column("n").to_numpy())
 
 
 def frequent_pairs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -134,9 +122,9 @@ def frequent_pairs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(words.h) ** 2, np.int64)
         for batch in batches:
-            for _, h, _, first, _ in _pairs(batch):
-                k, _ = words.find(h)
-                both = (k[1:] >= 0) & (k[:-1] >= 0) & ~first[1:]
+            for _, _, h, at in W.word_hashes(texts(batch), W.SPACES):
+                k = words.find(h)
+                both = (k[1:] >= 0) & (k[:-1] >= 0) & ~_starts(at, len(h))[1:]
                 total += np.bincount(k[:-1][both] * len(words.h) + k[1:][both], minlength=len(total))
         cell = np.flatnonzero(total)
         if len(cell):
@@ -145,114 +133,235 @@ def frequent_pairs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+def _starts(at: np.ndarray, n: int) -> np.ndarray:
+    """Whether each word starts its row."""
+    first = np.zeros(n + 1, bool)
+    first[at] = True
+    return first[:n]
+
+
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
+    """Groups of consecutive rows: number of the first, ids, word hashes, and each row's offset among them."""
+    base, ids, words, counts, rows, size = 0, [], [], [], 0, 0
+
+    def made() -> tuple[int, pa.Array, np.ndarray, np.ndarray]:
+        return base, pa.concat_arrays(ids), np.concatenate(words), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+
+    for batch in batches:
+        number = batch.column(batch.schema.get_field_index("row_no")).to_numpy()
+        own = batch.column(batch.schema.get_field_index("doc_id"))
+        for lo, hi, h, at in W.word_hashes(texts(batch), W.SPACES):
+            for a in range(0, hi - lo, GROUP_ROWS):
+                b = min(hi - lo, a + GROUP_ROWS)
+                if rows and (rows + b - a > GROUP_ROWS or size >= GATHER or number[lo + a] != base + rows):
+                    yield made()
+                    ids, words, counts, rows, size = [], [], [], 0, 0
+                base = base if rows else int(number[lo + a])
+                ids.append(own.slice(lo + a, b - a))
+                words.append(h[at[a] : at[b]])
+                counts.append(np.diff(at[a : b + 1]))
+                rows, size = rows + b - a, size + int(at[b] - at[a])
+    if rows:
+        yield made()
+
+
+class Model:
+    """What every task gets: common words, pairs of very frequent ones, and the number of tokens."""
+
+    def __init__(self, top: Words, total: int, pair_n: np.ndarray, least: int):
+        self.top, self.pair_n, self.least = top, pair_n, least
+        self.log_n, self.log_back = float(np.log(max(total, 1))), float(np.log(BACKOFF))
+        self.log = np.log(np.maximum(top.n, 1).astype(np.float64))
+        often = top.n * FREQUENT >= total
+        self.rank = np.where(often, np.cumsum(often) - 1, -1)
+
+    def better(self, c: np.ndarray, log_v: np.ndarray, log_w: np.ndarray) -> np.ndarray:
+        """What pairs that occur c times add to the backed-off score."""
+        return np.where(c >= self.least, np.log(np.maximum(c, 1)) - log_v - log_w + self.log_n - self.log_back, 0.0)
+
+
+def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.unique(key, return_inverse=True, return_counts=True)
+
+
+def explode(model: Model, n_parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per group and part: packed occurrences. And per group (kind 0): row, id, tokens and what is known of the score."""
+    top, bits = model.top, np.int64(TOP_BITS)
+    for base, ids, h, at in groups(batches):
+        rows, n = len(at) - 1, len(h)
+        row = np.repeat(np.arange(rows), np.diff(at))
+        first = _starts(at, n)
+        k = top.find(h)
+        common = k >= 0
+        score = np.where(common, model.log[k] - model.log_n if len(top.h) else 0.0, 0.0) + np.where(first, 0.0, model.log_back)
+        both = np.zeros(n, bool)
+        both[1:] = common[1:] & common[:-1] & ~first[1:]
+        at_w = np.flatnonzero(both)
+        v, w = k[at_w - 1], k[at_w]
+        ahead = (model.rank[v] >= 0) & (model.rank[w] >= 0) if len(top.h) else np.zeros(0, bool)
+        a, b = v[ahead], w[ahead]
+        score[at_w[ahead]] += model.better(model.pair_n[model.rank[a], model.rank[b]], model.log[a], model.log[b]) if len(a) else 0.0
+        key = (v[~ahead] << bits) | w[~ahead]
+        part = (W.mix(key.view(np.uint64)) % np.uint64(n_parts)).astype(np.int64)
+        order = np.argsort((part << np.int64(2 * TOP_BITS)) | key)
+        key, part, key_row = key[order], part[order], row[at_w[~ahead]][order].astype(np.uint16)
+
+        rare = np.flatnonzero(~common)
+        beside = np.concatenate([[-1], k, [-1]])
+        begins = np.concatenate([first, [True]])
+        before = np.where(begins[rare], -1, beside[rare]) + 1
+        after = np.where(begins[rare + 1], -1, beside[rare + 2]) + 1
+        rare_part = (W.mix(h[rare]) % np.uint64(n_parts)).astype(np.int64)
+        order = np.argsort(rare_part, kind="stable")
+        rare, before, after, rare_part = rare[order], before[order].astype(np.uint32), after[order].astype(np.uint32), rare_part[order]
+
+        told = [pa.array([base] * rows), ids, pa.array(np.diff(at)), pa.array(np.bincount(row, score, rows).astype(np.float64))]
+        facts = pa.StructArray.from_arrays([pa.array(np.arange(rows, dtype=np.int32)), *told[1:]], ["row", "doc_id", "n_tokens", "score"])
+        parts = np.union1d(part, rare_part)
+        i, j = np.searchsorted(part, parts, "left"), np.searchsorted(part, parts, "right")
+        x, y = np.searchsorted(rare_part, parts, "left"), np.searchsorted(rare_part, parts, "right")
+        bodies, heads = [], []
+        for q in range(len(parts)):
+            own, r = slice(i[q], j[q]), slice(x[q], y[q])
+            step = np.diff(key[own], prepend=0).view(np.uint8).reshape(-1, 8)[:, : 2 * TOP_BITS // 8]
+            heads.append((int(j[q] - i[q]), int(y[q] - x[q])))
+            bodies.append(_pack(step.T, key_row[own], h[rare[r]], before[r], after[r], row[rare[r]].astype(np.uint16)))
+        # What is told of rows goes by the group as well: it needn't be counted.
+        yield _batch(
+            ["part", "base", "n_pairs", "n_rare", "body", "facts"],
+            pa.array([base % n_parts, *parts.tolist()], pa.int32()),
+            pa.array([base] * (1 + len(parts)), pa.int64()),
+            pa.array([0, *(p for p, _ in heads)], pa.int32()),
+            pa.array([0, *(p for _, p in heads)], pa.int32()),
+            pa.array([None, *bodies], pa.binary()),
+            pa.ListArray.from_arrays(pa.array([0] + [rows] * (1 + len(parts)), pa.int32()), facts),
+        )
+
+
+_SENT = "part int, base long, n_pairs int, n_rare int, body binary, facts array<struct<row int, doc_id long, n_tokens long, score double>>"
+_BACK = "base long, n int, body binary, facts array<struct<row int, doc_id long, n_tokens long, score double>>"
+
+
+def count_and_join(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A part's share of the count tables, joined to the occurrences it was built from and summed per row."""
+    bases, steps, key_row, rare, before, after, rare_row = [], [], [], [], [], [], []
+    for batch in batches:
+        told = batch.filter(batch.column(4).is_null())
+        if told.num_rows:
+            yield _batch(["base", "n", "body", "facts"], told.column(1), pa.array([0] * told.num_rows, pa.int32()), pa.array([None] * told.num_rows, pa.binary()), told.column(5))
+        rows = batch.filter(batch.column(4).is_valid())
+        for base, n, r, raw in zip(*(rows.column(c).to_pylist() for c in (1, 2, 3, 4)), strict=True):
+            width = 2 * TOP_BITS // 8
+            planes, own_row, h, p, q, r_row = _unpack(raw, (np.uint8, width * n), (np.uint16, n), (np.uint64, r), (np.uint32, r), (np.uint32, r), (np.uint16, r))
+            step = np.zeros((n, 8), np.uint8)
+            step[:, :width] = planes.reshape(width, n).T
+            at = np.int64(len(bases)) << np.int64(16)
+            steps.append(np.cumsum(step.view(np.int64).reshape(-1)))
+            key_row.append(at | own_row)
+            rare.append(h)
+            before.append(p)
+            after.append(q)
+            rare_row.append(at | r_row)
+            bases.append(base)
+    if not bases:
+        return
+    log = model.log
+    key, at, c = _counted(np.concatenate(steps))
+    value = model.better(c, log[key >> TOP_BITS], log[key & ((1 << TOP_BITS) - 1)])[at] if len(key) else np.zeros(0)
+    place = np.concatenate(key_row)
+    place, value = [place[value != 0]], [value[value != 0]]
+    if sum(map(len, rare)):
+        word, at, c = _counted(np.concatenate(rare))
+        own = np.log(c)
+        place.append(np.concatenate(rare_row))
+        total = own[at] - model.log_n
+        sides = [np.concatenate(side).astype(np.int64) for side in (before, after)]
+        keys = [(at << np.int64(TOP_BITS + 2)) | (np.int64(s) << np.int64(TOP_BITS + 1)) | side for s, side in enumerate(sides)]  # side is a place + 1
+        key, pair_at, c = _counted(np.concatenate(keys))
+        beside = key & ((1 << (TOP_BITS + 1)) - 1)
+        gain = np.where(beside > 0, model.better(c, log[np.maximum(beside - 1, 0)] if len(log) else 0.0, own[key >> (TOP_BITS + 2)]), 0.0)[pair_at]
+        value.append(total + gain[: len(at)] + gain[len(at) :])
+    row, at = np.unique(np.concatenate(place), return_inverse=True)
+    score = np.bincount(at, np.concatenate(value), len(row))
+    ends = np.searchsorted(row, np.arange(len(bases) + 1) << 16)
+    made = [(b, x, y) for b, x, y in zip(bases, ends[:-1], ends[1:], strict=True) if y > x]
+    if made:
+        yield _batch(
+            ["base", "n", "body", "facts"],
+            pa.array([b for b, _, _ in made], pa.int64()),
+            pa.array([int(y - x) for _, x, y in made], pa.int32()),
+            pa.array([_pack((row[x:y] & 0xFFFF).astype(np.uint16), score[x:y]) for _, x, y in made], pa.binary()),
+            pa.array([None] * len(made), pa.list_(pa.struct([("row", pa.int32()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("score", pa.float64())]))),
+        )
+
+
+def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """row_no, doc_id, n_tokens, score of the rows of some groups."""
+    sums: dict[int, np.ndarray] = {}
+    facts: dict[int, pa.StructArray] = {}
+    for batch in batches:
+        told = batch.column(3)
+        for i, (base, n, raw) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 2)), strict=True)):
+            if raw is None:
+                facts[base] = told[i].values
+                continue
+            row, score = _unpack(raw, (np.uint16, n), (np.float64, n))
+            own = sums.setdefault(base, np.zeros(int(row[-1]) + 1))
+            if len(own) <= row[-1]:
+                own = sums[base] = np.pad(own, (0, int(row[-1]) + 1 - len(own)))
+            own[row] += score
+    for base, told in facts.items():
+        row, ids, tokens, score = told.flatten()
+        score = score.to_numpy().copy()
+        own = sums.pop(base, np.zeros(0))
+        score[: len(own)] += own
+        yield _batch(["row_no", "doc_id", "n_tokens", "score"], base + row.to_numpy().astype(np.int64), ids, tokens, score)
+
+
+def rare_pairs(top: Words, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """v, w (hashes), row_no of each pair of words that aren't common."""
+    for base, _, h, at in groups(batches):
+        rare = top.find(h) < 0
+        both = np.flatnonzero(rare[1:] & rare[:-1] & ~_starts(at, len(h))[1:]) + 1
+        row = np.searchsorted(at, both, "right") - 1
+        if len(both):
+            yield _batch(["v", "w", "row_no"], h[both - 1].view(np.int64), h[both].view(np.int64), base + row)
+
+
+def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_PAIR, top_words: int = 1 << TOP_BITS, steady: bool = False) -> DataFrame:
     """One row per row of df: doc_id, n_tokens, score (sum of log scores), mean_score.
 
     Null and empty texts have no tokens, score 0 and a null mean. Repeated rows count as often as
-    they occur. Other columns are ignored; an empty table gives an empty result.
+    they occur, and each has its own result; ids may repeat or be null. Very long texts are hashed in
+    pieces. Other columns are ignored, whatever their names; an empty table gives an empty result.
+    steady: df has the same rows in the same order whenever a partition is read again, as plain
+    scans of files do; other tables are written once, so that row numbers survive a repeated task.
     """
     spark = df.sparkSession
     docs = narrow(df, doc_id=id_col, text=text_col)
-    counts = stored(word_counts(docs), "words")
-    total, known = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 1, 1))).first()
-    n_blocks = max(1, -(-known // block_words))
-    broad = spark.sparkContext.broadcast
-
-    def block(k: int) -> Words:
-        """At most about block_words words: hashes deal them out evenly."""
-        t = counts.where((F.col("n") > 1) & (F.pmod("h", F.lit(n_blocks)) == k)).toArrow()
-        return Words(t.column("h").to_numpy().view(np.uint64), t.column("n").to_numpy())
-
-    top = counts.where(F.col("n") * FREQUENT >= total).toArrow()  # at most FREQUENT words
-    frequent = Words(top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy())
-    t = frequent_pairs(docs, frequent.h).toArrow() if len(frequent.h) else None  # at most FREQUENT squared
-    matrix = np.zeros((len(frequent.h), len(frequent.h)), np.int32 if total < 2**31 else np.int64)
-    if t is not None and t.num_rows:
-        matrix.reshape(-1)[t.column("pair").to_numpy()] = t.column("n").to_numpy()
-    common = broad((frequent, matrix))
-    n_parts = max(1, -(-total // PAIRS_AT_ONCE))
-    log_n, log_back = float(np.log(max(total, 1))), float(np.log(BACKOFF))
-
-    # Rows are told apart by a number that survives a repeated task: the table is written once.
     numbered = docs.withColumn("row_no", F.monotonically_increasing_id())
-    numbered = stored(numbered, "numbered") if _moves(docs) else numbered
-    sums = None
-    for i in range(n_blocks):
-        before = broad(block(i))
-        for j in range(n_blocks):
-            after = before if i == j else broad(block(j))
-
-            def explode(batches: Iterator[pa.RecordBatch], i=i, j=j, before=before, after=after) -> Iterator[pa.RecordBatch]:
-                """Scores known here, and the pairs to be counted, by partition: per row of the batch, lists of pairs."""
-                (top, pair_n), own = common.value, n_blocks > 1
-                for batch in batches:
-                    row_no = batch.column(batch.schema.get_field_index("row_no")).to_numpy()
-                    for lo, h, row, first, n_words in _pairs(batch):
-                        rows = len(n_words)
-                        v, w = np.concatenate([h[:1], h[:-1]]), h
-                        if own:
-                            mine = ((h.view(np.int64) % n_blocks) == j) & (first & (i == j) | ~first & ((v.view(np.int64) % n_blocks) == i))
-                            v, w, row, first = v[mine], w[mine], row[mine], first[mine]
-                        a, c_v = before.value.find(v)
-                        b, c_w = after.value.find(w)
-                        back = np.log(c_w) - log_n
-                        value = np.where(first, back, back + log_back)
-                        ta, _ = top.find(v)
-                        tb, _ = top.find(w)
-                        both = (ta >= 0) & (tb >= 0) & ~first
-                        c = np.where(both, pair_n[np.maximum(ta, 0), np.maximum(tb, 0)] if len(top.h) else 0, 0)
-                        seen = both & (c >= LEAST_PAIR)
-                        value[seen] = np.log(c[seen]) - np.log(c_v[seen])
-                        ask = ~first & ~both & (a >= 0) & (b >= 0)
-                        value[ask] = 0
-                        ids = batch.column(batch.schema.get_field_index("doc_id")).slice(lo, rows)
-                        told = [row_no[lo : lo + rows], np.bincount(row, value, rows), ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64), n_words if i == j == 0 else 0 * n_words]
-                        blobs, parts = [b"".join(np.ascontiguousarray(x).tobytes() for x in told)], [int(row_no[lo]) % n_parts]
-                        key = (a[ask].astype(np.uint64) << np.uint64(32)) | b[ask].astype(np.uint64)
-                        part = (W.mix(key) % np.uint64(n_parts)).astype(np.int64)
-                        order = np.lexsort((row[ask], part))
-                        key, part, at = key[order], part[order], row[ask][order]
-                        cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
-                        for x, y in zip(cut, np.append(cut[1:], [len(part)] * min(1, len(cut))), strict=True):
-                            r, size = np.unique(at[x:y], return_counts=True)
-                            head = np.concatenate([[len(r)], row_no[lo + r], size]).astype(np.int64)
-                            blobs.append(head.tobytes() + key[x:y].tobytes())
-                            parts.append(int(part[x]))
-                        yield _batch(["part", "kind", "body"], parts, pa.array([0] + [1] * (len(parts) - 1), pa.int32()), pa.array(blobs, pa.binary()))
-
-            def count_and_join(batches: Iterator[pa.RecordBatch], before=before, after=after) -> Iterator[pa.RecordBatch]:
-                """A partition's share of the count table, joined to its exploded pairs and summed per row."""
-                keys, rows, sizes = [], [], []
-                for batch in batches:
-                    for kind, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                        if kind == 0:  # scores known where the pairs were read
-                            yield _by_bucket(0, list(np.frombuffer(raw, np.int64).reshape(5, -1)))
-                            continue
-                        n = int(np.frombuffer(raw, np.int64, 1)[0])
-                        head = np.frombuffer(raw, np.int64, 2 * n, 8)
-                        rows.append(head[:n])
-                        sizes.append(head[n:])
-                        keys.append(np.frombuffer(raw, np.uint64, -1, 8 + 16 * n))
-                if not keys:
-                    return
-                key = np.concatenate(keys)
-                pair, at, c = np.unique(key, return_inverse=True, return_counts=True)
-                a, b = (pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                score = np.where(c >= LEAST_PAIR, np.log(c) - np.log(before.value.n[a]), log_back + np.log(after.value.n[b]) - log_n)
-                row, inverse = np.unique(np.concatenate(rows), return_inverse=True)
-                got = np.bincount(np.repeat(inverse, np.concatenate(sizes)), score[at], len(row))
-                yield _by_bucket(1, [row, got.view(np.int64)])
-
-            sent = numbered.mapInArrow(explode, "part long, kind int, body binary")
-            each = sent.repartition(int(n_parts), "part").mapInArrow(count_and_join, "bucket long, kind int, body binary")
-            sums = each if sums is None else sums.unionByName(each)
-    summed = sums.repartition("bucket").mapInArrow(_add_up, "doc_id long, n_tokens long, score double")
-    return summed.select(
-        "doc_id", "n_tokens", F.round("score", 6).alias("score"), F.round(F.col("score") / F.when(F.col("n_tokens") > 0, F.col("n_tokens")), 6).alias("mean_score")
-    )
-
-
-def _moves(docs: DataFrame) -> bool:
-    """Whether the order of rows within partitions may differ when a task is repeated: all but plain scans."""
-    plan = docs._jdf.queryExecution().optimizedPlan().toString()
-    return any(word in plan for word in ("Join", "Aggregate", "Repartition", "Sort", "Window", "MapIn"))
+    if not steady:
+        numbered = stored(numbered, "numbered")
+        docs = numbered.select("doc_id", "text")
+    counts = stored(word_counts(docs), "words")
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    top = common_words(counts, min(top_words, 1 << TOP_BITS))
+    often = top.h[top.n * FREQUENT >= total]
+    pair_n = np.zeros((len(often), len(often)), np.int64)
+    if len(often):
+        t = frequent_pairs(docs, often).toArrow()  # at most FREQUENT squared
+        pair_n.reshape(-1)[t.column("pair").to_numpy()] = t.column("n").to_numpy()
+    shared = spark.sparkContext.broadcast(Model(top, total, pair_n, least))
+    n_parts = int(max(1, -(-total // PAIRS_AT_ONCE)))
+
+    sent = numbered.mapInArrow(lambda batches: explode(shared.value, n_parts, batches), _SENT)
+    back = sent.repartitionById(n_parts, F.col("part")).mapInArrow(lambda batches: count_and_join(shared.value, batches), _BACK)
+    rows = back.repartition(n_parts, "base").mapInArrow(add_up, "row_no long, doc_id long, n_tokens long, score double")
+    if distinct > len(top.h):
+        rest = stored(numbered.mapInArrow(lambda batches: rare_pairs(shared.value.top, batches), "v long, w long, row_no long"), "rare_pairs")
+        n_of = lambda c: counts.select(F.col("h").alias(c), F.col("n").alias(f"n_{c}"))
+        pairs = rest.groupBy("v", "w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).join(n_of("v"), "v").join(n_of("w"), "w")
+        gain = F.log("n") - F.log("n_v") - F.log("n_w") + F.lit(float(np.log(max(total, 1)) - np.log(BACKOFF)))
+        more = rest.join(pairs.select("v", "w", gain.alias("gain")), ["v", "w"]).groupBy("row_no").agg(F.sum("gain").alias("more"))
+        rows = rows.join(more, "row_no", "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0.0)))
+    return rows.select("doc_id", "n_tokens", F.round("score", 6).alias("score"), F.round(F.col("score") / F.when(F.col("n_tokens") > 0, F.col("n_tokens")), 6).alias("mean_score"))

@@ -59,7 +59,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scores(_table(spark, sf_dir, "documents"))
+    return lm_scores(_table(spark, sf_dir, "documents"), steady=True)
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,4 +110,27 @@ SQL: dict[str, str] = {
                doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM d
     """,
+    "op9_lm_scoring": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+            FROM documents
+        ), p AS (
+            SELECT r, unnest(list_zip([NULL] || words[:-2], words)) AS pair FROM d
+        ), t AS (
+            SELECT r, pair[1] AS v, pair[2] AS w FROM p
+        ), one AS (
+            SELECT w, count(*) AS n FROM t GROUP BY w
+        ), two AS (
+            SELECT v, w, count(*) AS n FROM t WHERE v IS NOT NULL GROUP BY v, w
+        ), total AS (
+            SELECT count(*) AS n FROM t
+        ), s AS (
+            SELECT t.r, sum(CASE WHEN t.v IS NULL THEN ln(w1.n / total.n) WHEN two.n >= 2 THEN ln(two.n / v1.n) ELSE ln(0.4 * w1.n / total.n) END) AS score
+            FROM t CROSS JOIN total JOIN one w1 ON w1.w = t.w LEFT JOIN one v1 ON v1.w = t.v LEFT JOIN two ON two.v = t.v AND two.w = t.w
+            GROUP BY t.r
+        )
+        SELECT doc_id, len(words) AS n_tokens, round(coalesce(score, 0), 6) AS score, round(score / nullif(len(words), 0), 6) AS mean_score
+        FROM d LEFT JOIN s USING (r)
+    """,
 }
