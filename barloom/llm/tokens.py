@@ -28,22 +28,23 @@ def _bytes_of_symbols() -> dict[str, int]:
 
 
 class TokenIds:
-    """Encodes texts; strings of special tokens are ordinary text."""
+    """Encodes texts as the tokenizer file does; texts with a string of a special token go to the reference tokenizer."""
 
     def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
 
         self.exact = Tokenizer.from_file(path)
-        self.exact.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            file = json.load(f)
+        vocabulary = file["model"]["vocab"]
+        self.special = [t["content"] for t in file.get("added_tokens") or []]
         symbol = _bytes_of_symbols()
         ranks = {bytes(symbol[c] for c in t): i for t, i in vocabulary.items() if all(c in symbol for c in t) and not t.startswith("<|")}
         self.fast = tiktoken.Encoding("byte_bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> np.ndarray:
-        if _UNUSUAL.search(text):
+        if _UNUSUAL.search(text) or any(t in text for t in self.special):
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.fast.encode_to_numpy(text).astype(np.uint32, copy=False)
 

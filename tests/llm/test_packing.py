@@ -12,7 +12,6 @@ SF = "/root/testdata/sf0.001"
 def check(rows, docs, room=1024):
     """Every id in exactly one piece, checksums right, offsets gapless; returns padding over tokens."""
     plain = Tokenizer.from_file(tokens.default_path())
-    plain.encode_special_tokens = True
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r["doc_id"]].append(r)
@@ -67,3 +66,13 @@ def test_column_price_is_optimal():
     best = max(a * 0.31 + b * 0.55 + c * 0.9 for a in range(8) for b in range(5) for c in range(3) if 3 * a + 5 * b + 8 * c <= 21)
     total, column = packing.price_column(value, sizes, 21)
     assert abs(total - best) < 1e-9 and abs((column * value).sum() - best) < 1e-9
+
+
+def test_ids_are_those_of_the_tokenizer(spark):
+    plain = Tokenizer.from_file(tokens.default_path())
+    ours = tokens.tokenizer(tokens.default_path())
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "<|endoftext|", "plain", "", "\x00 \u00a0 x"):
+        assert ours(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert ours("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    df = spark.createDataFrame([(1, "a <|endoftext|> b"), (2, None), (2, None), (None, "x")], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, r["doc_tokens"]) for r in packing.pack(df).collect() if r["start"] == 0) == [(0, 2), (1, 5), (2, 1), (2, 1)]
