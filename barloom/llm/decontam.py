@@ -9,7 +9,6 @@ each against all documents, so it may be of any length.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +22,8 @@ from barloom.llm.common import map_arrow, narrow
 WORDS = W.SPACES + W.PUNCTUATION
 #: Characters of benchmark text in a block: what one broadcast holds.
 BLOCK_CHARS = 16_000_000
+#: Places of seeds in items that are looked at at once, about.
+PLACES_AT_ONCE = 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,53 +55,86 @@ def free_starts(marked: np.ndarray, size: int) -> np.ndarray:
     return np.flatnonzero(total[size:] == total[:-size])
 
 
+def covered(hit: np.ndarray, size: int, n: int) -> np.ndarray:
+    """Which of n tokens lie in one of the windows of size tokens that are hit."""
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, hit, 1)
+    np.add.at(edge, hit + size, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def _shared(item: np.ndarray, text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which tokens of either lie in a window of `least` tokens that both have: no tile lies elsewhere."""
+    out = []
+    every = [np.arange(max(0, len(x) - least + 1)) for x in (item, text)]
+    h = [windows(x, at, least, *running(x)) if len(at) else np.zeros(0, np.uint64) for x, at in zip((item, text), every, strict=True)]
+    for k, x in enumerate((item, text)):
+        out.append(covered(np.flatnonzero(np.isin(h[k], h[1 - k])), least, len(x)))
+    return out[0], out[1]
+
+
 def tile(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """Tiles (start in item, start in text, length) of at least `least` tokens, longest first.
+    """Tiles (start in item, start in text, length) of at least `least` tokens, longest first; ties go to the earliest.
 
-    The search length starts high and falls; matches found at a length are extended as far as they
-    go and marked longest first, each up to the first token that a longer tile took; ties go to the earliest.
+    In each round the longest length at which unmarked windows of both meet is found by bisection, and all tiles of
+    that length are marked; so there are no more rounds than tiles of different lengths. A round takes time and memory
+    in proportion to the tokens that lie in shared windows, however often a token is repeated.
     """
     tiles: list[tuple[int, int, int]] = []
-    in_item, in_text = np.zeros(len(item), np.int64), np.zeros(len(text), np.int64)
-    text = text.copy()
+    in_both, of_text = _shared(item, text, least)
+    places = np.flatnonzero(of_text)
+    if not len(places):
+        return tiles
+    # Text that shares nothing is left out; a marked place between its parts keeps windows from reaching over.
+    new = np.flatnonzero(np.diff(places) > 1) + 1
+    short = np.insert(text[places], new, np.uint64(0))
+    origin = np.insert(places, new, -1)
+    in_item, in_text = (~in_both).astype(np.int64), (origin < 0).astype(np.int64)
     prefix_a, power_a = running(item)
-    prefix_b, power_b = running(text)
-    size = max(least, min(len(item), len(text)))
-    while size >= least:
+    prefix_b, power_b = running(short)
+
+    def met(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Unmarked windows of the item that the text has, and of the text, with their hashes."""
         a, b = free_starts(in_item, size), free_starts(in_text, size)
-        found: list[tuple[int, int, int]] = []
-        if len(a) and len(b):
-            ha, hb = windows(item, a, size, prefix_a, power_a), windows(text, b, size, prefix_b, power_b)
-            order = np.argsort(hb, kind="stable")
-            lo, hi = np.searchsorted(hb[order], ha, "left"), np.searchsorted(hb[order], ha, "right")
-            for i in np.flatnonzero(hi > lo):
-                for j in b[order[lo[i] : hi[i]]]:
-                    p, q, k = int(a[i]), int(j), size
-                    if not (item[p : p + k] == text[q : q + k]).all():
-                        continue
-                    while p + k < len(item) and q + k < len(text) and item[p + k] == text[q + k] and not in_item[p + k] and not in_text[q + k]:
-                        k += 1
-                    found.append((k, p, q))
-        longest = max((f[0] for f in found), default=0)
-        if longest > 2 * size:
-            size = longest
-            continue
-        heap = [(-k, p, q) for k, p, q in found]
-        heapq.heapify(heap)
-        while heap:
-            k, p, q = heapq.heappop(heap)
-            k = -k
-            taken = np.flatnonzero(in_item[p : p + k] | in_text[q : q + k])
-            if len(taken):
-                if taken[0] >= size:  # what is left of the match waits for its turn
-                    heapq.heappush(heap, (-int(taken[0]), p, q))
+        ha, hb = windows(item, a, size, prefix_a, power_a), windows(short, b, size, prefix_b, power_b)
+        own = np.isin(ha, hb)
+        return a[own], ha[own], b, hb
+
+    most = min(len(item), len(short))
+    while most >= least:
+        low, high, here = least - 1, most, met(most)
+        if len(here[0]):
+            low = most
+        else:
+            high -= 1
+        while low < high:
+            size = (low + high + 1) // 2
+            got = met(size)
+            if len(got[0]):
+                low, here = size, got
             else:
-                in_item[p : p + k] = 1
-                in_text[q : q + k] = 1
-                tiles.append((p, q, k))
-        if in_item.all():
+                high = size - 1
+        if low < least:
             break
-        size = max(least, size // 2) if size > least else 0
+        a, ha, b, hb = here
+        order = np.argsort(hb, kind="stable")
+        b, hb = b[order], hb[order]
+        lo, hi = np.searchsorted(hb, ha, "left"), np.searchsorted(hb, ha, "right")
+        next_of: dict[int, int] = {}  # by hash: what of the list has been tried
+        for p, x, end in zip(a.tolist(), lo.tolist(), hi.tolist(), strict=True):
+            if in_item[p : p + low].any():
+                continue
+            at = next_of.get(x, x)
+            while at < end:
+                q = int(b[at])
+                at += 1
+                if not in_text[q : q + low].any() and (item[p : p + low] == short[q : q + low]).all():
+                    in_item[p : p + low] = 1
+                    in_text[q : q + low] = 1
+                    tiles.append((p, int(origin[q]), low))
+                    break
+            next_of[x] = at
+        most = low - 1
     return tiles
 
 
@@ -126,25 +160,38 @@ class Index:
         seeds, owner = (np.concatenate(seeds), np.concatenate(owner)) if seeds else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         order = np.lexsort((owner, seeds))
         self.seeds, self.owner = seeds[order], owner[order]
+        self.lengths = np.array([len(t) for t in self.tokens], np.int64)
         self.filter = np.zeros(1 << 22, bool)
         self.filter[self.seeds >> np.uint64(42)] = True
 
-    def candidates(self, h: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Pairs (row, item) that share a seed, from the token hashes of some rows."""
+    def candidates(self, h: np.ndarray, at: np.ndarray, cover: float) -> np.ndarray:
+        """Pairs (row, item) whose shared seeds could cover enough of the item, from the token hashes of some rows."""
         pairs = []
         for size in self.sizes:
             g, g_at = W.grams(h, at, size)
             hit = np.flatnonzero(self.filter[g >> np.uint64(42)])
-            if not len(hit):
-                continue
             lo, hi = np.searchsorted(self.seeds, g[hit], "left"), np.searchsorted(self.seeds, g[hit], "right")
             hit, lo, hi = hit[hi > lo], lo[hi > lo], hi[hi > lo]
+            if not len(hit):
+                continue
             row = np.searchsorted(g_at, hit, "right") - 1
-            one = np.unique(np.column_stack([row, lo, hi]), axis=0) if len(hit) else np.zeros((0, 3), np.int64)
-            for r, a, b in one.tolist():
-                own = self.owner[a:b]
-                pairs += [(r, int(i) // 64) for i in own if int(i) % 64 == size]
-        return np.unique(np.array(pairs, np.int64).reshape(-1, 2), axis=0)
+            row, lo, hi = np.unique(np.column_stack([row, lo, hi]), axis=0).T
+            ends = np.cumsum(hi - lo)
+            keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            a = 0
+            while a < len(row):  # so many places of seeds in items at once
+                b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + PLACES_AT_ONCE, "right")))
+                n = hi[a:b] - lo[a:b]
+                place = np.repeat(lo[a:b] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                own = self.owner[place]
+                key = (np.repeat(row[a:b], n) * len(self.ids) + own // 64)[own % 64 == size]
+                keys, back = np.unique(np.concatenate([keys, key]), return_inverse=True)
+                counts = np.bincount(back, np.concatenate([counts, np.ones(len(key), np.int64)]), len(keys)).astype(np.int64)
+                a = b
+            item = keys % len(self.ids)
+            enough = counts * size >= np.where(self.lengths[item] >= self.seed, cover, 1) * self.lengths[item]
+            pairs.append(np.column_stack([keys // len(self.ids), item])[enough])
+        return np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
 
 
 def benchmark_blocks(items: DataFrame, id_col: str, text_col: str, most: int) -> Iterator[list[tuple[int, str]]]:
@@ -174,7 +221,10 @@ def leaks(
     """One row per document and item that leaks into it: doc_id, item_id, coverage, n_tiles, longest_tile.
 
     Items with fewer tokens than a seed must occur whole. Null and empty texts and items match
-    nothing; repeated rows give repeated results; an empty table gives an empty result.
+    nothing; repeated rows give repeated results; an empty table gives an empty result. Of tiles of one
+    length the first in the item, then the first in the text is marked. Very long texts are compared
+    whole, in time and memory in proportion to their length, whatever repeats in them. Other columns are
+    ignored, whatever their names.
     """
     spark = df.sparkSession
     schema = "doc_id long, item_id long, coverage double, n_tiles int, longest_tile int"
@@ -190,7 +240,7 @@ def leaks(
             rows: list[tuple] = []
             own = index.value
             for lo, _, h, at in W.word_hashes(texts(batch), WORDS):
-                for r, i in own.candidates(h, at).tolist():
+                for r, i in own.candidates(h, at, cover).tolist():
                     item = own.tokens[i]
                     tiles = tile(item, h[at[r] : at[r + 1]], min(seed, len(item)))
                     covered = sum(k for _, _, k in tiles) / len(item)
@@ -206,7 +256,7 @@ def leaks(
 
 
 def clean_rows(df: DataFrame, benchmark: DataFrame, seed: int = 5, cover: float = 0.5, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of df into which no item leaks, with all their columns."""
+    """The rows of df into which no item leaks, with all their columns. Edge cases are as in leaks."""
     out = df
     for block in benchmark_blocks(benchmark, "item_id", "text", block_chars):
         index = df.sparkSession.sparkContext.broadcast(Index(block, seed))
@@ -216,7 +266,7 @@ def clean_rows(df: DataFrame, benchmark: DataFrame, seed: int = 5, cover: float
 
             own, good = index.value, np.ones(batch.num_rows, bool)
             for lo, _, h, at in W.word_hashes(texts(batch), WORDS):
-                for r, i in own.candidates(h, at).tolist():
+                for r, i in own.candidates(h, at, cover).tolist():
                     item = own.tokens[i]
                     if good[lo + r] and sum(k for _, _, k in tile(item, h[at[r] : at[r + 1]], min(seed, len(item)))) >= (cover if len(item) >= seed else 1) * len(item):
                         good[lo + r] = False
