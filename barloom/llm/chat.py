@@ -16,8 +16,9 @@ from dataclasses import dataclass, field
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 from barloom.llm.common import narrow
 from barloom.session import ship_package
@@ -122,6 +123,11 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(lambda m: m[0][0] + m[0][2:], text)
 
 
+def unescaped(text: Column) -> Column:
+    """unescape as a column."""
+    return F.regexp_replace(text, "|".join(f"(?<={re.escape(c[0])})\\\\(?=\\\\*{re.escape(c[1:])})" for c in CONTROLS), "")
+
+
 def write_turn(role: str, text: str) -> tuple[str, int, int]:
     """A formatted turn, and from where to where it counts for the loss (only an assistant's text does)."""
     head = f"<|turn|>{escape(role)}<|text|>"
@@ -174,7 +180,10 @@ def canonical_turns(records: DataFrame, id_col: str = "conv_id", json_col: str =
 
 
 def formatted_turns(turns: DataFrame) -> DataFrame:
-    """conv_id, part, nth, formatted, loss_from, loss_to of each turn: concatenated in order they are the conversation's text."""
+    """conv_id, part, nth, formatted, loss_from, loss_to of each turn: concatenated in order they are the conversation's text.
+
+    Rows whose role is null, which stand for records of an unknown layout, have no turn: canonical_turns has them.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,17 +240,63 @@ def digests(formatted: DataFrame) -> DataFrame:
             yield flush()
 
     ship_package(formatted.sparkSession)
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part", "nth", "formatted")
+    # Ties go by role and text as they were: escaping changes the order of strings.
+    role = F.expr("substring(formatted, 9, instr(formatted, '<|text|>') - 9)")
+    text = F.expr("substring(formatted, instr(formatted, '<|text|>') + 8, length(formatted) - instr(formatted, '<|text|>') - 14)")
+    dealt = formatted.repartition("conv_id")
+    ordered = dealt.withColumns({"_role": unescaped(role), "_text": unescaped(text)}).sortWithinPartitions("conv_id", "part", "nth", "_role", "_text").drop("_role", "_text")
     return ordered.mapInArrow(read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
+def schema_paths(kind: DataType, at: str = "") -> set[str]:
+    """paths of a record that has all fields of a schema."""
+    if isinstance(kind, StructType):
+        return set().union(*(schema_paths(f.dataType, f"{at}.{f.name}" if at else f.name) for f in kind.fields))
+    return schema_paths(kind.elementType, f"{at}[]") if isinstance(kind, ArrayType) else {at}
+
+
+def table_turns(records: DataFrame, id_col: str, order_col: str | None = None, extra: Registry | None = None) -> DataFrame:
+    """canonical_turns of a table whose columns are the records' fields: conv_id, part, nth, role, text.
+
+    All rows have one layout, so one fingerprint selects the mapping and the turns are column expressions. A layout that
+    isn't known raises ValueError. Turns that a row doesn't have (all fields null) are left out; a null text is empty.
+    """
+    known = extra or registry()
+    mapping = known.known.get(fingerprint(schema_paths(records.schema)))
+    if mapping is None:
+        raise ValueError(f"no mapping for the layout {sorted(schema_paths(records.schema))}")
+    names = F.create_map(*(F.lit(x) for pair in ROLES.items() for x in pair))
+    column = lambda c: F.col(f"`{c}`")
+    own_role = lambda r: F.coalesce(names[r], r, F.lit(""))
+    turn = lambda role, text: F.struct(role.alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
+    if mapping.fields:
+        have = {f.name for f in records.schema.fields}
+        own = []
+        for role, fields in mapping.fields:
+            parts = [column(f).cast("string") for f in fields if f in have]
+            if parts:
+                said = F.concat_ws("\n\n", *(F.when(p != "", p) for p in parts))
+                own.append(F.when(F.coalesce(*parts).isNotNull(), turn(F.lit(role), said)))
+        turns = F.filter(F.array(*own), lambda t: t.isNotNull())
+    elif mapping.messages is None:
+        turns = F.array(turn(own_role(column(mapping.role)), column(mapping.text) if mapping.text in records.columns else F.lit(None)))
+    else:
+        has_text = mapping.text in records.schema[mapping.messages].dataType.elementType.names
+        said = lambda m: turn(own_role(m[mapping.role]), m[mapping.text] if has_text else F.lit(None))
+        turns = F.transform(F.filter(column(mapping.messages), lambda m: m.isNotNull()), said)
+    part = F.coalesce(column(order_col).cast("long"), F.lit(0)) if order_col else F.lit(0)
+    rows = records.select(column(id_col).alias("conv_id"), part.cast("long").alias("part"), F.posexplode(turns).alias("nth", "t"))
+    return rows.select("conv_id", "part", "nth", "t.role", "t.text")
+
+
 def format_conversations(turn_rows: DataFrame) -> DataFrame:
     """formatted_turns of a table with one row per turn (conv_id, turn, role, text).
 
-    Each row is a record of its own, whose layout is fingerprinted like any other. Turns with the
-    same number go by role and text; a null number comes first; a null text or role is empty.
-    Repeated rows are repeated turns. Other columns are ignored; an empty table gives none.
+    Each row is a record of its own; their common layout is fingerprinted like any other. Turns with the
+    same number go by role and text; a null number comes first, a null text or role is empty.
+    Repeated rows are repeated turns. Very long texts are escaped whole. Other columns are ignored; an
+    empty table gives none.
     """
     rows = narrow(turn_rows, conv_id="conv_id", turn="turn", role="role", text="text")
-    records = rows.select("conv_id", "turn", F.to_json(F.struct(F.coalesce("conv_id", F.lit(0)).alias("conv_id"), F.coalesce("turn", F.lit(0)).alias("turn"), F.coalesce("role", F.lit("")).alias("role"), "text")).alias("record"))
-    return formatted_turns(canonical_turns(records, order_col="turn"))
+    order = F.coalesce("turn", F.lit(-(1 << 63)))
+    return formatted_turns(table_turns(rows.withColumn("turn", order), "conv_id", "turn"))
