@@ -38,10 +38,16 @@ _BSD = (
 )
 _BSD_HEAD = (
     "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
-    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
-    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "{0} Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "{1} Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
     "documentation and/or other materials provided with the distribution. "
 )
+_BSD_NAMES = (
+    "{2} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission. "
+)
+#: What conditions are numbered with; signs are punctuation, so one of them stands for all.
+_MARKS = (("1.", "2.", "3."), ("*", "*", "*"), ("a.", "b.", "c."))
 TEXTS = {
     "MIT": [
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
@@ -54,11 +60,8 @@ TEXTS = {
         "copyright notice and this permission notice appear in all copies. " + _ISC
     ],
     "0BSD": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. " + _ISC],
-    "BSD-2-Clause": [_BSD_HEAD + _BSD],
-    "BSD-3-Clause": [
-        _BSD_HEAD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
-        "this software without specific prior written permission. " + _BSD
-    ],
+    "BSD-2-Clause": [_BSD_HEAD.format(*marks) + _BSD for marks in _MARKS],
+    "BSD-3-Clause": [(_BSD_HEAD + _BSD_NAMES).format(*marks) + _BSD for marks in _MARKS],
     "Apache-2.0": [
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a '
         "copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed "
@@ -94,8 +97,8 @@ for _id, _name in (("LGPL-2.1", "Lesser General Public License, version 2.1"), (
 for _id, _title in TITLES.items():
     NOTICES[_id] = [*dict.fromkeys([*NOTICES.get(_id, []), _title, *(f"{_verb} the {_title}." for _verb in ("Licensed under", "Released under"))])]
     TEXTS[_id] += [f"{n}\n{t}" for n in NOTICES[_id] for t in TEXTS[_id]]  # such a statement can follow the copyright
-#: Equivalent spellings, as words of normalised text.
-SPELLINGS = (("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sublicence", "sublicense"), ("merchantibility", "merchantability"), ("noncommercial", "non commercial"), ("copyright owner", "copyright holder"))
+#: Equivalent spellings, as patterns over words of normalised text.
+SPELLINGS = (("(sub)?licenc(e|es|ed)", "$1licens$2"), ("merchantibility", "merchantability"), ("noncommercial", "non commercial"), ("copyright owner", "copyright holder"))
 _YEAR = r"[\[<{(]?(?:[12][0-9]{3}|yyyy|year)\b"
 _UNDER = (
     r"(?:licen[sc]ed|released|distributed|published|available) +under\b[^\n]*|this +(?:work|software|file|code|program|document|project|package) +is +\w+ +under\b[^\n]*"
@@ -109,24 +112,22 @@ _COPYRIGHT = (
 )
 
 
-def canonical_sql(text: str, engine: str) -> str:
-    """The canonical form as a SQL expression over text, for Spark or for DuckDB."""
+#: Fixed value: signs that are punctuation besides those of ASCII.
+SIGNS = "‐-―‘-‟•…«»·"
 
-    def replace(x: str, pattern: str, by: str, head: bool = False) -> str:
-        return f"regexp_replace({x}, '{pattern}', '{by}')" if engine == "spark" else f"regexp_replace({x}, '{pattern}', '{by}', 'g')"
 
-    out = f"coalesce({text}, '')"
-    out = replace(out, _COPYRIGHT if engine == "duckdb" else _COPYRIGHT.replace("(?im)", "(?imd)").replace("\\", "\\\\"), r" \1\2\3" if engine == "duckdb" else " $1$2$3")
-    out = f"lower({out})"
-    out = replace(out, "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+" if engine == "duckdb" else "[\\\\x00-\\\\x2F\\\\x3A-\\\\x60\\\\x7B-\\\\x7F]+", " ")
-    out = f"concat(' ', {out}, ' ')"
+def canonical_sql(text: str) -> str:
+    """The canonical form as a SQL expression over text."""
+    statement = _COPYRIGHT.replace("(?im)", "(?imd)").replace("\\", "\\\\")
+    out = f"lower(regexp_replace(coalesce({text}, ''), '{statement}', ' $1$2$3'))"
+    out = f"concat(' ', regexp_replace({out}, '[\\\\x00-\\\\x2F\\\\x3A-\\\\x60\\\\x7B-\\\\x7F{SIGNS}]+', ' '), ' ')"
     for a, b in SPELLINGS:
-        out = f"replace({out}, ' {a} ', ' {b} ')"
+        out = f"regexp_replace({out}, '(?<= ){a}(?= )', '{b}')"
     return f"trim({out})"
 
 
 def canonical(text: str) -> Column:
-    return F.expr(canonical_sql(f"`{text}`", "spark"))
+    return F.expr(canonical_sql(f"`{text}`"))
 
 
 def catalogue(spark: SparkSession) -> DataFrame:
@@ -156,7 +157,7 @@ def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         line.setdefault(digest, set()).add(i)
     whole = F.broadcast(spark.createDataFrame([(d, ",".join(ids)) for d, ids in whole.items()], "_whole string, license_id string"))  # a small table
     lookup = F.from_json(F.lit(json.dumps({d: sorted(ids) for d, ids in line.items()})), "map<string,array<string>>")
-    digests = F.expr(f"transform(filter(split(coalesce(text, ''), '\\n'), x -> trim(x) <> ''), x -> sha2({canonical_sql('x', 'spark')}, 256))")
+    digests = F.expr(f"transform(filter(split(coalesce(text, ''), '\\n'), x -> trim(x) <> ''), x -> sha2({canonical_sql('x')}, 256))")
     found = F.flatten(F.filter(F.transform(digests, lambda d: lookup[d]), lambda v: v.isNotNull()))
     return (
         docs.withColumn("_digest", F.sha2(canonical("text"), 256))
@@ -165,6 +166,30 @@ def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def duckdb_canonical(text: str) -> str:
+    """The canonical form written anew for DuckDB: by lines and by words, with patterns of its own."""
+    year = r"[\[<{(]?(?:[12]\d\d\d|yyyy|year)\b"
+    head = rf"^[ \t*#/;-]*(?:copyright[ \t:,]*(?:\(c\)|©|{year})|\(c\)[ \t]*(?:copyright|©|{year})|©)"
+    grant = (
+        r"((?:licen[cs]ed|released|distributed|published|available) +under\b.*|this +(?:work|software|file|code|program|document|project|package) +is +\w+ +under\b.*"
+        r"|permission +(?:is +hereby|to +use)\b.*|redistribution +and +use\b.*)$"
+    )
+    name = r"((?:the +)?(?:mit|isc|bsd|apache|gnu|mozilla|creative +commons|cc0|cc +by)\b.*)$"
+    rights = r"^[ \t*#/;-]*all rights reserved[ \t\r.!;,*/#-]*"
+    line = f"""CASE
+        WHEN regexp_matches(l, '{head}', 'is') THEN
+            CASE WHEN length(regexp_extract(l, '{head}.*?[^\\w]{grant}', 1, 'is')) >= length(regexp_extract(l, '{head}.*?[.;,|][ \\t]+{name}', 1, 'is'))
+            THEN regexp_extract(l, '{head}.*?[^\\w]{grant}', 1, 'is') ELSE regexp_extract(l, '{head}.*?[.;,|][ \\t]+{name}', 1, 'is') END
+        WHEN regexp_matches(l, '{rights}$', 'is') THEN ''
+        WHEN regexp_matches(l, '{rights}{grant}', 'is') OR regexp_matches(l, '{rights}{name}', 'is') THEN regexp_replace(l, '{rights}', '', 'is')
+        ELSE l END"""
+    word = """CASE WHEN w IN ('licence', 'licences', 'licenced', 'sublicence', 'sublicences', 'sublicenced') THEN replace(w, 'licenc', 'licens')
+        WHEN w = 'merchantibility' THEN 'merchantability' WHEN w = 'noncommercial' THEN 'non commercial' ELSE w END"""
+    lines = f"array_to_string(list_transform(string_split(coalesce({text}, ''), chr(10)), lambda l: {line}), ' ')"
+    words = f"list_transform(regexp_extract_all(lower({lines}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F{SIGNS}]+'), lambda w: {word})"
+    return f"trim(replace(' ' || array_to_string({words}, ' ') || ' ', ' copyright owner ', ' copyright holder '))"
+
+
 def duckdb_sql() -> str:
     """license_scan over the table documents, for DuckDB."""
     quote = lambda t: "'" + t.replace("'", "''") + "'"
@@ -173,15 +198,15 @@ def duckdb_sql() -> str:
     values = ", ".join(f"({quote(i)}, {quote(k)}, {quote(t)})" for k, table in (("text", texts), ("notice", notices)) for i, t in table)
     return f"""
         WITH known AS (
-            SELECT DISTINCT license_id, kind, {canonical_sql('t', 'duckdb')} AS c FROM (VALUES {values}) v(license_id, kind, t)
+            SELECT DISTINCT license_id, kind, {duckdb_canonical('t')} AS c FROM (VALUES {values}) v(license_id, kind, t)
         ), by_line AS (
             SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
             FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents) l
-            JOIN (SELECT DISTINCT license_id, c FROM known) k ON trim(line) <> '' AND k.c = {canonical_sql('line', 'duckdb')}
+            JOIN (SELECT DISTINCT license_id, c FROM known) k ON trim(line) <> '' AND k.c = {duckdb_canonical('line')}
             GROUP BY doc_id
         )
         SELECT d.doc_id, k.license_id, coalesce(b.notices, '') AS notices
         FROM documents d
-        LEFT JOIN (SELECT DISTINCT license_id, c FROM known WHERE kind = 'text') k ON k.c = {canonical_sql('d.text', 'duckdb')}
+        LEFT JOIN (SELECT DISTINCT license_id, c FROM known WHERE kind = 'text') k ON k.c = {duckdb_canonical('d.text')}
         LEFT JOIN by_line b USING (doc_id)
     """

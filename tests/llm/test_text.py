@@ -5,8 +5,10 @@ import pathlib
 import random
 import sys
 import textwrap
+import time
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from brute import words
@@ -80,6 +82,25 @@ def test_conversations_with_nulls_and_ties(spark):
     assert chat.digests(chat.format_conversations(df.where("false"))).count() == 0
 
 
+def test_ties_go_by_role_and_text_as_they_are(spark):
+    texts = ["</s> a", "<0 b", "<\\/s>", "[INST]", "[0", "<|text|>", "<|end|> x", "", "é", "z"]
+    rows = [(1, 0, r, t) for r in ("user", "<s>", "<0") for t in texts]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    want = hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in sorted(rows, key=lambda x: (x[2].encode(), x[3].encode()))).encode()).hexdigest()
+    assert chat.digests(chat.format_conversations(df)).first()["turns_sha256"] == want
+
+
+def test_layout_of_a_table_selects_its_mapping(spark):
+    said = spark.createDataFrame([(1, "p", "r"), (2, None, "only"), (3, None, None)], "id long, prompt string, response string")
+    got = [(r["conv_id"], r["nth"], r["role"], r["text"]) for r in chat.table_turns(said, "id").orderBy("conv_id", "nth").collect()]
+    assert got == [(1, 0, "user", "p"), (1, 1, "assistant", "r"), (2, 0, "assistant", "only")]
+    lists = spark.createDataFrame([(1, [("human", "h"), ("gpt", None)]), (2, None)], "id long, conversations array<struct<from:string,value:string>>")
+    got = [(r["conv_id"], r["nth"], r["role"], r["text"]) for r in chat.table_turns(lists, "id").orderBy("conv_id", "nth").collect()]
+    assert got == [(1, 0, "user", "h"), (1, 1, "assistant", "")]
+    with pytest.raises(ValueError):
+        chat.table_turns(said.withColumnRenamed("prompt", "strange"), "id")
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, name):
     same(queries.QUERIES[name](spark, SF), connect(SF), queries.SQL[name])
@@ -130,10 +151,27 @@ def test_copyright_statements(spark):
     assert {r["doc_id"]: r["notices"] for r in licenses.license_scan(df).collect()} == lines
     shared = ["Copyright (c) 2024 X. All rights", "copyright notice and", "Copyright 2024 X\r\nbody", "ALL RIGHTS RESERVED by", "(c) You", "© é. Released under é", "Copyright (c) 2024 X - licensed under MIT"]
     spark_says = [r[0] for r in spark.createDataFrame(list(enumerate(shared)), "i int, t string").orderBy("i").select(licenses.canonical("t")).collect()]
-    duckdb_says = [connect(SF).execute(f"SELECT {licenses.canonical_sql('t', 'duckdb')} FROM (SELECT ? AS t)", [t]).fetchone()[0] for t in shared]
+    duckdb_says = [connect(SF).execute(f"SELECT {licenses.duckdb_canonical('t')} FROM (SELECT ? AS t)", [t]).fetchone()[0] for t in shared]
     assert spark_says == duckdb_says == ["", "copyright notice and", "body", "all rights reserved by", "c you", "released under é", "licensed under mit"]
 
 
+def test_other_ways_to_write_a_licence(spark):
+    curly = lambda t: t.replace('"AS IS"', "“AS IS”").replace('("Software")', "(‘Software’)").replace(", ", " – ", 1)
+    rows = [(f"{i} curly", "Copyright © 2024 X\n\n" + curly(licenses.TEXTS[i][0])) for i in ("MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause")]
+    for i in ("BSD-2-Clause", "BSD-3-Clause"):
+        for name, marks in (("stars", "***"), ("dashes", "---"), ("bullets", "•••"), ("letters", ("a.", "b.", "c.")), ("brackets", ("(1)", "(2)", "(3)")), ("round", ("a)", "b)", "c)"))):
+            text = licenses.TEXTS[i][0]
+            for k, mark in enumerate(marks, 1):
+                text = text.replace(f" {k}. ", f"\n\n  {mark} ")
+            rows.append((f"{i} {name}", "Copyright (c) 2024, X\nAll rights reserved.\n\n" + text))
+    got = {r["doc_id"]: r["license_id"] for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {k: k.split()[0] for k, _ in rows}
+    con = connect(SF)
+    con.execute("DROP VIEW documents")
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    assert {r[0]: r[1] for r in con.execute(queries.SQL["op1_license_scan"]).fetchall()} == got
+
+
 def test_catalogue_table(spark):
     known = spark.createDataFrame([("b", "text", "Do what you like."), ("a", "text", "do what you like"), ("a", "notice", "See A"), ("none", "text", "!!"), ("none", "text", None)], "license_id string, kind string, text string")
     df = spark.createDataFrame([(1, "Do what you LIKE"), (2, "x\nsee a!\nsee b"), (3, "Licensed under CC BY 4.0."), (4, None), (5, "See A")], "doc_id long, text string")
@@ -222,3 +260,54 @@ def test_tiling_of_short_overlapping_pieces():
         for least in (3, 5):
             tiles = decontam.tile(np.array(item, np.uint64), np.array(text, np.uint64), least)
             assert sum(k for _, _, k in tiles) == coverage(item, text, least)
+
+
+def test_tiling_of_random_reordered_texts():
+    """Many small cases against plain tiling, with few and many different words."""
+    rng = random.Random(5)
+    for case in range(5000):
+        words_of = rng.choice([2, 4, 12, 60])
+        item = [rng.randrange(1, 1 + words_of) for _ in range(rng.randint(5, 24))]
+        text = []
+        for _ in range(rng.randint(1, 5)):
+            lo = rng.randrange(len(item))
+            text += [*item[lo : lo + rng.randint(2, 12)], *[rng.randint(100, 200)] * rng.randint(0, 1)]
+        tiles = decontam.tile(np.array(item, np.uint64), np.array(text, np.uint64), 5)
+        assert sum(k for _, _, k in tiles) == coverage(item, text, 5), case
+        assert all(item[p : p + k] == text[q : q + k] for p, q, k in tiles)
+        assert len({x for p, _, k in tiles for x in range(p, p + k)}) == sum(k for _, _, k in tiles) == len({x for _, q, k in tiles for x in range(q, q + k)})
+
+
+def test_one_repeated_word_takes_time_in_proportion():
+    item = np.full(220, 7, np.uint64)
+
+    def seconds(n):
+        began = time.process_time()
+        assert decontam.tile(item, np.full(n, 7, np.uint64), 5) == [(0, 0, 220)]
+        assert sum(k for _, _, k in decontam.tile(np.append(item, np.arange(10, 40, dtype=np.uint64)), np.full(n, 7, np.uint64), 5)) == 220
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(400_000) < 4
+
+
+def test_leaks_agree_with_plain_tiling(spark):
+    """The whole query on a whole table: every pair that shares five words, by plain tiling."""
+    plain_words = lambda t: words((t or "").translate(str.maketrans({c: " " for c in W.PUNCTUATION.decode()})))
+    docs = {r["doc_id"]: plain_words(r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    items = {r["item_id"]: plain_words(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    seeds = {}
+    for i, w in items.items():
+        for k in range(len(w) - 4):
+            seeds.setdefault(tuple(w[k : k + 5]), set()).add(i)
+    want = {}
+    for d, w in docs.items():
+        for i in {i for k in range(len(w) - 4) for i in seeds.get(tuple(w[k : k + 5]), ())}:
+            item = items[i]
+            near = sorted({x for k in range(len(w) - 4) if i in seeds.get(tuple(w[k : k + 5]), ()) for x in range(k, k + 5)})
+            text = [x for a, b in zip(near, [-9, *near], strict=False) for x in (["|"] if a != b + 1 else []) + [w[a]]]
+            share = coverage(item, text, 5) / len(item)
+            if share >= 0.5:
+                want[d, i] = round(share, 9)
+    got = {(r["doc_id"], r["item_id"]): round(r["coverage"], 9) for r in queries.QUERIES["op7_decontamination"](spark, SF).collect()}
+    assert got == want and len(got) >= 3
