@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,16 +14,23 @@ from pyspark.sql import functions as F
 
 from barloom.session import ship_package
 
+_own_dirs: dict[str, str] = {}
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Only where it is unset (tests) a temporary folder of this machine is taken.
+    Only where it is unset and everything runs on this machine (tests) a temporary folder is taken.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where is None:
-        where = "file://" + tempfile.mkdtemp(prefix="barloom-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _own_dirs:
+            _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="barloom-")
+        where = _own_dirs[app]
     return where
 
 
@@ -31,7 +39,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/barloom-{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables made by stored, which nothing reads any more."""
+    for df in tables:
+        path = _paths.pop(df, None)
+        if path is not None:
+            spark = df.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def id_bucket(id_col: Column, modulus: int) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import stored
+from barloom.llm.common import forget, stored
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -22,22 +22,25 @@ def _to_least(near: DataFrame, keep: str) -> DataFrame:
     return pairs.unionByName(least.select(F.col("_u").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def _settled(state: DataFrame) -> bool:
+    """Whether edges (u, v), v < u, are stars: each u has one edge, and no node is at both ends."""
+    ends = state.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(state.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
+
+
+def components(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node of its component) for every node of an edge (columns u, v; longs).
 
-    Loops and repeated edges don't matter; a graph without edges gives no rows.
+    Loops and repeated edges don't matter; a graph without edges gives no rows. Rounds go on until all
+    components are stars around their smallest node; their number grows with the logarithm of the graph.
     """
-    state = stored(edges.select("u", "v").where("u <> v").distinct(), "edges")
-    seen = None
-    for _ in range(most_rounds):
+    state = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
+    while not _settled(state):
         large = _to_least(_both(state), "v > u")
         small = _to_least(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "v < u")
-        state = stored(small, "edges")
-        now = state.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long"))).first()
-        if now == seen:
-            break
-        seen = now
-    else:
-        raise RuntimeError("components did not settle")
+        before, state = state, stored(small, "edges")  # distinct, and v < u
+        forget(before)
     root = state.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return stored(root.unionByName(root.select(F.col("root").alias("node"), "root")).groupBy("node").agg(F.min("root").alias("root")), "roots")
+    out = stored(root.unionByName(state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()), "roots")
+    forget(state)
+    return out

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from barloom.llm import wordhash as W
-from barloom.llm.common import map_arrow, narrow, stored, texts
+from barloom.llm.common import forget, map_arrow, narrow, stored, texts
 from barloom.llm.components import components
 from barloom.session import ship_package
 
@@ -41,7 +41,9 @@ _CHOICES = (1, 2, 3, 4, 6, 8, 12, 16, 24)
 #: Similarity, in percent, from which a class belongs to a central class's neighbourhood.
 NEIGHBOUR = 50
 #: Classes in a block when a neighbourhood is compared in blocks.
-BLOCK_CLASSES = 512
+BLOCK_CLASSES = 256
+#: From this level of the sketch on (a logarithm of the frequency) a shingle's list is long.
+LONG_LIST = 10
 #: Central classes that a class is compared with first, and classes compared with one copy of the central one.
 CENTRES, FAN = 2, 64
 #: Bits of the map by which texts that aren't wanted are left out of a shuffle.
@@ -89,7 +91,7 @@ def sketch(df: DataFrame, words: int) -> np.ndarray:
     ship_package(df.sparkSession)
     spans = narrow(df, text="text").mapInArrow(count, "span long, n binary").repartition("span").mapInArrow(add, "span long, n binary")
     out = np.zeros((cells // _SPAN, _SPAN), np.float32)
-    for row in spans.toLocalIterator():  # a fixed number of rows
+    for row in spans.collect():  # a fixed number of rows of a fixed size
         out[row["span"]] = np.frombuffer(zlib.decompress(row["n"]), np.uint64)
     return out.reshape(-1)
 
@@ -169,16 +171,32 @@ def _bits(ids: pa.Array) -> np.ndarray:
 def possible(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """docs without most of those whose doc_id isn't in rows, by a bitmap of fixed size: fewer texts to shuffle."""
 
+    spans = 1 << MAP_BITS - 3 - 13
+
+    def parts(packed: np.ndarray) -> pa.RecordBatch:
+        """A bitmap in spans of 8 KB, without the empty ones."""
+        own = packed.reshape(spans, -1)
+        some = np.flatnonzero(own.any(1))
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([zlib.compress(own[k].tobytes(), 1) for k in some], pa.binary())], ["span", "map"])
+
     def note(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << MAP_BITS, bool)
         for batch in batches:
             seen[_bits(batch.column(0))] = True
-        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(seen).tobytes(), 1)], pa.binary())], ["map"])
+        yield parts(np.packbits(seen))
+
+    def either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((spans, 1 << 13), np.uint8)
+        for batch in batches:
+            for span, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                total[span] |= np.frombuffer(zlib.decompress(raw), np.uint8)
+        yield parts(total)
 
     ship_package(docs.sparkSession)
-    total = np.zeros(1 << (MAP_BITS - 3), np.uint8)
-    for row in rows.select("doc_id").coalesce(16).mapInArrow(note, "map binary").toLocalIterator():
-        total |= np.frombuffer(zlib.decompress(row["map"]), np.uint8)
+    total = np.zeros((spans, 1 << 13), np.uint8)
+    noted = rows.select("doc_id").mapInArrow(note, "span long, map binary").repartition("span").mapInArrow(either, "span long, map binary")
+    for row in noted.collect():  # a fixed number of rows of a fixed size
+        total[row["span"]] |= np.frombuffer(zlib.decompress(row["map"]), np.uint8)
     packed = docs.sparkSession.sparkContext.broadcast(zlib.compress(total.tobytes(), 1))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,14 +223,23 @@ class Join:
         self.classes = stored(full.groupBy("digest").agg(F.min("row_no").alias("cid"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "classes")
         one = full.groupBy("digest").agg(F.min(F.struct("row_no", "n", "central", "matches", "prefix")).alias("r"))
         lists = one.select(F.col("r.row_no").alias("cid"), F.col("r.n").alias("n"), F.col("r.central").alias("central"), F.col("r.matches").alias("matches"), F.explode("r.prefix").alias("token"))
-        by_token = Window.partitionBy("token")
-        lists = (
-            lists.withColumn("members", F.count(F.lit(1)).over(by_token))
-            .withColumn("centre", F.min(F.struct((-F.col("central")).alias("c"), F.col("cid").alias("cid"))).over(by_token))
-            .where("members > 1")
-        )
+        lists = self.centred(lists)
         self.shared = stored(lists.select("token", "cid", "n", "matches", F.col("centre.cid").alias("centre")), "shared")
 
+    def centred(self, lists: DataFrame) -> DataFrame:
+        """lists with centre, the most central class of each token's list; without tokens that one class has.
+
+        Long lists, as the sketch has it, are aggregated before they are shuffled and their few centres joined back; where one
+        key of that join is large, its rows are split among tasks (adaptive skew join). Short lists are one window.
+        """
+        central = F.struct((-F.col("central")).alias("c"), F.col("cid").alias("cid"))
+        long = F.shiftrightunsigned("token", 58) >= LONG_LIST
+        by_token = Window.partitionBy("token")
+        short = lists.where(~long).withColumn("members", F.count(F.lit(1)).over(by_token)).withColumn("centre", F.min(central).over(by_token))
+        of = lists.where(long).groupBy(F.col("token").alias("_token")).agg(F.count(F.lit(1)).alias("members"), F.min(central).alias("centre"))
+        joined = lists.where(long).join(of, F.col("token") == F.col("_token")).drop("_token")
+        return short.unionByName(joined).where("members > 1")
+
     def bodies(self, wanted: DataFrame) -> DataFrame:
         """cid, text of the wanted classes (column cid, distinct)."""
         rows = wanted.join(self.sets.where("n > 0").select(F.col("row_no").alias("cid"), "doc_id", "digest"), "cid")
@@ -265,14 +292,16 @@ class Join:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], ["a", "b", "same", "linked"])
 
         rows = first.unionByName(others).repartition("b", "share").sortWithinPartitions("b", "share", "kind", "cid")
-        return stored(rows.mapInArrow(compare, "a long, b long, same long, linked boolean"), "verified")
+        out = stored(rows.mapInArrow(compare, "a long, b long, same long, linked boolean"), "verified")
+        forget(pairs, spread, bodies)
+        return out
 
     def inside(self, groups: DataFrame, roots: DataFrame) -> DataFrame:
         """Links (u, v) within neighbourhoods (node, grp) between classes whose components (node, root) differ.
 
         Blocks of a neighbourhood meet in pairs; two blocks of one and the same component don't.
         """
-        state = stored(
+        first = state = stored(
             groups.join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("node", "grp", F.coalesce("root", F.col("node")).alias("root")), "state"
         )
         apart = stored(state.groupBy("grp").agg(F.countDistinct("root").alias("roots")).where("roots > 1").select(F.col("grp").alias("_g")), "apart")
@@ -338,17 +367,19 @@ class Join:
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], ["u", "v"])
 
         ordered_rows = rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "block", "node")
-        return stored(ordered_rows.mapInArrow(compare, "u long, v long").distinct(), "inside")
+        out = stored(ordered_rows.mapInArrow(compare, "u long, v long").distinct(), "inside")
+        forget(first, apart, per_root, small, placed, meet, bodies)
+        return out
 
-    def across(self, groups: DataFrame) -> DataFrame:
-        """Pairs (a, b) of classes in different neighbourhoods that share enough of their prefixes."""
+    def across(self, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs (a, b) of classes in different neighbourhoods that share enough of their prefixes, after the table they are read from."""
         own = self.shared.join(groups.withColumnRenamed("node", "_n"), F.col("cid") == F.col("_n"), "left").select("token", "cid", "n", "matches", F.coalesce("grp", F.col("cid")).alias("grp"))
-        by_token = Window.partitionBy("token")
-        mixed = stored(own.withColumn("lo", F.min("grp").over(by_token)).withColumn("hi", F.max("grp").over(by_token)).where("lo <> hi").drop("lo", "hi"), "mixed")
+        spread = own.groupBy(F.col("token").alias("_token")).agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi")
+        mixed = stored(own.join(spread, F.col("token") == F.col("_token"), "left_semi"), "mixed")
         x, y = mixed.alias("x"), mixed.alias("y")
         near = (F.col("x.n") * 100 >= F.col("y.n") * self.percent) & (F.col("y.n") * 100 >= F.col("x.n") * self.percent)
         met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.grp") != F.col("y.grp")) & near)
-        return (
+        return mixed, (
             met.groupBy(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
             .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x.matches", "y.matches")).alias("matches"))
             .where("shared >= matches")
@@ -363,14 +394,18 @@ class Join:
         first = self.verified(met.withColumn("nth", nth).where(F.col("nth") <= CENTRES), NEIGHBOUR)
         edges = first.select(F.col("a").alias("u"), F.col("b").alias("v"), "linked")
         roots = components(edges.where("linked").select("u", "v"))
-        groups = components(edges.select("u", "v")).withColumnRenamed("root", "grp")
+        grouped = components(edges.select("u", "v"))
+        groups = grouped.withColumnRenamed("root", "grp")
         links = edges.where("linked").select("u", "v").unionByName(self.inside(groups, roots))
-        more = self.verified(self.across(groups), self.percent).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        mixed, pairs = self.across(groups)
+        more = self.verified(pairs, self.percent).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        forget(mixed, self.shared, roots, grouped)
         final = components(links.unionByName(more)).select(F.col("node").alias("_node"), "root")
         placed = self.classes.join(final, F.col("cid") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "cid"))
         placed = stored(placed.select("digest", "least", "root", "copies"), "placed")
         least = placed.groupBy("root").agg(F.min("least").alias("component_id")).select(F.col("root").alias("_root"), "component_id")
         named = stored(placed.join(least, F.col("root") == F.col("_root")).select(F.col("digest").alias("_digest"), "component_id"), "named")
+        forget(placed, self.classes)
         rows = self.sets.select("doc_id", F.col("n").alias("n_shingles"), "row_no", F.when(F.col("n") > 0, F.col("digest")).alias("digest"))
         return rows.join(named, F.col("digest") == F.col("_digest"), "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "row_no")
 
