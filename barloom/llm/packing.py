@@ -22,8 +22,8 @@ from pyspark.sql.window import Window
 from barloom.llm import tokens
 from barloom.llm.common import map_arrow, narrow, stored, texts
 
-#: Rests of one length and salt that a single task ranks, about.
-RANKED_AT_ONCE = 2_000
+#: Rests of one length and salt that are ranked together, about: at least so many, and so many groups a partition.
+RANKED_AT_ONCE, GROUPS_A_PARTITION = 250, 8
 
 
 def price_column(value: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:
@@ -175,12 +175,14 @@ def tape_places(demand: dict[int, int], room: int) -> tuple[pd.DataFrame, int]:
     return pd.DataFrame(parts, columns=["size", "part", "shift", "nth_part", "tape"], dtype="int64"), tape
 
 
-def ranked_within(df: DataFrame, key: str, most: int) -> DataFrame:
-    """df with rank, from 0, of each row within its key; row_no orders. most: rows of the commonest key.
+def ranked_within(df: DataFrame, key: str, counts: dict[int, int]) -> DataFrame:
+    """df with rank, from 0, of each row within its key; row_no orders. counts: rows of each key.
 
-    A common key is ranked in salted groups of about RANKED_AT_ONCE rows, whose counts are summed up.
+    Keys are ranked in salted groups, so that none of them fills a task; the groups' counts are summed up.
     """
-    salts = max(1, -(-most // RANKED_AT_ONCE))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    together = max(RANKED_AT_ONCE, sum(counts.values()) // (GROUPS_A_PARTITION * partitions))
+    salts = max(1, -(-max(counts.values(), default=0) // together))
     salted = df.withColumn("salt", F.pmod(F.xxhash64("row_no"), F.lit(salts)))
     earlier = Window.partitionBy(key).orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     before = (
@@ -228,8 +230,9 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
 
     room is a power of two. The linear program sees rests by classes: their length rounded up to a
     multiple of grid, so a sequence is padded by less than grid for each rest in it. Null and empty
-    texts are the end id alone. Repeated rows and repeated or null ids are packed row by row; an
-    empty table gives an empty result; other columns are ignored.
+    texts are the end id alone. A text with the string of a special token has that token's id, as the
+    tokenizer file says. Very long texts are encoded whole. Repeated rows and repeated or null ids are packed
+    row by row; an empty table gives an empty result; other columns are ignored.
     """
     spark = df.sparkSession
     got = stored(token_pieces(df, id_col, text_col, path or tokens.default_path(), room, end_id), "token_pieces")
@@ -249,7 +252,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
     classes = np.array(sorted(histogram), np.int64)
     plan = round_patterns(classes, np.array([histogram[c] for c in classes.tolist()], np.int64), room)
     ranges, used, sequences = rank_ranges(plan, histogram)
-    ranked = stored(ranked_within(rests, "klass", max(histogram.values(), default=0)), "ranked")
+    ranked = stored(ranked_within(rests, "klass", histogram), "ranked")
 
     nth = F.col("rank") - F.col("lo")
     in_order = Window.partitionBy("sequence_id").orderBy("slot_no").rowsBetween(Window.unboundedPreceding, -1)  # at most room rests
@@ -274,7 +277,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
     places, tape = tape_places(left_sizes, room)
     place = F.col("tape") + F.col("rank") * F.col("part")
     cut = (
-        ranked_within(left, "size", max(left_sizes.values(), default=0))
+        ranked_within(left, "size", left_sizes)
         .join(frame(places.rename(columns={"size": "of"})), F.col("size") == F.col("of"))
         .withColumn("place", place)
     )
