@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm import wordhash as W
-from barloom.llm.common import id_bucket, map_arrow, narrow, stored, texts
+from barloom.llm.common import forget, id_bucket, map_arrow, narrow, stored, texts
 from barloom.session import ship_package
 
 CELLS = 1 << 13
-#: Languages that one model may hold: the table of likelihoods is broadcast.
-MAX_LANGUAGES = 1_000
+#: Languages whose counts the driver fetches at once.
+LANGUAGES_AT_ONCE = 512
 
 _FOLD = np.full(256, 32, np.uint32)
 _FOLD[97:123] = np.arange(97, 123)
@@ -109,7 +109,10 @@ def _has_letter(piece: np.ndarray) -> bool:
 
 
 def fit_mixture(df: DataFrame, lang_col: str = "lang", held_modulus: int = 4, held_value: int = 2) -> Mixture:
-    """Counts over all rows with a language outside the held-out split; each task sends one vector per language."""
+    """Counts over all rows with a language outside the held-out split; each task sends one vector per language.
+
+    The model has 128 KB for each value of lang_col, of which it takes any number that fits the driver.
+    """
     rows = df.where(F.col(f"`{lang_col}`").isNotNull() & (F.coalesce(id_bucket(F.col("doc_id"), held_modulus), F.lit(held_value)) != held_value))
 
     def count(batches):
@@ -120,8 +123,6 @@ def fit_mixture(df: DataFrame, lang_col: str = "lang", held_modulus: int = 4, he
             for i, lang in enumerate(batch.column(batch.schema.get_field_index("lang")).to_pylist()):
                 total.setdefault(lang, np.zeros(CELLS, np.int64))
                 total[lang] += trigram_counts(data[offsets[i] : offsets[i + 1]])
-            if len(total) > MAX_LANGUAGES:
-                raise ValueError(f"more than {MAX_LANGUAGES} languages")
         for lang, vector in sorted(total.items()):
             cells = np.flatnonzero(vector)
             cells = cells if len(cells) else np.array([0])
@@ -130,13 +131,15 @@ def fit_mixture(df: DataFrame, lang_col: str = "lang", held_modulus: int = 4, he
     ship_package(df.sparkSession)
     found = narrow(rows, text="text", lang=lang_col).mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     found = stored(found, "trigrams")
-    known = sorted(r["lang"] for r in found.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(known) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    known = sorted(r["lang"] for r in found.select("lang").distinct().collect())
     counts = np.zeros((len(known), CELLS))
-    for k, lang in enumerate(known):  # at most CELLS rows each
-        own = found.where(F.col("lang") == lang).select("cell", "n").toArrow()
-        counts[k, own.column("cell").to_numpy()] = own.column("n").to_numpy()
+    place = {lang: k for k, lang in enumerate(known)}
+    groups = -(-len(known) // LANGUAGES_AT_ONCE)
+    for g in range(groups):  # about LANGUAGES_AT_ONCE * CELLS rows each
+        own = (found if groups == 1 else found.where(F.pmod(F.xxhash64("lang"), F.lit(groups)) == g)).toArrow()
+        lang = np.array([place[v] for v in own.column("lang").to_pylist()], np.int64)
+        counts[lang, own.column("cell").to_numpy()] = own.column("n").to_numpy()
+    forget(found)
     return Mixture(known, counts)
 
 
@@ -144,7 +147,9 @@ def languages(df: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of df.
 
     Texts that are null or without a letter are `und` with score 0; so are all where no language
-    could be learned. Ties go to the language first in order. An empty df gives an empty result.
+    could be learned. Ties go to the language first in order. An empty df gives an empty result; repeated rows,
+    and rows whose id is null or repeated, are each predicted. Very long texts are counted whole, in pieces.
+    Other columns are ignored, whatever their names.
     """
     model = fit_mixture(df)
 
