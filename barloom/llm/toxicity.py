@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm import wordhash as W
-from barloom.llm.common import id_bucket, map_arrow, narrow, texts
+from barloom.llm.common import forget, id_bucket, map_arrow, narrow, stored, texts
 from barloom.llm.quality import training_labels
+from barloom.session import ship_package
 
 #: Labelled rows that the weights are fitted on, at most (those with the smallest hash of doc_id).
 MAX_TRAIN_ROWS = 8_192
@@ -53,14 +54,23 @@ class Ftrl:
     def bias(self) -> float:
         return -self.z0 / ((self.beta + self.n0**0.5) / self.alpha + self.l2)
 
-    def learn(self, cells: np.ndarray, y: float) -> None:
-        w, b = self.weight(cells), self.bias()
-        g = 1 / (1 + np.exp(-np.clip(w.sum() + b, -35, 35))) - y
-        n = self.n[cells]
-        self.z[cells] += g - (np.sqrt(n + g * g) - np.sqrt(n)) / self.alpha * w
-        self.n[cells] = n + g * g
-        self.z0 += g - ((self.n0 + g * g) ** 0.5 - self.n0**0.5) / self.alpha * b
-        self.n0 += g * g
+    def learn(self, cells: np.ndarray, ends: np.ndarray, y: np.ndarray) -> None:
+        """One step on a few documents: their cells one after another, the end of each, and their labels."""
+        doc = np.repeat(np.arange(len(y)), np.diff(ends, prepend=0))
+        b = self.bias()
+        one, at = np.unique(cells, return_inverse=True)
+        w = self.weight(one)
+        margin = np.bincount(doc, w[at], len(y)) + b
+        g = 1 / (1 + np.exp(-np.clip(margin, -35, 35))) - y
+        step = np.bincount(at, g[doc], len(one))
+        n = self.n[one]
+        # Each document's square counts: rates fall as if documents came one by one.
+        more = n + np.bincount(at, g[doc] ** 2, len(one))
+        self.z[one] += step - (np.sqrt(more) - np.sqrt(n)) / self.alpha * w
+        self.n[one] = more
+        more = self.n0 + float((g * g).sum())
+        self.z0 += float(g.sum()) - (more**0.5 - self.n0**0.5) / self.alpha * b
+        self.n0 = more
 
 
 class Weights:
@@ -80,44 +90,84 @@ class Weights:
         return 1 / (1 + np.exp(-np.clip(out + self.bias, -35, 35)))
 
 
-def fit_weights(col: pa.Array, y: np.ndarray, epochs: int = 6, bits: int = BITS, seed: int = 7) -> Weights:
-    """Several passes in a fixed random order. Without rows every score is 0.5."""
-    def present():
-        for lo, hi, cells, rows in features(col, bits):
-            one = np.unique(rows * np.int64(1 << bits) + cells)
-            ends = np.searchsorted(one >> bits, np.arange(hi - lo + 1))
-            cell = (one & ((1 << bits) - 1)).astype(np.int32)
-            yield from (cell[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True))
-
-    # A cell in one or two documents tells little about others. Two passes, so that rare cells aren't kept.
-    seen = np.zeros(1 << bits, np.int32)
-    for d in present():
-        seen[d] += 1
-    docs = [d[seen[d] > 2] for d in present()]
+def present(col: pa.Array, bits: int = BITS):
+    """The distinct cells of each text, in order."""
+    for lo, hi, cells, rows in features(col, bits):
+        one = np.unique(rows * np.int64(1 << bits) + cells)
+        ends = np.searchsorted(one >> bits, np.arange(hi - lo + 1))
+        cell = (one & ((1 << bits) - 1)).astype(np.int32)
+        yield from (cell[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True))
+
+
+def fit_weights(docs: list[np.ndarray], y: np.ndarray, epochs: int = 6, bits: int = BITS, seed: int = 7, together: int = 8) -> Weights:
+    """Several passes over documents' cells in a fixed random order, a few documents a step. Without rows every score is 0.5."""
     model, order = Ftrl(bits), np.random.Generator(np.random.PCG64(seed))
     for _ in range(epochs):
-        for i in order.permutation(len(docs)):
-            model.learn(docs[i], y[i])
+        shuffled = order.permutation(len(docs))
+        for at in range(0, len(docs), together):
+            own = shuffled[at : at + together]
+            model.learn(np.concatenate([docs[i] for i in own]), np.cumsum([len(docs[i]) for i in own]), y[own])
     w = model.weight(np.arange(1 << bits))
     cells = np.flatnonzero(w)
     return Weights(cells, w[cells], model.bias(), bits)
 
 
+def training_cells(rows: DataFrame, bits: int = BITS) -> tuple[list[np.ndarray], np.ndarray]:
+    """Cells and label of each row (text, y), in an order that follows from them. Texts stay on the executors.
+
+    A cell in one or two documents tells little about others: only cells of more are sent, and a cell has bits bits, so
+    what reaches the driver is bounded by rows and cells, not by the length of texts.
+    """
+    cells = 1 << bits
+
+    def count(batches):
+        total = np.zeros(cells, np.int64)
+        for batch in batches:
+            for d in present(texts(batch), bits):
+                total[d] += 1
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["cell", "n"])
+
+    ship_package(rows.sparkSession)
+    common = rows.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).where("n > 2").select("cell").toArrow()
+    seen = np.zeros(cells, bool)
+    seen[common.column("cell").to_numpy()] = True
+    kept = rows.sparkSession.sparkContext.broadcast(np.packbits(seen).tobytes())
+
+    def select(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = np.unpackbits(np.frombuffer(kept.value, np.uint8)).view(bool)
+        found = [d[own[d]] for d in present(texts(batch), bits)]
+        ends = np.concatenate([[0], np.cumsum([len(d) for d in found])]).astype(np.int32)
+        flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int32), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), flat), batch.column(batch.schema.get_field_index("y")), batch.column(batch.schema.get_field_index("key"))], ["cells", "y", "key"])
+
+    got = map_arrow(rows.withColumn("key", F.xxhash64("text", "y")), select, "cells array<int>, y int, key long").orderBy("key").toArrow()
+    docs = [np.asarray(c.values.to_numpy()) for chunk in got.column("cells").chunks for c in chunk]
+    return docs, got.column("y").to_numpy().astype(np.float64)
+
+
 def fit_toxicity(df: DataFrame, labels: DataFrame, label_col: str = "toxic", held_modulus: int = 5, held_value: int = 0, max_rows: int = MAX_TRAIN_ROWS) -> Weights:
-    """Fit on labelled rows of df outside the held-out split."""
+    """Fit on labelled rows of df outside the held-out split: max_rows labels at most, and one row of df for each.
+
+    Where an id has several rows in df, the one whose text has the smallest hash counts.
+    """
     wanted = training_labels(labels.where(id_bucket(F.col("doc_id"), held_modulus) != held_value), label_col, max_rows)
     rows = narrow(df, doc_id="doc_id", text="text").join(F.broadcast(wanted), "doc_id")  # at most max_rows ids
-    got = rows.select(F.coalesce("text", F.lit("")).alias("text"), "y").orderBy(F.xxhash64("text", "y")).limit(2 * max_rows).toArrow()
-    col = got.column("text").cast(pa.string()).combine_chunks()
-    col = col if isinstance(col, pa.Array) else pa.concat_arrays(col.chunks)
-    return fit_weights(col, got.column("y").to_numpy().astype(np.float64))
+    rows = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("y").cast("int").alias("y"))
+    rows = rows.groupBy("doc_id").agg(F.min_by(F.struct("text", "y"), F.xxhash64("text")).alias("r")).select("r.text", "r.y")
+    train = stored(rows, "train")
+    out = fit_weights(*training_cells(train))
+    forget(train)
+    return out
 
 
 def toxicity_scores(df: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of df.
 
     Null and empty texts get the score of a text without words; without usable labels it is 0.5.
-    An empty df gives an empty result.
+    An empty df gives an empty result; repeated rows, and rows whose id is null or repeated, are each scored.
+    Very long texts are hashed in pieces. Other columns are ignored, whatever their names. Where an id has
+    several labels, the rule of training_labels holds.
     """
     weights = fit_toxicity(df, labels)
 
