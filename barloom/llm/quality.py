@@ -205,15 +205,20 @@ def training_labels(labels: DataFrame, label_col: str, most: int, id_col: str =
 
 
 def fit_quality(df: DataFrame, labels: DataFrame, label_col: str = "quality", held_modulus: int = 3, held_value: int = 1, max_rows: int = MAX_TRAIN_ROWS) -> Trees:
-    """Fit on labelled rows of df outside the held-out split."""
+    """Fit on labelled rows of df outside the held-out split: max_rows labels at most, and one row of df for each.
+
+    Where an id has several rows in df, the one whose statistics have the smallest hash counts.
+    """
     wanted = training_labels(labels.where(id_bucket(F.col("doc_id"), held_modulus) != held_value), label_col, max_rows)
     rows = narrow(df, doc_id="doc_id", text="text").join(F.broadcast(wanted), "doc_id")  # at most max_rows ids
 
     def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = statistics(texts(batch))
-        return pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("y")), pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], x.ravel())], ["y", "x"])
+        return pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), batch.column(batch.schema.get_field_index("y")), pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], x.ravel())], ["doc_id", "y", "x"])
 
-    got = map_arrow(rows.select("text", "y"), measure, "y int, x array<double>").orderBy(F.xxhash64("x", "y")).limit(2 * max_rows).toArrow()
+    measured = map_arrow(rows.select("doc_id", "text", "y"), measure, "doc_id long, y int, x array<double>")
+    one = measured.groupBy("doc_id").agg(F.min_by(F.struct("x", "y"), F.xxhash64("x")).alias("r")).select("r.x", "r.y")
+    got = one.orderBy(F.xxhash64("x", "y")).toArrow()  # at most max_rows
     lists = got.column("x").combine_chunks()
     flat = np.concatenate([np.asarray(c.flatten()) for c in (lists.chunks if isinstance(lists, pa.ChunkedArray) else [lists])] or [np.zeros(0)])
     return fit_trees(flat.reshape(-1, 16 + N_CLASSES), got.column("y").to_numpy().astype(np.float64))
@@ -231,7 +236,9 @@ def score_quality(df: DataFrame, model: Trees) -> DataFrame:
 def quality_scores(df: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of df.
 
-    Without usable labels every score is 0.5; an empty df gives an empty result.
+    Without usable labels every score is 0.5; an empty df gives an empty result. Null and empty texts are scored as
+    texts without words; repeated rows, and rows whose id is null or repeated, are each scored. Very long texts
+    count whole. Other columns are ignored, whatever their names.
     """
     return score_quality(df, fit_quality(df, labels)).select(
         "doc_id",
