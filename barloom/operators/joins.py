@@ -1,15 +1,21 @@
 """Joins over time: as-of in three directions, validity intervals, containment, nearest, key differences.
 
 As-of joins are one union and one window instead of a range join, so a key costs its rows, not their
-square.
+square; with a bucket a key's rows are split by time among tasks.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from barloom.session import ship_package
+
 
 def asof(
     left: DataFrame,
@@ -21,11 +27,13 @@ def asof(
     exact: bool = True,
     forward: bool = False,
     tie: str | None = None,
+    bucket: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """left with the values of right's last row at or before left_ts (forward: first at or after).
 
     exact=False leaves equal times out. Of right rows at one time the last by tie counts. Left rows
-    without a match keep null values; null keys match each other.
+    without a match keep null values; null keys match each other. bucket: a monotone function of time by
+    which long series are split; what a bucket starts with comes from one row per key and earlier bucket.
     """
     payload = F.struct(F.col(right_ts).alias("_at"), *(F.col(v).alias(f"_{v}") for v in values))
     first_side = 1 if exact else 0  # right rows come before left rows of one time if equal times match
@@ -38,14 +46,64 @@ def asof(
         (F.col(tie).cast("string") if tie else F.lit(None).cast("string")).alias("_tie"),
     )
     order = [F.col("_t").desc() if forward else F.col("_t"), F.col("_side"), F.col("_tie").asc_nulls_first()]
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = own.withColumn("_left", F.lit(True)).unionByName(other.withColumn("_left", F.lit(False))).withColumn("_hit", F.last("_p", ignorenulls=True).over(w))
+    both = own.withColumn("_left", F.lit(True)).unionByName(other.withColumn("_left", F.lit(False)))
+    so_far = lambda *by: Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if bucket is None:
+        found = both.withColumn("_hit", F.last("_p", ignorenulls=True).over(so_far(*keys)))
+    else:
+        both = both.withColumn("_b", bucket(F.col("_t")))
+        # Of a bucket's right rows the last in the window's order: that of the latest (forward: earliest) time, the last by tie.
+        time = F.struct(F.col("_t")) if not forward else F.struct((-F.unix_micros(F.col("_t").cast("timestamp"))).alias("_t"))
+        last = F.max_by("_p", F.when(~F.col("_left"), F.struct(time.alias("t"), F.coalesce("_tie", F.lit("")).alias("tie"))))
+        ends = both.groupBy(*keys, "_b").agg(last.alias("_last"))
+        earlier = Window.partitionBy(*keys).orderBy(F.col("_b").desc() if forward else F.col("_b")).rowsBetween(Window.unboundedPreceding, -1)
+        carry = ends.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_b").alias("_kb"), F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+        same = (F.col("_b") == F.col("_kb")) if not keys else F.lit(True)
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_k{i}")) & F.col("_b").eqNullSafe(F.col("_kb"))
+        found = both.withColumn("_in", F.last("_p", ignorenulls=True).over(so_far(*keys, "_b"))).join(carry, same, "left").withColumn("_hit", F.coalesce("_in", "_carry"))
     return found.where("_left").select(*left.columns, F.col("_hit._at").alias(f"matched_{right_ts}"), *(F.col(f"_hit._{v}").alias(v) for v in values))
 
 
+def segments(intervals: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """intervals cut so that those of a key don't overlap: at any time the one with the latest start that holds is left.
+
+    Of equal starts the one that ends last counts; a null end is open, rows with a null start hold never. A key's intervals
+    are swept in order in one task, in memory for them.
+    """
+
+    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf[pdf[start].notna()].sort_values(start, kind="stable").reset_index(drop=True)
+        starts, ends = pdf[start].tolist(), [None if pd.isna(e) else e for e in pdf[end]]
+        times = sorted({*starts, *(e for e in ends if e is not None)})
+        open_, out, at = [], [], 0
+        for k, t in enumerate(times):
+            while at < len(starts) and starts[at] == t:
+                heapq.heappush(open_, (-at, at))
+                at += 1
+            while open_ and ends[open_[0][1]] is not None and ends[open_[0][1]] <= t:
+                heapq.heappop(open_)
+            if open_:
+                out.append((open_[0][1], t, times[k + 1] if k + 1 < len(times) else None))
+        got = pdf.iloc[[i for i, _, _ in out]].copy()
+        got[start], got[end] = pd.Series([t for _, t, _ in out], index=got.index, dtype=pdf[start].dtype), pd.Series([e for _, _, e in out], index=got.index, dtype=pdf[end].dtype)
+        return got
+
+    # Later rows win: of one start the shortest comes first.
+    ordered, columns = intervals.withColumn("_open", F.col(end).isNull()), intervals.columns
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return sweep(pdf.sort_values([start, "_open", end], kind="stable"))[columns]
+
+    ship_package(intervals.sparkSession)
+
+    return ordered.groupBy(*keys).applyInPandas(run, intervals.schema)
+
+
 def valid_at(left: DataFrame, right: DataFrame, keys: list[str], ts: str, start: str, end: str, values: list[str]) -> DataFrame:
-    """left with the values of right's interval [start, end) that holds ts (null end: open). Of several the latest start counts."""
-    got = asof(left, right, keys, ts, start, [*values, end])
+    """left with the values of right's interval [start, end) that holds ts (null end: open). Of several that hold the latest start counts."""
+    cut = segments(right.select(*keys, start, end, *values), keys, start, end)
+    got = asof(left, cut, keys, ts, start, [*values, end])
     ok = F.col(end).isNull() | (F.col(ts) < F.col(end))
     return got.select(*left.columns, *(F.when(ok, F.col(v)).alias(v) for v in values))
 
@@ -56,18 +114,31 @@ def contained(inner: DataFrame, outer: DataFrame, on: list[str], within: Column)
 
 
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], rank: str, other_rank: str, left_id: list[str]) -> DataFrame:
-    """For each left row the right row of its keys with the nearest rank; ties go to the lower."""
-    w = Window.partitionBy(*left_id).orderBy(F.abs(F.col(rank) - F.col(other_rank)), F.col(other_rank))
-    return left.join(right, keys).withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
+    """For each left row the right row of its keys with the nearest rank; ties go to the lower. Left rows without one are left out.
+
+    The row before and the row after by rank are two as-of joins, so no pairs are formed. Of equal ranks any one counts.
+    """
+    values = [c for c in right.columns if c not in keys and c != other_rank]
+    found = None
+    for forward, side in ((False, "below"), (True, "above")):
+        got = asof(left, right, keys, rank, other_rank, values, forward=forward)
+        hit = F.struct(F.col(f"matched_{other_rank}").alias(other_rank), *values)
+        kept = F.when(F.col(f"matched_{other_rank}").isNotNull(), F.struct(F.abs(F.col(rank) - F.col(f"matched_{other_rank}")).alias("d"), F.col(f"matched_{other_rank}").alias("r"), hit.alias("v")))
+        got = got.select(*left.columns, kept.alias("_near"))
+        found = got if found is None else found.unionByName(got)
+    best = F.min_by("_near.v", F.struct("_near.d", "_near.r"))
+    out = found.where("_near IS NOT NULL").groupBy(*left_id).agg(best.alias("_v"), *(F.first(c).alias(c) for c in left.columns if c not in left_id))
+    return out.select(*left.columns, F.col(f"_v.{other_rank}").alias(other_rank), *(F.col(f"_v.{v}").alias(v) for v in values))
 
 
 def any_key(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Rows that agree in any of the pairs of columns: one equi-join for each, then distinct; no nested loop."""
-    out = None
+    """Rows that agree in any of the pairs of columns: one equi-join for each, without what an earlier one has found."""
+    out, found = None, F.lit(False)
     for a, b in pairs:
-        part = left.join(right, F.col(a) == F.col(b))
+        part = left.join(right, (F.col(a) == F.col(b)) & ~found)
         out = part if out is None else out.unionByName(part)
-    return out.distinct()
+        found = found | F.coalesce(F.col(a) == F.col(b), F.lit(False))
+    return out
 
 
 def key_difference(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

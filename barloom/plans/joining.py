@@ -102,18 +102,19 @@ def _(spark, sf_dir):
     return inside.groupBy("instrument_id", "coarse").agg(F.count(F.lit(1)).alias("n"), F.sum("volume").alias("volume"), (F.sum("volume") == F.first("whole")).alias("same"))
 
 
-SPECS = "specs AS (SELECT contract_id, ts AS from_ts, CASE WHEN day(ts) % 3 = 0 THEN ts + INTERVAL 1 DAY END AS to_ts, close AS step FROM daily WHERE day(ts) % 2 = 0)"
+SPECS = "specs AS (SELECT contract_id, ts AS from_ts, CASE day(ts) % 3 WHEN 0 THEN ts + INTERVAL 1 DAY WHEN 1 THEN ts + INTERVAL 7 DAY END AS to_ts, close AS step FROM daily WHERE day(ts) % 2 = 0)"
 
 
 def specs(spark, sf_dir):
     d = market.daily(spark, sf_dir).where(F.dayofmonth("ts") % 2 == 0)
-    return d.select("contract_id", F.col("ts").alias("from_ts"), F.when(F.dayofmonth("ts") % 3 == 0, F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("to_ts"), F.col("close").alias("step"))
+    to = F.when(F.dayofmonth("ts") % 3 == 0, F.col("ts") + F.expr("INTERVAL 1 DAY")).when(F.dayofmonth("ts") % 3 == 1, F.col("ts") + F.expr("INTERVAL 7 DAYS"))  # they overlap
+    return d.select("contract_id", F.col("ts").alias("from_ts"), to.alias("to_ts"), F.col("close").alias("step"))
 
 
 @query(
     "join_scd_interval",
     "event_id:i step:d",
-    """SELECT event_id, CASE WHEN to_ts IS NULL OR ts < to_ts THEN step END AS step FROM ticks t ASOF LEFT JOIN specs s ON t.contract_id = s.contract_id AND t.ts >= s.from_ts""",
+    "SELECT event_id, arg_max(step, from_ts) AS step FROM ticks t LEFT JOIN specs s ON t.contract_id = s.contract_id AND t.ts >= s.from_ts AND (s.to_ts IS NULL OR t.ts < s.to_ts) GROUP BY event_id",
     market.CTE + ", " + SPECS,
 )
 def _(spark, sf_dir):
@@ -125,7 +126,7 @@ for _name, _op, _exact, _forward in (("join_asof_backward", ">=", True, False),
     def _run(spark, sf_dir, exact=_exact, forward=_forward):
         h = market.hourly(spark, sf_dir).select("instrument_id", F.col("ts").alias("bar_ts"), "close")
         t = market.ticks(spark, sf_dir).select("event_id", "instrument_id", F.date_trunc("hour", "ts").alias("ts"))
-        return joins.asof(t, h.where("minute(bar_ts) = 0 AND hour(bar_ts) % 3 = 0"), ["instrument_id"], "ts", "bar_ts", ["close"], exact, forward)
+        return joins.asof(t, h.where("minute(bar_ts) = 0 AND hour(bar_ts) % 3 = 0"), ["instrument_id"], "ts", "bar_ts", ["close"], exact, forward, bucket=lambda t: F.date_trunc("day", t))
 
     query(
         _name,
@@ -174,11 +175,12 @@ def _(spark, sf_dir):
 @query(
     "join_any_key",
     "o_orderkey:i c_custkey:i",
-    "SELECT o_orderkey, c_custkey FROM orders JOIN customer ON o_custkey = c_custkey OR o_orderkey = c_custkey",
+    "SELECT o_orderkey, c_custkey FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'P') JOIN customer ON o_custkey = c_custkey OR o_orderkey = c_custkey",
     "",
 )
 def _(spark, sf_dir):
     o, c = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), table(spark, sf_dir, "customer").select("c_custkey")
+    o = o.unionAll(table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select("o_orderkey", "o_custkey"))  # repeated rows stay
     return joins.any_key(o, c, [("o_custkey", "c_custkey"), ("o_orderkey", "c_custkey")])
 
 
@@ -206,9 +208,9 @@ def _(spark, sf_dir):
     return e.groupBy("day").agg(F.max_by(F.struct("event_type", "event_id"), F.struct(F.col("value"), (-F.col("event_id")).alias("i"))).alias("r")).select("day", "r.event_type", "r.event_id")
 
 
-@query("join_scope_dilation", "contract_id d:D", "SELECT DISTINCT contract_id, (ts::DATE + k)::DATE AS d FROM ticks, (VALUES (-1), (1)) v(k) WHERE event_id % 97 = 0")
+@query("join_scope_dilation", "contract_id d:D", "SELECT DISTINCT contract_id, (ts::DATE + k)::DATE AS d FROM ticks, (VALUES (-1), (1)) v(k) WHERE price > 95")
 def _(spark, sf_dir):
-    scope = market.ticks(spark, sf_dir).where("event_id % 97 = 0").select("contract_id", F.to_date("ts").alias("d"))
+    scope = market.ticks(spark, sf_dir).where("price > 95").select("contract_id", F.to_date("ts").alias("d"))
     return scope.select("contract_id", F.date_sub("d", 1).alias("d")).union(scope.select("contract_id", F.date_add("d", 1).alias("d"))).distinct()
 
 
