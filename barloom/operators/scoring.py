@@ -58,19 +58,30 @@ def walk_forward(train: int, test: int, step: int, purge: int, folds: int) -> li
 
 
 def parameter_stability(runs: DataFrame, run: str, group: str, params: list[str], ret: str) -> DataFrame:
-    """run and stability: how near its result is to the mean of runs that differ in one parameter (0.5 without any)."""
-    a, b = runs.alias("a"), runs.alias("b")
-    differ = sum((F.col(f"a.{p}") != F.col(f"b.{p}")).cast("int") for p in params)
-    near = a.join(b, (F.col(f"a.{group}") == F.col(f"b.{group}")) & (differ == 1), "left")
-    out = near.groupBy(F.col(f"a.{run}").alias(run)).agg(F.first(f"a.{ret}").alias("own"), F.avg(f"b.{ret}").alias("mean"))
+    """run and stability: how near its result is to the mean of runs that differ in one parameter (0.5 without any).
+
+    Runs that agree in all parameters but one are one partition, so neighbours are sums, not pairs.
+    """
+    total, count = F.lit(0.0), F.lit(0)
+    for p in params:
+        others = Window.partitionBy(group, *(q for q in params if q != p))
+        own = Window.partitionBy(group, *params)
+        total = total + F.coalesce(F.sum(ret).over(others), F.lit(0.0)) - F.coalesce(F.sum(ret).over(own), F.lit(0.0))
+        count = count + F.count(ret).over(others) - F.count(ret).over(own)
+    out = runs.withColumns({"_total": total, "_count": count}).select(run, F.col(ret).alias("own"), F.when(F.col("_count") > 0, F.col("_total") / F.col("_count")).alias("mean"))
     return out.withColumn("stability", F.coalesce(1 - F.abs(F.col("own") - F.col("mean")) / F.greatest(F.abs(F.col("mean")), F.lit(0.05)), F.lit(0.5)))
 
 
 def family_first(df: DataFrame, family: str, score: str, tie: str) -> DataFrame:
-    """family_rank within the family, then overall_rank of one run per family and policy row."""
-    w = Window.partitionBy(family).orderBy(F.desc(score), tie)
-    ranked = df.withColumn("family_rank", F.row_number().over(w))
-    return ranked.withColumn("overall_rank", F.row_number().over(Window.orderBy("family_rank", F.desc(score), tie)))
+    """family_rank within the family, then overall_rank: all firsts of families, all seconds, and so on.
+
+    Rows are sorted by family and by family rank; only counts per family rank meet in one task.
+    """
+    ranked = df.withColumn("family_rank", F.row_number().over(Window.partitionBy(family).orderBy(F.desc(score), tie)))
+    before = F.sum("_n").over(Window.orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1))
+    counts = ranked.groupBy(F.col("family_rank").alias("_rank")).agg(F.count(F.lit(1)).alias("_n")).select("_rank", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("family_rank").orderBy(F.desc(score), tie))
+    return ranked.withColumn("_place", place).join(counts, F.col("family_rank") == F.col("_rank")).withColumn("overall_rank", F.col("_before") + F.col("_place")).drop("_rank", "_before", "_place")
 
 
 def forward_observations(decisions: DataFrame, bars: DataFrame, keys: list[str], horizon: int) -> DataFrame:
