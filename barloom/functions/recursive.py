@@ -31,6 +31,21 @@ def wilder(x: np.ndarray, n: int) -> np.ndarray:
     return pd.Series(x).ewm(alpha=1 / n, adjust=False, ignore_na=True).mean().to_numpy()
 
 
+def numbered(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """df with _at, each row's place in its series from 0. Series over time are numbered day by day, so that none is one task."""
+    if df.schema[order].dataType.typeName() not in ("timestamp", "timestamp_ntz", "date"):
+        return df.withColumn("_at", F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1)
+    days = df.withColumn("_day", F.to_date(order))
+    earlier = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    before = days.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_n"))
+    before = before.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_day").alias("_kd"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    same = F.col("_day").eqNullSafe(F.col("_kd"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    nth = F.row_number().over(Window.partitionBy(*keys, "_day").orderBy(order))
+    return days.withColumn("_nth", nth).join(before, same).withColumn("_at", F.col("_before") + F.col("_nth") - 1).select(*df.columns, "_at")
+
+
 def over_series(df: DataFrame, keys: list[str], order: str, fn: Callable[[pd.DataFrame], pd.DataFrame], outputs: dict[str, str], forgets: bool = True) -> DataFrame:
     """df with the outputs (name: type) that fn computes from each ordered series.
 
@@ -45,9 +60,8 @@ def over_series(df: DataFrame, keys: list[str], order: str, fn: Callable[[pd.Dat
 
     if not forgets:
         return df.groupBy(*keys).applyInPandas(lambda pdf: run(pdf)[columns], types)
-    at = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
     block = F.floor(F.col("_at") / BLOCK)
-    placed = df.withColumn("_at", at).withColumn(
+    placed = numbered(df, keys, order).withColumn(
         "_block", F.explode(F.when(F.col("_at") % BLOCK >= BLOCK - HALO, F.array(block, block + 1)).otherwise(F.array(block)))
     )
 
