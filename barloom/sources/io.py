@@ -27,8 +27,12 @@ _OPS = {
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared one that spark.checkpoint.dir names; a temporary one where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="barloom-")
+    """A new folder under the shared one that spark.checkpoint.dir names; a temporary one where it is unset and all runs here."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="barloom-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -92,17 +96,26 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 
 
 def replace_whole(df: DataFrame, path: str) -> None:
-    """Write beside path, then rename: readers see the old table or the new one. df may read path."""
+    """Write beside path, then rename: the old table aside, the new one into its place. df may read path.
+
+    Between the two renames there is no table at path for a moment. The old one is only deleted once the new one is in
+    place; if that fails it is put back, and OSError is raised.
+    """
     jvm = df.sparkSession._jvm
     conf = df.sparkSession._jsc.hadoopConfiguration()
-    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    df.write.parquet(new)
     hadoop = jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(path).getFileSystem(conf)
-    if fs.exists(hadoop(path)):
-        fs.rename(hadoop(path), hadoop(old))
-    fs.rename(hadoop(new), hadoop(path))
-    fs.delete(hadoop(old), True)
+    at, new, old = hadoop(path), hadoop(f"{path}.new-{uuid.uuid4().hex}"), hadoop(f"{path}.old-{uuid.uuid4().hex}")
+    df.write.parquet(str(new))
+    fs = at.getFileSystem(conf)
+    had = fs.exists(at)
+    if had and not fs.rename(at, old):
+        fs.delete(new, True)
+        raise OSError(f"{path} could not be moved aside; it is as it was")
+    if not fs.rename(new, at):
+        back = not had or fs.rename(old, at)
+        raise OSError(f"{path} could not be replaced; " + ("it is as it was" if back else f"its former content is in {old}"))
+    if had:
+        fs.delete(old, True)
 
 
 def content_fingerprint(df: DataFrame) -> DataFrame:
