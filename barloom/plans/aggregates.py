@@ -117,9 +117,9 @@ def _(spark, sf_dir):
     return t.groupBy("contract_id").agg(F.max("ts").alias("w")).join(prior, "contract_id", "left").withColumn("watermark", F.greatest("w", "prior"))
 
 
-@query("agg_changed_windows", "instrument_id bucket:t n:i", "SELECT instrument_id, to_timestamp(floor(epoch(ts) / 86400) * 86400)::TIMESTAMP AS bucket, count(*) AS n FROM ticks WHERE event_id % 11 = 0 GROUP BY ALL")
+@query("agg_changed_windows", "instrument_id bucket:t n:i", "SELECT instrument_id, to_timestamp(floor(epoch(ts) / 86400) * 86400)::TIMESTAMP AS bucket, count(*) AS n FROM ticks WHERE price > 90 GROUP BY ALL")
 def _(spark, sf_dir):
-    return market.ticks(spark, sf_dir).where("event_id % 11 = 0").groupBy("instrument_id", B.bucket_start(F.col("ts"), 1440).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return market.ticks(spark, sf_dir).where("price > 90").groupBy("instrument_id", B.bucket_start(F.col("ts"), 1440).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

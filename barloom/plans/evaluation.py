@@ -107,12 +107,12 @@ def _(spark, sf_dir):
     "user_id:i opened:t fills:i qty:d outcome",
     """SELECT user_id, opened, coalesce(fills, 0) AS fills, qty, CASE WHEN fills IS NULL THEN 'unfilled' WHEN abs(qty) < 1e-9 THEN 'flat' WHEN closed IS NULL THEN 'open' ELSE 'closed_with_position' END AS outcome FROM (
         SELECT user_id, min(ts) FILTER (WHERE event_type = 'signup') AS opened, max(ts) FILTER (WHERE event_type = 'purchase') AS closed FROM events GROUP BY 1) e
-        LEFT JOIN (SELECT order_id AS user_id, count(*) AS fills, sum(qty) AS qty FROM executions WHERE order_id % 2 = 0 GROUP BY 1) f USING (user_id)""",
+        LEFT JOIN (SELECT order_id AS user_id, count(*) AS fills, sum(qty) AS qty FROM executions GROUP BY 1) f USING (user_id)""",
 )
 def _(spark, sf_dir):
     when = lambda kind: F.when(c("event_type") == kind, c("ts"))
     e = table(spark, sf_dir, "events").groupBy("user_id").agg(F.min(when("signup")).alias("opened"), F.max(when("purchase")).alias("closed"))
-    f = market.executions(spark, sf_dir).where("order_id % 2 = 0").groupBy(c("order_id").alias("user_id")).agg(F.count(F.lit(1)).alias("f"), F.sum("qty").alias("qty"))
+    f = market.executions(spark, sf_dir).groupBy(c("order_id").alias("user_id")).agg(F.count(F.lit(1)).alias("f"), F.sum("qty").alias("qty"))
     outcome = F.when(c("f").isNull(), "unfilled").when(F.abs("qty") < 1e-9, "flat").when(c("closed").isNull(), "open").otherwise("closed_with_position")
     return e.join(f, "user_id", "left").withColumns({"fills": F.coalesce("f", F.lit(0)), "outcome": outcome})
 
@@ -150,10 +150,21 @@ def _(spark, sf_dir):
     return e.groupBy("user_id").agg(last.alias("r"), F.count(F.lit(1)).alias("seen")).select("user_id", "r.k", "seen", c("r.event_type").alias("source"))
 
 
-@query("dataset_manifest", "name n_rows:i first_ts:t last_ts:t digest", "SELECT 'ticks-v1' AS name, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts, sha256('ticks-v1|' || count(*)) AS digest FROM ticks")
+ROW_TEXT = "event_id || '|' || contract_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || CAST(round(price * 1000) AS BIGINT) || '|' || volume || '|' || open_interest"
+
+
+@query(
+    "dataset_manifest",
+    "name n_rows:i first_ts:t last_ts:t digest",
+    f"""SELECT 'ticks-v1' AS name, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts, sha256('ticks-v1|' || count(*) || '|' || sum(h)) AS digest
+        FROM (SELECT *, ('0x' || left(sha256({ROW_TEXT}), 12))::BIGINT AS h FROM ticks)""",
+)
 def _(spark, sf_dir):
-    m = market.ticks(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_rows"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")).withColumn("name", F.lit("ticks-v1"))
-    return m.withColumn("digest", F.sha2(F.concat_ws("|", "name", c("n_rows").cast("string")), 256))
+    """A digest of the content: row hashes are summed up, so it doesn't depend on order."""
+    text = F.concat_ws("|", "event_id", "contract_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.round(c("price") * 1000).cast("long"), "volume", "open_interest")
+    h = F.conv(F.substring(F.sha2(text, 256), 1, 12), 16, 10).cast("decimal(38,0)")
+    m = market.ticks(spark, sf_dir).withColumn("h", h).agg(F.count(F.lit(1)).alias("n_rows"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.sum("h").cast("string").alias("total")).withColumn("name", F.lit("ticks-v1"))
+    return m.withColumn("digest", F.sha2(F.concat_ws("|", "name", c("n_rows").cast("string"), "total"), 256))
 
 
 @query(

@@ -28,7 +28,7 @@ def _(spark, sf_dir):
 @query(
     "inc_changed_windows",
     "instrument_id ts:t close:d",
-    """SELECT h.instrument_id, h.ts, h.close FROM hourly h WHERE EXISTS (SELECT 1 FROM ticks t WHERE t.instrument_id = h.instrument_id AND t.event_id % 50 = 0
+    """SELECT h.instrument_id, h.ts, h.close FROM hourly h WHERE EXISTS (SELECT 1 FROM ticks t WHERE t.instrument_id = h.instrument_id AND t.price > 98
         AND h.ts >= date_trunc('hour', t.ts) - INTERVAL 2 HOUR AND h.ts <= date_trunc('hour', t.ts) + INTERVAL 2 HOUR)""",
 )
 def _(spark, sf_dir):
@@ -36,7 +36,7 @@ def _(spark, sf_dir):
     t = market.ticks(spark, sf_dir)
     hour = F.date_trunc("hour", "ts")
     near = F.explode(F.sequence(hour - F.expr("INTERVAL 2 HOURS"), hour + F.expr("INTERVAL 2 HOURS"), F.expr("INTERVAL 1 HOUR")))
-    scope = t.where("event_id % 50 = 0").select("instrument_id", near.alias("hour")).distinct()
+    scope = t.where("price > 98").select("instrument_id", near.alias("hour")).distinct()
     changed = t.withColumn("hour", hour).join(scope, ["instrument_id", "hour"], "left_semi")
     return B.ohlc(changed, ["instrument_id"], 60)
 

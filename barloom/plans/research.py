@@ -343,12 +343,12 @@ def _(spark, sf_dir):
     "event_id:i status entry:d mfe:d mae:d pnl:d",
     f"""SELECT t.event_id, CASE WHEN h.ts IS NULL THEN 'no_market_data' WHEN h.n_ahead < 4 THEN 'no_forward_window' ELSE 'ok' END AS status, h.open AS entry,
         CASE WHEN n_ahead = 4 THEN hi - open END AS mfe, CASE WHEN n_ahead = 4 THEN open - lo END AS mae, CASE WHEN n_ahead = 4 THEN last_close - open END AS pnl
-        FROM (SELECT event_id, instrument_id, date_trunc('hour', ts) AS ts FROM ticks WHERE event_id % 7 = 0) t ASOF LEFT JOIN (
+        FROM (SELECT event_id, instrument_id, date_trunc('hour', ts) AS ts FROM ticks) t ASOF LEFT JOIN (
             SELECT *, count(*) OVER f AS n_ahead, max(high) OVER f AS hi, min(low) OVER f AS lo, last_value(close) OVER f AS last_close FROM hourly
             WINDOW f AS (PARTITION BY instrument_id ORDER BY ts ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)) h ON t.instrument_id = h.instrument_id AND t.ts <= h.ts""",
 )
 def _(spark, sf_dir):
-    t = market.ticks(spark, sf_dir).where("event_id % 7 = 0").select("event_id", "instrument_id", F.date_trunc("hour", "ts").alias("ts"))
+    t = market.ticks(spark, sf_dir).select("event_id", "instrument_id", F.date_trunc("hour", "ts").alias("ts"))
     return scoring.forward_observations(t, market.hourly(spark, sf_dir), ["instrument_id"], 4)
 
 

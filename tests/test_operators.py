@@ -145,3 +145,55 @@ def test_own_indicator():
     I.register_indicator("double_close", lambda w: {"double_close": 2 * F.col("close")})
     assert "double_close" in I.REGISTRY
     assert isinstance(pd.Series(I.rsi(pd.DataFrame({"close": [1.0, 2.0, 1.5]}), 2)).iloc[-1], float)
+
+
+def test_valid_at_with_overlaps(spark):
+    left = spark.createDataFrame([(i, "a", i) for i in range(14)] + [(99, "b", 3)], "i int, k string, t int")
+    right = spark.createDataFrame([("a", 1, 10, 1.0), ("a", 3, 5, 2.0), ("a", 3, 4, 3.0), ("a", 12, None, 4.0), ("a", None, 20, 5.0)], "k string, f int, u int, v double")
+    got = {r["i"]: r["v"] for r in joins.valid_at(left, right, ["k"], "t", "f", "u", ["v"]).collect()}
+    assert got == {0: None, 1: 1.0, 2: 1.0, 3: 2.0, 4: 2.0, **{i: 1.0 for i in range(5, 10)}, 10: None, 11: None, 12: 4.0, 13: 4.0, 99: None}
+
+
+def test_any_key_keeps_repeated_rows(spark):
+    left = spark.createDataFrame([(1, 2), (1, 2), (None, 5)], "a int, b int")
+    right = spark.createDataFrame([(1, 2), (9, 2), (None, 5)], "x int, y int")
+    got = sorted(tuple(r) for r in joins.any_key(left, right, [("a", "x"), ("b", "y")]).na.fill(0).collect())
+    assert got == [(0, 5, 0, 5), (1, 2, 1, 2), (1, 2, 1, 2), (1, 2, 9, 2), (1, 2, 9, 2)]
+
+
+@pytest.mark.parametrize("forward", [False, True])
+@pytest.mark.parametrize("exact", [False, True])
+def test_asof_in_buckets_is_the_same(spark, forward, exact):
+    rng = np.random.default_rng(3)
+    hours = lambda n: [at(0) + dt.timedelta(hours=int(h)) for h in rng.integers(0, 200, n)]
+    left = spark.createDataFrame([(i, [None, "a", "b"][i % 3], t) for i, t in enumerate(hours(300))], "i int, k string, t timestamp")
+    right = spark.createDataFrame([([None, "a"][i % 2], t, i, f"{i:03d}") for i, t in enumerate(hours(60))], "k string, s timestamp, v int, o string")
+    plain, split = (joins.asof(left, right, ["k"], "t", "s", ["v"], exact, forward, "o", bucket=b).orderBy("i").collect() for b in (None, lambda t: F.date_trunc("day", t)))
+    assert plain == split
+
+
+def test_nearest_against_all_pairs(spark):
+    rng = np.random.default_rng(5)
+    left, right = [(i, i % 3, int(r)) for i, r in enumerate(rng.integers(0, 60, 80))], [(int(r) % 2, int(r), i) for i, r in enumerate(rng.choice(60, 30, replace=False))]
+    want = {}
+    for i, k, r in left:
+        near = sorted((abs(r - q), q, v) for g, q, v in right if g == k)
+        if near:
+            want[i] = near[0][2]
+    got = joins.nearest(spark.createDataFrame(left, "i int, k int, r int"), spark.createDataFrame(right, "k int, q int, v int"), ["k"], "r", "q", ["i"]).collect()
+    assert {r["i"]: r["v"] for r in got} == want
+
+
+def test_replacing_keeps_the_old_table_when_it_fails(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    spark.range(3).write.parquet(path)
+    io.replace_whole(spark.read.parquet(path).where("id > 0"), path)
+    assert spark.read.schema("id long").parquet(path).count() == 2 and [p.name for p in tmp_path.iterdir()] == ["t"]
+    with pytest.raises(Exception, match="boom"):
+        io.replace_whole(spark.range(3).select(F.raise_error(F.lit("boom")).alias("x")), path)
+    assert spark.read.schema("id long").parquet(path).count() == 2
+
+
+def test_rows_of_a_series_are_numbered_across_days(spark):
+    df = series(spark, 100)
+    assert [r["_at"] for r in recursive.numbered(df, ["k"], "ts").orderBy("ts").collect()] == list(range(100))
