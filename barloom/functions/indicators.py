@@ -54,8 +54,11 @@ def lowest(w: WindowSpec, n: int, x: Column | None = None) -> Column:
     return rolling(F.min, c("low") if x is None else x, w, n)
 
 
-def wma(w: WindowSpec, n: int, x: Column) -> Column:
-    """Weights 1 to n, the newest row heaviest."""
+def wma(w: WindowSpec, n: int, x: Column, at: Column | None = None) -> Column:
+    """Weights 1 to n, the newest row heaviest. With at, the row's number in the series, two sums in constant memory; else the last n values are held."""
+    if at is not None:
+        total = F.sum(at * x).over(rows(w, n)) - (at - n) * F.sum(x).over(rows(w, n))
+        return full(total / (n * (n + 1) / 2), x, w, n)
     held = F.collect_list(x).over(rows(w, n))
     total = F.aggregate(F.transform(held, lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v)
     return full(total / (n * (n + 1) / 2), x, w, n)

@@ -64,3 +64,19 @@ def front_bars(front: DataFrame, bars: DataFrame, events: DataFrame, instrument:
     out = marked.join(own, (key == F.col("contract_id")) & (F.col("ts") == F.col("_t")))
     since = F.row_number().over(Window.partitionBy(instrument, "roll_epoch").orderBy("ts")) - 1
     return out.withColumns({"bars_since_roll": since, "close0": F.col("close") - F.col("offset0")})
+
+
+def input_frame(front: DataFrame, events: DataFrame, bars: DataFrame, instrument: str = "instrument_id", missing: str = "error") -> DataFrame:
+    """Bars of the contract that is in front on their day, prices less the gaps of the rolls so far, with roll_epoch and offset0.
+
+    front and events are by day, bars of any length. missing: what a roll without a gap is (a contract had no bar when the
+    roll was decided): "error" raises when such bars are read, "keep" takes no gap.
+    """
+    so_far = Window.partitionBy(instrument).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    marked = front.join(events.select(instrument, "ts", "gap", "seq"), [instrument, "ts"], "left")
+    gap = F.col("gap")
+    if missing == "error":
+        gap = F.when(F.col("seq").isNotNull() & gap.isNull(), F.raise_error(F.concat_ws(" ", F.lit("no gap for the roll of"), instrument, F.col("ts").cast("string"))).cast("double")).otherwise(gap)
+    marked = marked.select(instrument, F.col("ts").alias("_day"), F.concat_ws("-", instrument, F.col("maturity").cast("string")).alias("_c"), F.count("seq").over(so_far).alias("roll_epoch"), F.coalesce(F.sum(gap).over(so_far), F.lit(0.0)).alias("offset0"))
+    own = bars.drop(instrument).join(marked, (F.col("contract_id") == F.col("_c")) & (F.date_trunc("day", "ts") == F.col("_day")))
+    return own.withColumns({k: F.col(k) - F.col("offset0") for k in ("open", "high", "low", "close")}).drop("_day", "_c")

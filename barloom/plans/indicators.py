@@ -8,9 +8,9 @@ from pyspark.sql.window import Window
 
 from barloom.functions import indicators as I
 from barloom.functions import recursive
-from barloom.functions.derived import cross_code, position, session_opening, swing
+from barloom.functions.derived import session_opening, swing
 from barloom.operators import bars as B
-from barloom.operators.windows import correlation, full, masked, rolling, rows
+from barloom.operators.windows import full, masked, rolling, rows
 from barloom.plans import market
 from barloom.plans.registry import query
 
@@ -102,9 +102,9 @@ def wma_sql(x: str, n: int) -> str:
 HMA = ((20, 4), (100, 10), (200, 14))
 windowed(
     "ind_hma",
-    {f"hma_{n}": (lambda n=n, r=r: I.wma(W(), r, c(f"raw_{n}"))) for n, r in HMA},
+    {f"hma_{n}": (lambda n=n, r=r: I.wma(W(), r, c(f"raw_{n}"), c("bar_index"))) for n, r in HMA},
     {f"hma_{n}": wma_sql(f"raw_{n}", r) for n, r in HMA},
-    [{f"raw_{n}": (lambda n=n: 2 * I.wma(W(), n // 2, c()) - I.wma(W(), n, c())) for n, _ in HMA}],
+    [{f"raw_{n}": (lambda n=n: 2 * I.wma(W(), n // 2, c(), c("bar_index")) - I.wma(W(), n, c(), c("bar_index"))) for n, _ in HMA}],
     [{f"raw_{n}": f"2 * ({wma_sql('close', n // 2)}) - ({wma_sql('close', n)})" for n, _ in HMA}],
 )
 STOCH = div(f"100 * (close - min(low) {o(14)})", f"max(high) {o(14)} - min(low) {o(14)}")
@@ -420,47 +420,6 @@ def _(spark, sf_dir):
     return swing(base(spark, sf_dir), W(), 5, 5)
 
 
-@query(
-    "der_positions",
-    f"{KEYS} rolling_high_20:d rolling_low_20:d rolling_position_20:d bb_position:d distance_to_sma_20:d",
-    f"""SELECT *, {div('close - rolling_low_20', 'rolling_high_20 - rolling_low_20')} AS rolling_position_20, {div('close - (m - 2 * s)', '4 * s')} AS bb_position,
-        {div('close - m', 'atr')} AS distance_to_sma_20 FROM (SELECT *, {agg('max', 'high', 20)} AS rolling_high_20, {agg('min', 'low', 20)} AS rolling_low_20,
-        {agg('avg', 'close', 20)} AS m, {agg('stddev_pop', 'close', 20)} AS s, {agg('avg', 'true_range', 14)} AS atr FROM base)""",
-    CTE,
-)
-def _(spark, sf_dir):
-    df = base(spark, sf_dir).withColumns({"rolling_high_20": I.highest(W(), 20), "rolling_low_20": I.lowest(W(), 20), "m": I.sma(W(), 20), "s": I.std(W(), 20), "atr": I.sma(W(), 14, c("true_range"))})
-    return df.withColumns({"rolling_position_20": position(c("rolling_low_20"), c("rolling_high_20")), "bb_position": position(c("m") - 2 * c("s"), c("m") + 2 * c("s")), "distance_to_sma_20": I.ratio(c() - c("m"), c("atr"))})
-
-
-@query(
-    "der_cross_codes",
-    f"{KEYS} close_x_sma:i close_x_high:i change_1:d sma_slope_5:d",
-    f"""SELECT *, CASE WHEN d1 IS NULL OR p1 IS NULL THEN NULL WHEN p1 <= 0 AND d1 > 0 THEN 1 WHEN p1 >= 0 AND d1 < 0 THEN -1 ELSE 0 END AS close_x_sma,
-        CASE WHEN d2 IS NULL OR p2 IS NULL THEN NULL WHEN p2 <= 0 AND d2 > 0 THEN 1 WHEN p2 >= 0 AND d2 < 0 THEN -1 ELSE 0 END AS close_x_high,
-        close - prev_close AS change_1, degrees(atan((m - {lag('m', 5)}) / 5)) AS sma_slope_5 FROM (
-        SELECT *, {lag('d1')} AS p1, {lag('d2')} AS p2 FROM (SELECT *, close - m AS d1, close - {lag('hi')} AS d2 FROM (
-        SELECT *, round({agg('avg', 'close', 20)}, 9) AS m, {agg('max', 'high', 20)} AS hi FROM base)))""",
-    CTE,
-)
-def _(spark, sf_dir):
-    df = base(spark, sf_dir).withColumns({"m": F.round(I.sma(W(), 20), 9), "hi": I.highest(W(), 20)}).withColumns({"d1": c() - c("m"), "d2": c() - F.lag("hi").over(W())})
-    return df.withColumns({"close_x_sma": cross_code(c("d1"), W()), "close_x_high": cross_code(c("d2"), W()), "change_1": c() - c("prev_close"), "sma_slope_5": I.slope_degrees(W(), 5, c("m"))})
-
-
-@query(
-    "der_correlations",
-    f"{KEYS} price_volume_corr_20:d divergence_score:d",
-    f"""SELECT *, {if_full(f"CASE WHEN stddev_pop(dp) {o(20)} > 1e-12 AND stddev_pop(dv) {o(20)} > 1e-12 THEN corr(dp, dv) {o(20)} END", 'dp', 20)} AS price_volume_corr_20,
-        degrees(atan((close - {lag('close', 20)}) / 20)) - degrees(atan((volume - {lag('volume', 20)}) / 20)) AS divergence_score
-        FROM (SELECT *, close - prev_close AS dp, volume - {lag('volume')} AS dv FROM base)""",
-    CTE,
-)
-def _(spark, sf_dir):
-    df = base(spark, sf_dir).withColumns({"dp": c() - c("prev_close"), "dv": (c("volume") - F.lag("volume").over(W())).cast("double")})
-    return df.withColumns({"price_volume_corr_20": correlation(c("dp"), c("dv"), W(), 20), "divergence_score": I.slope_degrees(W(), 20) - I.slope_degrees(W(), 20, c("volume"))})
-
-
 @query(
     "der_masked_hold",
     f"{KEYS} masked_sma_3:d",
@@ -471,19 +430,3 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     ok = F.col("volume").bitwiseAND(1) == 1
     return masked(base(spark, sf_dir), ["instrument_id"], "ts", ok, lambda d: d.withColumn("masked_sma_3", rolling(F.avg, c(), W(), 3)), "masked_sma_3", "hold")
-
-
-@query(
-    "der_mtf_overlay",
-    f"{KEYS} mtf_close:d mtf_ts:t",
-    """SELECT h.instrument_id, h.ts, d.close AS mtf_close, d.close_ts AS mtf_ts FROM hourly h ASOF LEFT JOIN (
-        SELECT instrument_id, to_timestamp((floor(epoch(ts) / 14400) + 1) * 14400)::TIMESTAMP AS close_ts, arg_max(close, ts) AS close FROM hourly GROUP BY instrument_id, floor(epoch(ts) / 14400)) d
-        ON h.instrument_id = d.instrument_id AND d.close_ts <= h.ts""",
-)
-def _(spark, sf_dir):
-    from barloom.operators.joins import asof
-
-    h = market.hourly(spark, sf_dir)
-    four = B.rebucket(h, ["instrument_id"], 240).select("instrument_id", (F.col("ts") + F.expr("INTERVAL 4 HOURS")).alias("close_ts"), F.col("close").alias("mtf_close"))
-    return asof(h.select("instrument_id", "ts"), four, ["instrument_id"], "ts", "close_ts", ["mtf_close"]).withColumnRenamed("matched_close_ts", "mtf_ts")
-
