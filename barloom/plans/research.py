@@ -102,43 +102,7 @@ def features(spark, sf_dir):
     return df.withColumns({"ph": F.lag("hi20").over(w), "pl": F.lag("lo20").over(w)})
 
 
-def signal(name: str, sql: tuple[str, str], states, inner: str = "feat2"):
-    """States are false where their features are missing."""
-
-    def run(spark, sf_dir):
-        df = features(spark, sf_dir)
-        up, down = states(df)
-        return df.withColumns({"long_state": F.coalesce(up, F.lit(False)), "short_state": F.coalesce(down, F.lit(False))})
-
-    query(name, "instrument_id ts:t long_state short_state", f"SELECT instrument_id, ts, coalesce({sql[0]}, false) AS long_state, coalesce({sql[1]}, false) AS short_state FROM {inner}", F_CTE)(run)
-
-
 c = F.col
-signal("sig_ma_cross", ("f5 > s20 AND close >= s20", "f5 < s20 AND close <= s20"), lambda df: signals.ma_cross(c("f5"), c("s20"), c("close"), c("s20")))
-signal("sig_breakout", ("bar_index >= 30 AND close >= ph + 0.1 * atr", "bar_index >= 30 AND close <= pl - 0.1 * atr"), lambda df: signals.breakout(c("close"), c("ph"), c("pl"), c("bar_index"), c("atr"), 30, 0.1))
-signal("sig_mean_reversion", ("pos20 * 100 <= 15 AND (close - s20) / nullif(atr, 0) <= -0.8", "pos20 * 100 >= 85 AND (close - s20) / nullif(atr, 0) >= 0.8"), lambda df: signals.mean_reversion(c("pos20") * 100, I.ratio(c("close") - c("s20"), c("atr")), 15, 0.8))
-signal(
-    "sig_squeeze_release",
-    (f"coalesce(sum(CASE WHEN width <= 250 THEN 1 ELSE 0 END) {o(4).replace('CURRENT ROW', '1 PRECEDING')} = 3, false) AND close > s20", f"coalesce(sum(CASE WHEN width <= 250 THEN 1 ELSE 0 END) {o(4).replace('CURRENT ROW', '1 PRECEDING')} = 3, false) AND close < s20"),
-    lambda df: signals.squeeze_release(c("width") / 1000, 25, c("close"), c("s20"), W(), 3),
-)
-signal("sig_band_reversion", ("least(pos20, pos5) <= 0.05", "greatest(pos20, pos5) >= 0.95"), lambda df: signals.band_reversion([c("pos20"), c("pos5")], 0.05, 0.95))
-signal(
-    "sig_failed_breakout",
-    (f"coalesce(max(CASE WHEN close < pl THEN 1 ELSE 0 END) {o(4).replace('CURRENT ROW', '1 PRECEDING')}, 0) = 1 AND close >= pl", f"coalesce(max(CASE WHEN close > ph THEN 1 ELSE 0 END) {o(4).replace('CURRENT ROW', '1 PRECEDING')}, 0) = 1 AND close <= ph"),
-    lambda df: signals.failed_breakout(c("close"), c("ph"), c("pl"), W(), 3),
-)
-signal("sig_divergence", ("degrees(atan((close - c5) / 5)) - degrees(atan(f5 - s20)) <= -40", "degrees(atan((close - c5) / 5)) - degrees(atan(f5 - s20)) >= 40"), lambda df: signals.divergence(F.degrees(F.atan((c("close") - c("c5")) / 5)) - F.degrees(F.atan(c("f5") - c("s20"))), 40))
-signal("sig_trend_movement", ("least(f5 - s20, close - c5) > 0", "greatest(f5 - s20, close - c5) < 0"), lambda df: (F.least(c("f5") - c("s20"), c("close") - c("c5")) > 0, F.greatest(c("f5") - c("s20"), c("close") - c("c5")) < 0))
-signal("sig_channel_continuation", ("close > ph AND (close - ph) / nullif(atr, 0) <= 1.5", "close < pl AND (pl - close) / nullif(atr, 0) <= 1.5"), lambda df: ((c("close") > c("ph")) & (I.ratio(c("close") - c("ph"), c("atr")) <= 1.5), (c("close") < c("pl")) & (I.ratio(c("pl") - c("close"), c("atr")) <= 1.5)))
-signal(
-    "sig_mtf_pullback",
-    (f"s20 > {lag('s20', 4)} AND pos5 <= 0.5 AND (sum(CASE WHEN close > c5 THEN 1 ELSE 0 END) {o(2)} = 2 AND count(*) {o(2)} = 2)", f"s20 < {lag('s20', 4)} AND pos5 >= 0.5 AND (sum(CASE WHEN close < c5 THEN 1 ELSE 0 END) {o(2)} = 2 AND count(*) {o(2)} = 2)"),
-    lambda df: (
-        (c("s20") > F.lag("s20", 4).over(W())) & (c("pos5") <= 0.5) & signals.confirmed(F.coalesce(c("close") > c("c5"), F.lit(False)), W(), 2),
-        (c("s20") < F.lag("s20", 4).over(W())) & (c("pos5") >= 0.5) & signals.confirmed(F.coalesce(c("close") < c("c5"), F.lit(False)), W(), 2),
-    ),
-)
 
 
 @query(
