@@ -97,8 +97,11 @@ for _id, _name in (("LGPL-2.1", "Lesser General Public License, version 2.1"), (
 for _id, _title in TITLES.items():
     NOTICES[_id] = [*dict.fromkeys([*NOTICES.get(_id, []), _title, *(f"{_verb} the {_title}." for _verb in ("Licensed under", "Released under"))])]
     TEXTS[_id] += [f"{n}\n{t}" for n in NOTICES[_id] for t in TEXTS[_id]]  # such a statement can follow the copyright
-#: Equivalent spellings, as patterns over words of normalised text.
-SPELLINGS = (("(sub)?licenc(e|es|ed)", "$1licens$2"), ("merchantibility", "merchantability"), ("noncommercial", "non commercial"), ("copyright owner", "copyright holder"))
+#: Equivalent spellings, as words of normalised text.
+SPELLINGS = (
+    *((f"{x}licenc{y}", f"{x}licens{y}") for x in ("", "sub") for y in ("e", "es", "ed")),
+    ("merchantibility", "merchantability"), ("noncommercial", "non commercial"), ("copyright owner", "copyright holder"),
+)
 _YEAR = r"[\[<{(]?(?:[12][0-9]{3}|yyyy|year)\b"
 _UNDER = (
     r"(?:licen[sc]ed|released|distributed|published|available) +under\b[^\n]*|this +(?:work|software|file|code|program|document|project|package) +is +\w+ +under\b[^\n]*"
@@ -112,18 +115,21 @@ _COPYRIGHT = (
 )
 
 
-#: Fixed value: signs that are punctuation besides those of ASCII.
-SIGNS = "‐-―‘-‟•…«»·"
+#: Characters of words in lower case, letters of ASCII first as most texts have mostly those. Left out are ASCII's other
+#: characters and the typographic signs « · » and U+2010 to U+2027 (dashes, quotes, bullets, dots).
+WORD_CHARS = r"a-z0-9\x{80}-\x{AA}\x{AC}-\x{B6}\x{B8}-\x{BA}\x{BC}-\x{200F}\x{2028}-\x{10FFFF}"
 
 
 def canonical_sql(text: str) -> str:
     """The canonical form as a SQL expression over text."""
     statement = _COPYRIGHT.replace("(?im)", "(?imd)").replace("\\", "\\\\")
     out = f"lower(regexp_replace(coalesce({text}, ''), '{statement}', ' $1$2$3'))"
-    out = f"concat(' ', regexp_replace({out}, '[\\\\x00-\\\\x2F\\\\x3A-\\\\x60\\\\x7B-\\\\x7F{SIGNS}]+', ' '), ' ')"
+    # Two spaces between words: each word has its own, so plain replacements also see repeated words.
+    chars = WORD_CHARS.replace("\\", "\\\\")
+    out = f"concat(' ', regexp_replace({out}, '[^{chars}]+', '  '), ' ')"
     for a, b in SPELLINGS:
-        out = f"regexp_replace({out}, '(?<= ){a}(?= )', '{b}')"
-    return f"trim({out})"
+        out = f"replace({out}, ' {a.replace(' ', '  ')} ', ' {b.replace(' ', '  ')} ')"
+    return f"trim(replace({out}, '  ', ' '))"
 
 
 def canonical(text: str) -> Column:
@@ -186,7 +192,7 @@ def duckdb_canonical(text: str) -> str:
     word = """CASE WHEN w IN ('licence', 'licences', 'licenced', 'sublicence', 'sublicences', 'sublicenced') THEN replace(w, 'licenc', 'licens')
         WHEN w = 'merchantibility' THEN 'merchantability' WHEN w = 'noncommercial' THEN 'non commercial' ELSE w END"""
     lines = f"array_to_string(list_transform(string_split(coalesce({text}, ''), chr(10)), lambda l: {line}), ' ')"
-    words = f"list_transform(regexp_extract_all(lower({lines}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F{SIGNS}]+'), lambda w: {word})"
+    words = f"list_transform(regexp_extract_all(lower({lines}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F«»·‐-‧]+'), lambda w: {word})"
     return f"trim(replace(' ' || array_to_string({words}, ' ') || ' ', ' copyright owner ', ' copyright holder '))"
 
 
