@@ -125,7 +125,8 @@ def unescape(text: str) -> str:
 
 def unescaped(text: Column) -> Column:
     """unescape as a column."""
-    return F.regexp_replace(text, "|".join(f"(?<={re.escape(c[0])})\\\\(?=\\\\*{re.escape(c[1:])})" for c in CONTROLS), "")
+    pattern = "|".join(f"(?<={re.escape(c[0])})\\\\(?=\\\\*{re.escape(c[1:])})" for c in CONTROLS)
+    return F.when(F.contains(text, F.lit("\\")), F.regexp_replace(text, pattern, "")).otherwise(text)
 
 
 def write_turn(role: str, text: str) -> tuple[str, int, int]:
