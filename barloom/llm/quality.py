@@ -218,7 +218,7 @@ def fit_quality(df: DataFrame, labels: DataFrame, label_col: str = "quality", he
 
     measured = map_arrow(rows.select("doc_id", "text", "y"), measure, "doc_id long, y int, x array<double>")
     one = measured.groupBy("doc_id").agg(F.min_by(F.struct("x", "y"), F.xxhash64("x")).alias("r")).select("r.x", "r.y")
-    got = one.orderBy(F.xxhash64("x", "y")).toArrow()  # at most max_rows
+    got = one.withColumn("key", F.xxhash64("x", "y")).toArrow().sort_by("key")  # at most max_rows
     lists = got.column("x").combine_chunks()
     flat = np.concatenate([np.asarray(c.flatten()) for c in (lists.chunks if isinstance(lists, pa.ChunkedArray) else [lists])] or [np.zeros(0)])
     return fit_trees(flat.reshape(-1, 16 + N_CLASSES), got.column("y").to_numpy().astype(np.float64))

@@ -141,7 +141,7 @@ def training_cells(rows: DataFrame, bits: int = BITS) -> tuple[list[np.ndarray],
         flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int32), pa.int32())
         return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), flat), batch.column(batch.schema.get_field_index("y")), batch.column(batch.schema.get_field_index("key"))], ["cells", "y", "key"])
 
-    got = map_arrow(rows.withColumn("key", F.xxhash64("text", "y")), select, "cells array<int>, y int, key long").orderBy("key").toArrow()
+    got = map_arrow(rows.withColumn("key", F.xxhash64("text", "y")), select, "cells array<int>, y int, key long").toArrow().sort_by("key")
     docs = [np.asarray(c.values.to_numpy()) for chunk in got.column("cells").chunks for c in chunk]
     return docs, got.column("y").to_numpy().astype(np.float64)
 
