@@ -49,3 +49,9 @@ def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 def fingerprint(*cols: str) -> Column:
     """A digest of a row's columns; nulls count."""
     return F.sha2(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in cols)), 256)
+
+
+def merge_replace(old: DataFrame, new: DataFrame, keys: list[str], scope: Column | None = None) -> DataFrame:
+    """upsert, without old rows in scope (all, if None) whose keys new doesn't have."""
+    stale = anti(old if scope is None else old.where(scope), new, keys)
+    return upsert(delete(old, stale, keys), new, keys)

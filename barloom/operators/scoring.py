@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import calendar
+import datetime as dt
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -107,3 +112,120 @@ def reconciled(orders: DataFrame, lines: DataFrame) -> DataFrame:
     status = F.when(missing_a, "unexpected").when(missing_b, "missing").otherwise("matched")
     gate = F.when(missing_a | missing_b, "FAIL").when(F.coalesce(drift, F.lit(0.0)) > limit, "FAIL").otherwise("PASS")
     return j.select(F.coalesce("o_orderkey", "l_orderkey").alias("o_orderkey"), status.alias("status"), drift.alias("drift_bps"), gate.alias("gate"))
+
+
+# --- policy: thresholds, total score, constraints of trials ---------------------------------------
+
+#: Weights of a run's total score.
+WEIGHTS = {"objective": 0.30, "consistency": 0.20, "stability": 0.20, "slippage": 0.15, "preferred": 0.15}
+
+
+@dataclass(frozen=True)
+class Policy:
+    """Thresholds that runs must meet."""
+
+    folds: int = 2
+    trades: int = 12
+    trades_per_fold: int = 2
+    positive_folds: float = 0.5
+    drawdown: float = 0.35
+    stability: float = 0.35
+    slippage: float = 0.45
+
+    def shortfalls(self) -> dict[str, Column]:
+        """How much each of the seven is missed by, over columns folds, trades, least_trades, positive_folds, drawdown, stability, slippage; up to 0 it is met."""
+        c = F.col
+        per_fold = F.greatest(F.lit(1), F.least(F.lit(self.trades_per_fold), c("trades")))
+        return {
+            "min_fold_count": self.folds - c("folds"),
+            "min_trade_count": self.trades - c("trades"),
+            "min_trade_count_per_fold": per_fold - c("least_trades"),
+            "min_positive_fold_ratio": self.positive_folds - c("positive_folds"),
+            "max_drawdown": c("drawdown") - self.drawdown,
+            "min_parameter_stability": self.stability - c("stability"),
+            "min_slippage_score": self.slippage - c("slippage"),
+        }
+
+
+def total_score(**parts: Column) -> Column:
+    """The weighted sum of objective, consistency, stability, slippage and preferred."""
+    return sum((w * parts[k] for k, w in WEIGHTS.items()), F.lit(0.0))
+
+
+def fold_summary(trades: DataFrame, run: str, fold: Column, unit: float) -> DataFrame:
+    """run, folds, trades, least_trades, positive_folds, mean_return, consistency from trades' net_pnl."""
+    f = trades.groupBy(F.col(run).alias("run_id"), fold.alias("_fold")).agg((F.sum("net_pnl") / unit).alias("_r"), F.count(F.lit(1)).alias("_k"))
+    return f.groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("folds"), F.sum("_k").alias("trades"), F.min("_k").alias("least_trades"), F.avg((F.col("_r") > 0).cast("double")).alias("positive_folds"),
+        F.avg("_r").alias("mean_return"), F.least(F.lit(1.0), fold_consistency(F.col("_r"))).alias("consistency"),
+    )
+
+
+def nested_walk_forward(start: dt.date, end: dt.date, outer: tuple[int, int, int], inner: tuple[int, int, int], purge: int, embargo: int, warmup: int) -> list[dict]:
+    """Windows of a nested plan: outer and inner are (train, test, step) in months; purge, embargo and warm-up in days. end is excluded.
+
+    Every outer fold's training months hold inner folds; its test months confirm. A window's scores start a purge after its
+    analysis ends, an embargo follows them, and indicators warm up before it starts.
+    """
+
+    def months(day: dt.date, n: int) -> dt.date:
+        year, month = divmod(day.year * 12 + day.month - 1 + n, 12)
+        return dt.date(year, month + 1, min(day.day, calendar.monthrange(year, month + 1)[1]))
+
+    days = lambda n: dt.timedelta(days=n)
+    out: list[dict] = []
+
+    def window(name: str, role: str, lo: dt.date, cut: dt.date, hi: dt.date) -> dict:
+        if cut + days(purge) >= hi:
+            raise ValueError(f"the purge leaves nothing to score in {name}")
+        return {"window_id": name, "role": role, "warmup_start": lo - days(warmup), "analysis_start": lo, "analysis_end": cut, "score_start": cut + days(purge), "score_end": hi, "embargo_end": hi + days(embargo)}
+
+    k = 0
+    while months(start, k * outer[2] + outer[0] + outer[1]) <= end:
+        lo, cut, hi = (months(start, k * outer[2] + n) for n in (0, outer[0], outer[0] + outer[1]))
+        j = 0
+        while months(lo, j * inner[2] + inner[0] + inner[1]) <= cut:
+            out.append(window(f"outer-{k + 1:02d}__inner-{j + 1:02d}", "optimization_validation", *(months(lo, j * inner[2] + n) for n in (0, inner[0], inner[0] + inner[1]))))
+            j += 1
+        if not j:
+            raise ValueError("an outer fold is too short for an inner one")
+        out.append(window(f"outer-{k + 1:02d}__confirmation", "confirmation", lo, cut, hi))
+        k += 1
+    if not out:
+        raise ValueError("the time span is too short for an outer fold")
+    return out
+
+
+def execution_drifts(intents: DataFrame, orders: DataFrame, fills: DataFrame) -> DataFrame:
+    """intent_id, broker_order_id, reason: where intended orders, a broker's orders and its fills disagree, one row for each reason.
+
+    intents: intent_id, qty. orders: broker_order_id, intent_id, external_order_id, state, ts; the latest order of an intent
+    counts. fills: broker_order_id, qty.
+    """
+    c = F.col
+    got = fills.groupBy(c("broker_order_id").alias("_filled_id")).agg(F.sum("qty").alias("_filled"))
+    latest = orders.groupBy(c("intent_id").alias("_intent")).agg(F.max_by(F.struct("broker_order_id", "external_order_id", "state"), F.struct("ts", "broker_order_id")).alias("_o")).select("_intent", "_o.*")
+    j = intents.select("intent_id", "qty").join(latest, c("intent_id") == c("_intent"), "left").join(got, c("broker_order_id") == c("_filled_id"), "left")
+    filled, there = F.coalesce("_filled", F.lit(0)), c("_intent").isNotNull()
+    reasons = {
+        "missing_broker_order_ack": ~there,
+        "missing_external_order_id": there & (F.coalesce("external_order_id", F.lit("")) == ""),
+        "stale_order_state_vs_fill": there & (filled > 0) & c("state").isin("new", "submitted", "replaced"),
+        "filled_state_without_enough_fills": there & (c("state") == "filled") & (filled < c("qty")),
+        "fill_qty_exceeds_expected": there & (filled > c("qty")),
+    }
+    named = F.filter(F.array(*(F.when(x, F.lit(k)) for k, x in reasons.items())), lambda v: v.isNotNull())
+    drifts = j.select("intent_id", "broker_order_id", F.explode(named).alias("reason"))
+    unexpected = orders.join(intents.select(c("intent_id").alias("_i")), c("intent_id") == c("_i"), "left_anti").select("intent_id", "broker_order_id", F.lit("unexpected_broker_order").alias("reason"))
+    known = orders.select(c("broker_order_id").alias("_b")).distinct()
+    orphans = fills.join(known, c("broker_order_id") == c("_b"), "left_anti").select(F.lit(None).cast(intents.schema["intent_id"].dataType).alias("intent_id"), "broker_order_id", F.lit("orphan_fill_without_order").alias("reason"))
+    return drifts.unionByName(unexpected).unionByName(orphans)
+
+
+def position_drifts(expected: DataFrame, observed: DataFrame, keys: list[str], tolerance: float = 1e-9) -> DataFrame:
+    """keys and reason: missing, unexpected, quantity or average price (beyond the tolerance) of positions (qty, price)."""
+    a = expected.select(*(F.col(k).alias(f"_a{i}") for i, k in enumerate(keys)), F.col("qty").alias("_aq"), F.col("price").alias("_ap"))
+    b = observed.select(*keys, F.col("qty").alias("_bq"), F.col("price").alias("_bp"))
+    on = reduce(lambda x, y: x & y, (F.col(f"_a{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)))
+    reason = F.when(F.col("_aq").isNull(), "unexpected_position").when(F.col("_bq").isNull(), "missing_position").when(F.col("_aq") != F.col("_bq"), "position_qty_mismatch").when(F.abs(F.col("_ap") - F.col("_bp")) > tolerance, "position_price_mismatch")
+    return a.join(b, on, "full").select(*(F.coalesce(k, f"_a{i}").alias(k) for i, k in enumerate(keys)), reason.alias("reason")).where("reason IS NOT NULL")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -11,7 +14,7 @@ from barloom.plans.indicators import CTE as BASE_CTE
 from barloom.plans.indicators import base
 from barloom.plans.market import table
 from barloom.plans.registry import query
-from barloom.plans.research import RUNS, runs
+from barloom.plans.research import GRADED, POLICY, RUNS, SHORT, graded, runs
 
 c = F.col
 R_CTE = f"{market.CTE}, {RUNS}"
@@ -36,34 +39,35 @@ def _(spark, sf_dir):
 
 @query(
     "eval_trial_score",
-    "run_id:i score:d violations",
-    """SELECT run_id, CASE WHEN violations = '' THEN avg_ret - 0.5 * dev ELSE -1 END AS score, violations FROM (SELECT run_id, avg(r) AS avg_ret, stddev_pop(r) AS dev,
-        concat_ws(',', CASE WHEN sum(k) < 12 THEN 'trades' END, CASE WHEN count(*) < 2 THEN 'folds' END, CASE WHEN avg(CASE WHEN r > 0 THEN 1::DOUBLE ELSE 0::DOUBLE END) < 0.67 THEN 'positive' END) AS violations
-        FROM (SELECT instrument_id AS run_id, year(ts) AS fold, sum(net_pnl) / 100 AS r, count(*) AS k FROM executions GROUP BY 1, 2) GROUP BY 1)""",
+    "run_id:i score:d passed " + " ".join(f"{k}:d" for k in SHORT),
+    f"""SELECT *, round(0.3 * objective + 0.2 * consistency + 0.2 * 0.5 + 0.15 * slippage + 0.15 * objective, 9) AS score, {' AND '.join(f'{k} <= 0' for k in SHORT)} AS passed
+        FROM (SELECT run_id, objective, consistency, slippage, {', '.join(f"{x.replace('stability', '0.5')} AS {k}" for k, x in SHORT.items())} FROM graded)""",
+    f"{R_CTE}, {GRADED}",
 )
 def _(spark, sf_dir):
-    """Returns are pnl / 100; a run that violates a constraint scores -1."""
-    f = market.executions(spark, sf_dir).groupBy(c("instrument_id").alias("run_id"), F.year("ts").alias("fold")).agg((F.sum("net_pnl") / 100).alias("r"), F.count(F.lit(1)).alias("k"))
-    s = f.groupBy("run_id").agg(F.avg("r").alias("m"), F.stddev_pop("r").alias("d"), F.sum("k").alias("k"), F.count(F.lit(1)).alias("folds"), F.avg((c("r") > 0).cast("double")).alias("p"))
-    s = s.withColumn("violations", quality.reasons(trades=c("k") < 12, folds=c("folds") < 2, positive=c("p") < 0.67))
-    return s.withColumn("score", F.when(c("violations") == "", c("m") - 0.5 * c("d")).otherwise(-1.0))
+    """A trial before its neighbours are known: stability is a half, the objective is the preferred metric too."""
+    df = graded(spark, sf_dir).withColumn("stability", F.lit(0.5))
+    score = scoring.total_score(**{k: c("objective" if k == "preferred" else k) for k in scoring.WEIGHTS})
+    short = POLICY.shortfalls()
+    return df.withColumns({"score": F.round(score, 9), "passed": reduce(lambda a, b: a & b, (x <= 0 for x in short.values())), **short})
 
 
 @query(
     "eval_nested_walk_forward",
-    "outer_fold:i role lo:D hi:D n:i",
-    """SELECT outer_fold, role, lo, hi, count(e.ts) AS n FROM (SELECT k AS outer_fold, role, (DATE '1995-01-01' + INTERVAL 1 MONTH * (6 * k + a))::DATE AS lo, (DATE '1995-01-01' + INTERVAL 1 MONTH * (6 * k + b) - INTERVAL 1 DAY * gap)::DATE AS hi
-        FROM (VALUES (0), (1), (2), (3)) f(k), (VALUES ('train', 0, 12, 5), ('inner_test', 12, 15, 5), ('test', 15, 18, 0)) w(role, a, b, gap)) p
-        LEFT JOIN executions e ON e.ts::DATE >= p.lo AND e.ts::DATE < p.hi GROUP BY ALL""",
+    "window_id role warmup_start:D analysis_start:D analysis_end:D score_start:D score_end:D embargo_end:D n:i",
+    """SELECT *, (SELECT count(*) FROM executions e WHERE e.ts::DATE >= score_start AND e.ts::DATE < score_end) AS n FROM (
+        SELECT window_id, role, lo - INTERVAL 20 DAY AS warmup_start, lo AS analysis_start, cut AS analysis_end, cut + INTERVAL 5 DAY AS score_start, hi AS score_end, hi + INTERVAL 3 DAY AS embargo_end FROM (
+            SELECT format('outer-{:02d}__inner-{:02d}', k + 1, j + 1) AS window_id, 'optimization_validation' AS role, s + to_months(6 * k + 3 * j) AS lo, s + to_months(6 * k + 3 * j + 6) AS cut, s + to_months(6 * k + 3 * j + 9) AS hi
+            FROM (SELECT DATE '1993-01-31' AS s), generate_series(0, 99) o(k), generate_series(0, 99) i(j) WHERE s + to_months(6 * k + 15) <= DATE '1998-07-01' AND 3 * j + 9 <= 12
+            UNION ALL SELECT format('outer-{:02d}__confirmation', k + 1), 'confirmation', s + to_months(6 * k), s + to_months(6 * k + 12), s + to_months(6 * k + 15)
+            FROM (SELECT DATE '1993-01-31' AS s), generate_series(0, 99) o(k) WHERE s + to_months(6 * k + 15) <= DATE '1998-07-01'))""",
 )
 def _(spark, sf_dir):
-    """Months from a start, six apart; windows end a purge of days early."""
-    plan = spark.createDataFrame([(k, r, 6 * k + a, 6 * k + b, g) for k in range(4) for r, a, b, g in (("train", 0, 12, 5), ("inner_test", 12, 15, 5), ("test", 15, 18, 0))], "outer_fold int, role string, a int, b int, gap int")
-    start = F.lit("1995-01-01").cast("date")
-    plan = plan.select("outer_fold", "role", F.add_months(start, c("a")).alias("lo"), F.date_sub(F.add_months(start, c("b")), c("gap")).alias("hi"))
+    plan = scoring.nested_walk_forward(dt.date(1993, 1, 31), dt.date(1998, 7, 1), (12, 3, 6), (6, 3, 3), purge=5, embargo=3, warmup=20)
+    p = spark.createDataFrame([tuple(w.values()) for w in plan], ", ".join(f"{k} {'string' if k in ('window_id', 'role') else 'date'}" for k in plan[0]))
     day = F.to_date("ts")
     e = market.executions(spark, sf_dir).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("m"))
-    return F.broadcast(plan).join(e, (c("day") >= c("lo")) & (c("day") < c("hi")), "left").groupBy("outer_fold", "role", "lo", "hi").agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n"))  # a literal table
+    return F.broadcast(p).join(e, (c("day") >= c("score_start")) & (c("day") < c("score_end")), "left").groupBy(*plan[0]).agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n"))  # a plan, not data
 
 
 @query(

@@ -305,6 +305,11 @@ def _(spark, sf_dir):
     return df.withColumn("raw", I.ratio(100 * (c("rsi") - lo), hi - lo)).withColumn("k", I.sma(W(), 3, c("raw"))).withColumn("d", I.sma(W(), 3, c("k")))
 
 
+def last_tick():
+    """The highest tick that a bar touches: one without a range touches one."""
+    return F.when(c("low") == c("high"), F.floor("low")).otherwise(F.ceil("high"))
+
+
 @query(
     "ind_volume_profile",
     "instrument_id ts:t poc:i volume:d vwap:d n_ticks:i va_low:i va_high:i",
@@ -312,7 +317,7 @@ def _(spark, sf_dir):
         SELECT instrument_id, day, arg_max(lo, step) AS lo, arg_max(hi, step) AS hi FROM p GROUP BY 1, 2) e ON e.instrument_id = g.instrument_id AND e.day = g.day""",
     market.CTE
     + """, hist AS (SELECT instrument_id, day, tick, sum(v) AS raw, round(sum(v), 9) AS v FROM (
-        SELECT instrument_id, date_trunc('day', ts) AS day, unnest(generate_series(floor(low)::BIGINT, ceil(high)::BIGINT)) AS tick, volume / (ceil(high) - floor(low) + 1) AS v FROM hourly) GROUP BY ALL),
+        SELECT instrument_id, date_trunc('day', ts) AS day, unnest(generate_series(floor(low)::BIGINT, CASE WHEN low = high THEN floor(low) ELSE ceil(high) END::BIGINT)) AS tick, volume / (CASE WHEN low = high THEN floor(low) ELSE ceil(high) END - floor(low) + 1) AS v FROM hourly) GROUP BY ALL),
     g AS (SELECT instrument_id, day, arg_min(tick, (-v, tick)) AS poc, max(v) AS top, sum(raw) AS volume, sum(tick * raw) / sum(raw) AS vwap, count(*) AS n_ticks, min(tick) AS first, max(tick) AS last, 0.7 * sum(v) AS goal FROM hist GROUP BY ALL),
     p AS (SELECT instrument_id, day, poc AS lo, poc AS hi, top AS total, 0 AS step FROM g UNION ALL
         SELECT instrument_id, day, CASE WHEN lv >= rv THEN lo - 1 ELSE lo END, CASE WHEN lv >= rv THEN hi ELSE hi + 1 END, total + greatest(0, CASE WHEN lv >= rv THEN lv ELSE rv END), step + 1 FROM (
@@ -324,7 +329,7 @@ def _(spark, sf_dir):
     """Daily: each hour's volume spread evenly over whole ticks from its low to its high."""
     h = market.hourly(spark, sf_dir)
     per_tick = (
-        h.select("instrument_id", F.date_trunc("day", "ts").alias("ts"), F.sequence(F.floor("low"), F.ceil("high")).alias("ticks"), "volume")
+        h.select("instrument_id", F.date_trunc("day", "ts").alias("ts"), F.sequence(F.floor("low"), last_tick()).alias("ticks"), "volume")
         .select("instrument_id", "ts", F.explode("ticks").alias("tick"), (F.col("volume") / F.size("ticks")).alias("v"))
         .groupBy("instrument_id", "ts", "tick").agg(F.sum("v").alias("v"))
     )
@@ -345,12 +350,12 @@ def _(spark, sf_dir):
     "instrument_id day:t poc:i volume:d vwap:d n_ticks:i",
     """SELECT instrument_id, day, arg_min(tick, (-round(v, 9), tick)) AS poc, sum(v) AS volume, sum(tick * v) / sum(v) AS vwap, count(*) AS n_ticks FROM (
         SELECT instrument_id, day, tick, sum(v) AS v FROM (
-            SELECT instrument_id, date_trunc('day', ts) AS day, unnest(generate_series(floor(low)::BIGINT, ceil(high)::BIGINT)) AS tick,
-                   volume / (ceil(high) - floor(low) + 1) AS v FROM hourly) GROUP BY ALL) GROUP BY ALL""",
+            SELECT instrument_id, date_trunc('day', ts) AS day, unnest(generate_series(floor(low)::BIGINT, CASE WHEN low = high THEN floor(low) ELSE ceil(high) END::BIGINT)) AS tick,
+                   volume / (CASE WHEN low = high THEN floor(low) ELSE ceil(high) END - floor(low) + 1) AS v FROM hourly) GROUP BY ALL) GROUP BY ALL""",
 )
 def _(spark, sf_dir):
     h = market.hourly(spark, sf_dir)
-    ticks = h.select("instrument_id", F.date_trunc("day", "ts").alias("day"), F.sequence(F.floor("low"), F.ceil("high")).alias("ticks"), "volume").select(
+    ticks = h.select("instrument_id", F.date_trunc("day", "ts").alias("day"), F.sequence(F.floor("low"), last_tick()).alias("ticks"), "volume").select(
         "instrument_id", "day", F.explode("ticks").alias("tick"), (F.col("volume") / F.size("ticks")).alias("v")
     )
     return (

@@ -261,18 +261,51 @@ def _(spark, sf_dir):
     return scoring.parameter_stability(runs(spark, sf_dir), "run_id", "strategy", ["p1", "p2"], "ret")
 
 
+GRADED = """money AS (
+    SELECT run_id, max(peak - eq) / 1e6 AS drawdown FROM (SELECT *, greatest(0, max(eq) OVER w) AS peak FROM (
+        SELECT instrument_id AS run_id, ts, order_id, fill_no, sum(net_pnl) OVER (PARTITION BY instrument_id ORDER BY ts, order_id, fill_no ROWS UNBOUNDED PRECEDING) AS eq FROM executions)
+        WINDOW w AS (PARTITION BY run_id ORDER BY ts, order_id, fill_no ROWS UNBOUNDED PRECEDING)) GROUP BY run_id
+), folded AS (
+    SELECT run_id, count(*) AS folds, sum(k) AS trades, min(k) AS least_trades, avg(CASE WHEN r > 0 THEN 1.0::DOUBLE ELSE 0.0 END) AS positive_folds,
+           least(1, avg(CASE WHEN r > 0 THEN 1.0::DOUBLE ELSE 0.0 END) / (1 + stddev_pop(r) / greatest(abs(avg(r)), 0.02))) AS consistency
+    FROM (SELECT instrument_id AS run_id, year(ts) AS fold, sum(net_pnl) / 1e6 AS r, count(*) AS k FROM executions GROUP BY ALL) GROUP BY run_id
+), steady AS (
+    SELECT a.run_id, CASE WHEN count(b.run_id) = 0 THEN 0.5 ELSE 1 - abs(any_value(a.ret) - avg(b.ret)) / greatest(abs(avg(b.ret)), 0.05) END AS stability
+    FROM runs a LEFT JOIN runs b ON a.strategy = b.strategy AND (CASE WHEN a.p1 <> b.p1 THEN 1 ELSE 0 END + CASE WHEN a.p2 <> b.p2 THEN 1 ELSE 0 END) = 1 GROUP BY a.run_id
+), graded AS (
+    SELECT *, (2 * (0.5 + 0.5 * tanh(ret)) + greatest(0, least(1, (win - 0.3) / 0.4))) / 3 AS objective, greatest(0, least(1, (win - 0.3) / 0.4)) AS preferred,
+           CASE WHEN net - traded * 12.5 / 10000 > 0 THEN 1 WHEN gross <= 0 THEN 0 ELSE gross / (gross + traded * 12.5 / 10000) END AS slippage
+    FROM runs JOIN folded USING (run_id) JOIN money USING (run_id) JOIN steady USING (run_id)
+)"""
+SHORT = {
+    "min_fold_count": "3 - folds", "min_trade_count": "20 - trades", "min_trade_count_per_fold": "greatest(1, least(4, trades)) - least_trades", "min_positive_fold_ratio": "0.5 - positive_folds",
+    "max_drawdown": "drawdown - 0.03", "min_parameter_stability": "0.35 - stability", "min_slippage_score": "0.45 - slippage",
+}
+POLICY = scoring.Policy(folds=3, trades=20, trades_per_fold=4, positive_folds=0.5, drawdown=0.03, stability=0.35, slippage=0.45)
+
+
+def graded(spark, sf_dir):
+    """Runs with everything that a policy looks at."""
+    r, e = runs(spark, sf_dir), market.executions(spark, sf_dir)
+    dd = ledger.drawdown(e, ["instrument_id"], ["ts", "order_id", "fill_no"]).select(c("instrument_id").alias("run_id"), (c("max_drawdown") / 1e6).alias("drawdown"))
+    steady = scoring.parameter_stability(r, "run_id", "strategy", ["p1", "p2"], "ret").select("run_id", "stability")
+    won = scoring.linear_score(c("win"), 0.3, 0.7)
+    r = r.join(scoring.fold_summary(e, "instrument_id", F.year("ts"), 1e6), "run_id").join(dd, "run_id").join(steady, "run_id")
+    return r.withColumns({"objective": scoring.rank_weighted([scoring.tanh_score(c("ret"), 1.0), won]), "preferred": won, "slippage": scoring.slippage_score(c("net"), c("gross"), c("traded"), 12.5)})
+
+
 @query(
     "rank_policy",
-    "run_id:i failures total:d family_rank:i overall_rank:i",
-    """SELECT run_id, failures, total, fr AS family_rank, row_number() OVER (ORDER BY fr, total DESC, run_id) AS overall_rank FROM (SELECT *, row_number() OVER (PARTITION BY strategy ORDER BY total DESC, run_id) AS fr FROM (
-        SELECT run_id, strategy, concat_ws(',', CASE WHEN n < 12 THEN 'min_trades' END, CASE WHEN win < 0.5 THEN 'positive_ratio' END, CASE WHEN ret <= 0 THEN 'return' END) AS failures,
-        round(0.3 * (0.5 + 0.5 * tanh(ret)) + 0.2 * win + 0.2 * CASE WHEN ret > 0 THEN 1 ELSE 0 END, 9) AS total FROM runs))""",
-    f"{market.CTE}, {RUNS}",
+    "run_id:i failures policy_pass total:d family_rank:i overall_rank:i",
+    f"""SELECT *, fr AS family_rank, row_number() OVER (ORDER BY fr, total DESC, run_id) AS overall_rank FROM (SELECT *, failures = '' AS policy_pass, row_number() OVER (PARTITION BY strategy ORDER BY total DESC, run_id) AS fr FROM (
+        SELECT run_id, strategy, concat_ws(',', {', '.join(f"CASE WHEN {x} > 0 THEN '{k}' END" for k, x in SHORT.items())}) AS failures,
+        round(0.3 * objective + 0.2 * consistency + 0.2 * stability + 0.15 * slippage + 0.15 * preferred, 9) AS total FROM graded))""",
+    f"{market.CTE}, {RUNS}, {GRADED}",
 )
 def _(spark, sf_dir):
-    total = 0.3 * scoring.tanh_score(c("ret"), 1.0) + 0.2 * c("win") + 0.2 * (c("ret") > 0).cast("int")
-    df = runs(spark, sf_dir).withColumns({"failures": quality.reasons(min_trades=c("n") < 12, positive_ratio=c("win") < 0.5, **{"return": c("ret") <= 0}), "total": F.round(total, 9)})
-    return scoring.family_first(df, "strategy", "total", "run_id")
+    df = graded(spark, sf_dir)
+    df = df.withColumns({"failures": quality.reasons(**{k: x > 0 for k, x in POLICY.shortfalls().items()}), "total": F.round(scoring.total_score(**{k: c(k) for k in scoring.WEIGHTS}), 9)})
+    return scoring.family_first(df.withColumn("policy_pass", c("failures") == ""), "strategy", "total", "run_id")
 
 
 @query(
@@ -329,17 +362,55 @@ def _(spark, sf_dir):
     return scoring.reconciled(table(spark, sf_dir, "orders"), lines)
 
 
+BROKER = """intents AS (SELECT o_orderkey AS intent_id, o_custkey % 4 + 1 AS qty FROM orders WHERE o_orderpriority <> '5-LOW'),
+broker AS (
+    SELECT o_orderkey * 10 + k AS broker_order_id, o_orderkey AS intent_id, CASE WHEN o_orderpriority <> '1-URGENT' THEN 'X' || o_orderkey END AS external_order_id,
+           CASE WHEN k = 0 THEN 'new' WHEN o_orderstatus = 'F' THEN 'filled' WHEN o_orderstatus = 'O' THEN 'submitted' ELSE 'partially_filled' END AS state, o_orderdate::DATE + k AS ts
+    FROM orders, (VALUES (0), (1)) v(k) WHERE month(o_orderdate::DATE) <> 1 AND (k = 1 OR o_orderkey % 2 = 0)
+), filled AS (SELECT l_orderkey * 10 + CASE WHEN l_returnflag = 'R' AND l_linenumber >= 5 THEN 5 ELSE 1 END AS broker_order_id, 1 AS qty FROM lineitem)"""
+
+
 @query(
     "recon_execution_reasons",
-    "o_orderkey:i reasons",
-    """SELECT o_orderkey, reasons FROM (SELECT o_orderkey, concat_ws(',', CASE WHEN l.n IS NULL THEN 'missing_fill' END, CASE WHEN o_orderstatus = 'P' AND l.n IS NOT NULL THEN 'fill_on_pending' END, CASE WHEN l.n > 5 THEN 'too_many_fills' END, CASE WHEN l.q < 0 THEN 'negative_position' END) AS reasons
-        FROM orders LEFT JOIN (SELECT order_id, count(*) AS n, sum(qty) AS q FROM executions GROUP BY 1) l ON o_orderkey = order_id) WHERE reasons <> ''""",
+    "intent_id:i broker_order_id:i reason n:i",
+    """SELECT intent_id, broker_order_id, reason, count(*) AS n FROM (
+        SELECT intent_id, broker_order_id, unnest(list_filter([CASE WHEN broker_order_id IS NULL THEN 'missing_broker_order_ack' END,
+            CASE WHEN broker_order_id IS NOT NULL AND coalesce(external_order_id, '') = '' THEN 'missing_external_order_id' END,
+            CASE WHEN filled > 0 AND state IN ('new', 'submitted', 'replaced') THEN 'stale_order_state_vs_fill' END,
+            CASE WHEN state = 'filled' AND filled < qty THEN 'filled_state_without_enough_fills' END,
+            CASE WHEN broker_order_id IS NOT NULL AND filled > qty THEN 'fill_qty_exceeds_expected' END], lambda x: x IS NOT NULL)) AS reason
+        FROM (SELECT i.intent_id, i.qty, o.broker_order_id, o.external_order_id, o.state, coalesce(f.q, 0) AS filled FROM intents i
+            LEFT JOIN (SELECT * FROM broker QUALIFY row_number() OVER (PARTITION BY intent_id ORDER BY ts DESC, broker_order_id DESC) = 1) o USING (intent_id)
+            LEFT JOIN (SELECT broker_order_id, sum(qty) AS q FROM filled GROUP BY 1) f ON f.broker_order_id = o.broker_order_id)
+        UNION ALL SELECT intent_id, broker_order_id, 'unexpected_broker_order' FROM broker WHERE intent_id NOT IN (SELECT intent_id FROM intents)
+        UNION ALL SELECT NULL, broker_order_id, 'orphan_fill_without_order' FROM filled WHERE broker_order_id NOT IN (SELECT broker_order_id FROM broker)) GROUP BY ALL""",
+    f"{market.CTE}, {BROKER}",
 )
 def _(spark, sf_dir):
-    fills = market.executions(spark, sf_dir).groupBy("order_id").agg(F.count(F.lit(1)).alias("fills"), F.sum("qty").alias("q"))
-    j = table(spark, sf_dir, "orders").join(fills, c("o_orderkey") == c("order_id"), "left")
-    why = quality.reasons(missing_fill=c("fills").isNull(), fill_on_pending=(c("o_orderstatus") == "P") & c("fills").isNotNull(), too_many_fills=c("fills") > 5, negative_position=c("q") < 0)
-    return j.select("o_orderkey", why.alias("reasons")).where("reasons <> ''")
+    o, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    intents = o.where("o_orderpriority <> '5-LOW'").select(c("o_orderkey").alias("intent_id"), (c("o_custkey") % 4 + 1).alias("qty"))
+    tries = o.where(F.month(F.to_date("o_orderdate")) != 1).withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).where("k = 1 OR o_orderkey % 2 = 0")
+    state = F.when(c("k") == 0, "new").when(c("o_orderstatus") == "F", "filled").when(c("o_orderstatus") == "O", "submitted").otherwise("partially_filled")
+    broker = tries.select(
+        (c("o_orderkey") * 10 + c("k")).alias("broker_order_id"), c("o_orderkey").alias("intent_id"), F.when(c("o_orderpriority") != "1-URGENT", F.concat(F.lit("X"), c("o_orderkey").cast("string"))).alias("external_order_id"),
+        state.alias("state"), F.date_add(F.to_date("o_orderdate"), c("k")).alias("ts"),
+    )
+    late = F.when((c("l_returnflag") == "R") & (c("l_linenumber") >= 5), 5).otherwise(1)
+    fills = lines.select((c("l_orderkey") * 10 + late).alias("broker_order_id"), F.lit(1).alias("qty"))
+    return scoring.execution_drifts(intents, broker, fills).groupBy("intent_id", "broker_order_id", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "recon_positions",
+    "instrument_id:i reason",
+    """SELECT coalesce(a.i, b.i) AS instrument_id, CASE WHEN a.q IS NULL THEN 'unexpected_position' WHEN b.q IS NULL THEN 'missing_position' WHEN a.q <> b.q THEN 'position_qty_mismatch' ELSE 'position_price_mismatch' END AS reason
+        FROM (SELECT instrument_id AS i, sum(qty) AS q, max(price) AS p FROM executions WHERE year(ts) < 1998 GROUP BY 1) a
+        FULL JOIN (SELECT instrument_id AS i, sum(qty) AS q, max(price) AS p FROM executions WHERE month(ts) <> 2 GROUP BY 1) b ON a.i = b.i WHERE a.q IS DISTINCT FROM b.q OR abs(a.p - b.p) > 1e-9""",
+)
+def _(spark, sf_dir):
+    e = market.executions(spark, sf_dir)
+    held = lambda when: e.where(when).groupBy("instrument_id").agg(F.sum("qty").alias("qty"), F.max("price").alias("price"))
+    return scoring.position_drifts(held(F.year("ts") < 1998), held(F.month("ts") != 2), ["instrument_id"])
 
 
 @query(

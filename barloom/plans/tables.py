@@ -137,6 +137,12 @@ def _(spark, sf_dir):
     return merge.delete(df, df.where("o_orderstatus = 'F'"), ["o_orderkey"])
 
 
+@query("merge_replace", ORDER, f"SELECT * FROM ({CHANGED}) WHERE o_orderkey % 3 = 0 OR NOT (o_totalprice > 100000)", "")
+def _(spark, sf_dir):
+    """What isn't changed and costs over 100,000 is stale."""
+    return merge.merge_replace(orders(spark, sf_dir), updates(spark, sf_dir), ["o_orderkey"], F.col("o_totalprice") > 100000)
+
+
 @query("merge_actions", ORDER, f"SELECT * FROM ({CHANGED}) WHERE o_orderkey % 5 <> 0", "")
 def _(spark, sf_dir):
     df = orders(spark, sf_dir)
@@ -164,9 +170,14 @@ def _(spark, sf_dir):
     return spark.read.schema("o_orderkey long, o_orderstatus string, o_totalprice double").parquet(path)
 
 
-@query("sink_column_counts", "o_orderpriority n:i", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority", "")
+@query("sink_column_counts", "o_orderpriority n:i", "SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_orderpriority UNION ALL SELECT 'batch', 2", "")
 def _(spark, sf_dir):
-    return table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    """Rows are written, rows of literal batches appended, some deleted by replacing the table; then a column's values are counted."""
+    path = io.scratch(spark, "counts")
+    io.overwrite(table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderstatus"), path)
+    io.append(io.from_rows(spark, [("batch", "O"), ("batch", "O"), ("batch", "F")], "o_orderpriority string, o_orderstatus string"), path)
+    io.replace_whole(spark.read.parquet(path).where("o_orderstatus <> 'F'"), path)
+    return spark.read.schema("o_orderpriority string").parquet(path).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("sink_year_layout", "ship_year:i n:i", "SELECT year(l_shipdate) AS ship_year, count(*) AS n FROM (SELECT DISTINCT * FROM lineitem) GROUP BY 1", "")
