@@ -133,4 +133,25 @@ SQL: dict[str, str] = {
         SELECT doc_id, len(words) AS n_tokens, round(coalesce(score, 0), 6) AS score, round(score / nullif(len(words), 0), 6) AS mean_score
         FROM d LEFT JOIN s USING (r)
     """,
+    "op10_jaccard_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), s AS MATERIALIZED (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+            FROM d
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), pair AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), link AS MATERIALIZED (
+            SELECT u, v FROM pair JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * k >= 80 * (x.n + y.n - k)
+        ), reach AS (
+            SELECT doc_id AS node, doc_id AS root FROM d
+            UNION
+            SELECT link.v, reach.root FROM reach JOIN link ON link.u = reach.node WHERE reach.root < link.v
+        )
+        SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.root) AS component_id
+        FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach ON reach.node = d.doc_id GROUP BY d.doc_id
+    """,
 }

@@ -311,3 +311,29 @@ def test_leaks_agree_with_plain_tiling(spark):
                 want[d, i] = round(share, 9)
     got = {(r["doc_id"], r["item_id"]): round(r["coverage"], 9) for r in queries.QUERIES["op7_decontamination"](spark, SF).collect()}
     assert got == want and len(got) >= 3
+
+
+def test_stages_with_nulls_repeated_rows_long_texts_and_other_columns(spark):
+    import corpus_pipeline as P
+
+    good = spark.read.parquet(f"{SF}/documents.parquet").limit(30)
+    said = [r["text"] for r in good.collect()]
+    rows = [(None, None), (7001, None), (7002, ""), (7003, " \n"), (7004, said[0]), (7004, said[0]), (7005, said[1] + " more"), (None, said[2]), (7006, (said[3] + "\n") * 400), (7007, "z " * 200_000)]
+    extra = spark.createDataFrame(rows, "doc_id long, text string")
+    names = {"score": "1", "doc": "'x'", "y": "CAST(NULL AS INT)", "kept": "false", "cid": "2L", "keep_id": "3L", "_row": "'r'", "row_no": "4L", "size": "5"}
+    docs = good.select("doc_id", "text").unionByName(extra).selectExpr("*", *(f"{v} AS {k}" for k, v in names.items()))
+    for empty in (False, True):
+        now = docs.where("false") if empty else docs
+        columns, seen = now.columns, now.collect()
+        for name, stage in P.STAGES[:-1]:
+            now = stage(spark, now, SF).cache()
+            assert now.columns == columns, name
+            after = now.collect()
+            assert all(r in seen for r in after), name
+            seen = after
+        packed = P.STAGES[-1][1](spark, now, SF).collect()
+        assert sum(r["length"] for r in packed) == sum(r["doc_tokens"] for r in packed if r["start"] == 0)
+        assert len([r for r in packed if r["start"] == 0]) == len(seen) and bool(seen) != empty
+    for name, stage in P.STAGES:  # each stage on rows that an earlier one would have removed
+        out = stage(spark, docs, SF).collect()
+        assert out, name
