@@ -1,4 +1,8 @@
-"""A training corpus from the table documents: filter, deduplicate, decontaminate, pack."""
+"""A training corpus from the table documents: filter, deduplicate, decontaminate, pack.
+
+All stages but the last return whole rows of docs, whatever other columns there are, and judge every row of an id by
+its own text. An empty table stays empty. Null texts are read as empty; what that means is said at each stage.
+"""
 
 from __future__ import annotations
 
@@ -13,27 +17,27 @@ from barloom.llm.quality import accepted
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts."""
+    """Documents that the classifier accepts. Null and empty texts are scored as texts without words; without usable labels all stay."""
     return accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal normalised texts."""
+    """One document of each group of equal normalised texts, that with the smallest doc_id; null texts equal empty ones. Of repeated rows one stays."""
     return kept_rows(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates."""
+    """One document of each component of near duplicates, that with the smallest doc_id; texts without words stay. Rows of one id stay together if any does."""
     return one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents into which no benchmark item leaks."""
+    """Documents into which no benchmark item leaks. Null and empty texts stay; an empty benchmark removes nothing."""
     return clean_rows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents, by sequence."""
+    """Pieces of documents, by sequence. A null or empty text is its end id; repeated rows and ids are packed row by row."""
     return pack(docs)
 
 
