@@ -19,6 +19,13 @@ def gate(df: DataFrame, name: str, failing: Column) -> DataFrame:
     return df.agg(n.alias("n_failed")).select(F.lit(name).alias("gate"), "n_failed", F.when(F.col("n_failed") == 0, "PASS").otherwise("FAIL").alias("status"))
 
 
+def all_gates(df: DataFrame, failing: dict[str, Column]) -> DataFrame:
+    """gate, n_failed, status of several gates over one table, in one pass. An empty table passes."""
+    counts = df.agg(*(F.count(F.when(F.coalesce(x, F.lit(False)), 1)).alias(k) for k, x in failing.items()))
+    rows = F.explode(F.array(*(F.struct(F.lit(k).alias("gate"), F.col(k).alias("n_failed")) for k in failing)))
+    return counts.select(rows.alias("g")).select("g.gate", "g.n_failed", F.when(F.col("g.n_failed") == 0, "PASS").otherwise("FAIL").alias("status"))
+
+
 def gates(rows: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), rows)
 

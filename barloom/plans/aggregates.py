@@ -127,30 +127,28 @@ def _(spark, sf_dir):
     "gate n_failed:i status",
     """SELECT gate, n_failed, CASE WHEN n_failed = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (
         SELECT 'unique_bar' AS gate, count(*) AS n_failed FROM (SELECT contract_id, ts FROM daily GROUP BY ALL HAVING count(*) > 1)
+        UNION ALL SELECT 'unique_provenance', count(*) FROM (SELECT contract_id, ts::DATE FROM ticks WHERE event_id % 2 = 0 GROUP BY ALL HAVING count(DISTINCT volume) > 1)
         UNION ALL SELECT 'ohlcv', count(*) FILTER (WHERE NOT (high >= greatest(open, close, low) AND low <= least(open, close) AND volume >= 0 AND open_interest >= 0)) FROM daily
-        UNION ALL SELECT 'monotonic_ts', count(*) FILTER (WHERE ts <= p) FROM (SELECT ts, lag(ts) OVER (PARTITION BY contract_id ORDER BY n, ts) AS p FROM daily)
+        UNION ALL SELECT 'monotonic_ts', count(*) FILTER (WHERE ts < p) FROM (SELECT ts, lag(ts) OVER (PARTITION BY contract_id ORDER BY arrived) AS p FROM (SELECT contract_id, date_trunc('day', ts) AS ts, min(event_id) AS arrived FROM ticks GROUP BY ALL))
         UNION ALL SELECT 'has_interest', count(*) FILTER (WHERE open_interest < 110) FROM daily
         UNION ALL SELECT 'provenance', count(*) FROM daily d WHERE NOT EXISTS (SELECT 1 FROM ticks t WHERE t.contract_id = d.contract_id AND date_trunc('day', t.ts) = d.ts AND t.event_id % 2 = 0)
         UNION ALL SELECT 'row_count', abs((SELECT count(*) FROM daily) - (SELECT count(DISTINCT (contract_id, ts::DATE)) FROM ticks)))""",
 )
 def _(spark, sf_dir):
-    d, t = market.daily(spark, sf_dir), market.ticks(spark, sf_dir)
-    order = Window.partitionBy("contract_id").orderBy("n", "ts")
-    source = t.where("event_id % 2 = 0").select("contract_id", F.date_trunc("day", "ts").alias("ts")).distinct()
-    lag = d.select("ts", F.lag("ts").over(order).alias("p"), "n", "contract_id")
-    counts = d.agg(F.count(F.lit(1)).alias("a")).crossJoin(t.agg(F.countDistinct("contract_id", F.to_date("ts")).alias("b")))  # two rows
-    mono = quality.gate(lag, "monotonic_ts", F.col("ts") <= F.col("p"))
-    rows = counts.select(F.lit("row_count").alias("gate"), F.abs(F.col("a") - F.col("b")).alias("n_failed")).withColumn("status", F.when(F.col("n_failed") == 0, "PASS").otherwise("FAIL"))
-    return quality.gates(
-        [
-            quality.gate(quality.duplicate_keys(d, ["contract_id", "ts"]), "unique_bar", F.lit(True)),
-            quality.gate(d, "ohlcv", ~B.valid_ohlcv()),
-            mono,
-            quality.gate(d, "has_interest", F.col("open_interest") < 110),
-            quality.gate(merge.anti(d, source, ["contract_id", "ts"]), "provenance", F.lit(True)),
-            rows,
-        ]
-    )
+    """All gates in one pass over bars with what they came from: their first tick by arrival, and sources of their provenance."""
+    t = market.ticks(spark, sf_dir)
+    source = F.when(F.col("event_id") % 2 == 0, F.col("volume"))
+    origin = t.groupBy("contract_id", F.date_trunc("day", "ts").alias("ts")).agg(F.min("event_id").alias("arrived"), F.count_distinct(source).alias("sources"))
+    bars = market.daily(spark, sf_dir).withColumn("same", F.count(F.lit(1)).over(Window.partitionBy("contract_id", "ts"))).join(origin, ["contract_id", "ts"], "full")
+    bars = bars.withColumn("before", F.lag("ts").over(Window.partitionBy("contract_id").orderBy("arrived")))
+    there = F.col("n").isNotNull()
+    return quality.all_gates(
+        bars,
+        {
+            "unique_bar": there & (F.col("same") > 1), "unique_provenance": F.col("sources") > 1, "ohlcv": there & ~B.valid_ohlcv(), "monotonic_ts": F.col("ts") < F.col("before"),
+            "has_interest": F.col("open_interest") < 110, "provenance": there & (F.coalesce("sources", F.lit(0)) == 0), "row_count": ~there | F.col("arrived").isNull(),
+        },
+    )
 
 
 @query(

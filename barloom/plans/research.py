@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from barloom.operators import ledger, quality, roll, scoring, signals
+from barloom.operators import economics, ledger, quality, roll, scoring, signals
 from barloom.operators.research import parameter_grid
 from barloom.plans import market
 from barloom.plans.indicators import CTE as BASE_CTE
@@ -320,21 +320,6 @@ def _(spark, sf_dir):
     return out.withColumn("confirmed", F.coalesce(c("confirm_pnl"), F.lit(0.0)) > 0)
 
 
-@query(
-    "rank_candidates",
-    "candidate_id instrument_id ts:t side stop:d target:d",
-    f"""SELECT 'CAND-' || upper(left(sha256(instrument_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S')), 12)) AS candidate_id, instrument_id, ts, side, CASE side WHEN 'long' THEN close - 1.5 * atr ELSE close + 1.5 * atr END AS stop,
-        CASE side WHEN 'long' THEN close + 3 * atr ELSE close - 3 * atr END AS target FROM (SELECT *, CASE WHEN f5 > s20 THEN 'long' WHEN f5 < s20 THEN 'short' END AS side, row_number() OVER (PARTITION BY instrument_id ORDER BY ts DESC) AS rn FROM feat2) WHERE rn = 1 AND side IS NOT NULL AND atr IS NOT NULL""",
-    F_CTE,
-)
-def _(spark, sf_dir):
-    latest = features(spark, sf_dir).withColumn("rn", F.row_number().over(Window.partitionBy("instrument_id").orderBy(F.desc("ts")))).where("rn = 1 AND atr IS NOT NULL")
-    df = latest.withColumn("side", F.when(c("f5") > c("s20"), "long").when(c("f5") < c("s20"), "short")).where("side IS NOT NULL")
-    way = F.when(c("side") == "long", 1).otherwise(-1)
-    key = F.concat_ws("|", "instrument_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-    return df.withColumns({"candidate_id": F.concat(F.lit("CAND-"), F.upper(F.substring(F.sha2(key, 256), 1, 12))), "stop": c("close") - way * 1.5 * c("atr"), "target": c("close") + way * 3 * c("atr")})
-
-
 @query(
     "eval_forward_observations",
     "event_id:i status entry:d mfe:d mae:d pnl:d",
@@ -425,14 +410,45 @@ def _(spark, sf_dir):
     return ledger.folded_positions(market.executions(spark, sf_dir), ["order_id"], ["ts", "fill_no", "price", "qty"])
 
 
+RULES = [("view", "1990-01-01", "2024-01-15", "USD", 0.5, 10, 0.2), ("view", "2024-01-16", "2099-01-01", "USD", 0.5, 10, 0.3), ("click", "1990-01-01", "2099-01-01", "RUB", 0.5, 10, 7.0), ("purchase", "1990-01-01", "2099-01-01", "RUB", 1.0, 10, 3.0)]
+ECONOMICS = f"""spec AS (
+    SELECT contract_id, instrument_id AS asset, ts::DATE AS trade_date, CASE WHEN instrument_id IN ('view', 'signup') THEN 'USD' ELSE 'RUB' END AS currency, 0.5::DOUBLE AS min_step, 10 AS lot,
+           CASE WHEN n % 3 = 0 THEN open / 100 END AS official_step_price, close AS settle, CASE WHEN volume % 2 = 0 THEN high * 2 END AS official_margin FROM daily
+), rate AS (SELECT 'USD' AS currency, ts::DATE AS rate_date, CASE user_id % 3 WHEN 0 THEN 'tc' WHEN 1 THEN 'mc' ELSE 'xx' END AS clearing, 60 + max(value) / 10 AS rate FROM events WHERE day(ts) <> 7 GROUP BY ALL),
+day_rate AS (SELECT currency, rate_date, arg_min(rate, CASE clearing WHEN 'tc' THEN 1 WHEN 'mc' THEN 2 ELSE 3 END) AS rate FROM rate GROUP BY ALL),
+risk AS (SELECT instrument_id AS asset, ts::DATE AS risk_date, 0.1 + max(high) / 1000 AS mr1, max(n) % 5 * 1.5 AS radius_pct FROM daily WHERE day(ts) % 2 = 0 GROUP BY ALL),
+rule AS (SELECT asset, f::DATE AS f, t::DATE AS t, cur, step, lot, v FROM (VALUES {', '.join(str(r) for r in RULES)}) r(asset, f, t, cur, step, lot, v)),
+priced AS (
+    SELECT s.*, k.mr1, k.radius_pct, CASE WHEN official_step_price > 0 THEN official_step_price WHEN r.step = s.min_step AND r.lot = s.lot THEN r.v * CASE WHEN r.cur = 'RUB' THEN 1 ELSE d.rate END END AS step_price,
+           CASE WHEN official_step_price > 0 THEN 'official' WHEN r.step = s.min_step AND r.lot = s.lot AND r.v * CASE WHEN r.cur = 'RUB' THEN 1 ELSE d.rate END > 0 THEN 'rule' ELSE 'unavailable' END AS step_source,
+           CASE WHEN s.currency = 'RUB' THEN 1 ELSE d.rate END AS fx_rate
+    FROM spec s ASOF LEFT JOIN risk k ON k.asset = s.asset AND s.trade_date >= k.risk_date LEFT JOIN rule r ON r.asset = s.asset AND s.trade_date BETWEEN r.f AND r.t LEFT JOIN day_rate d ON d.rate_date = s.trade_date
+), margins AS (
+    SELECT *, step_price / fx_rate AS tick_value, settle * (step_price / min_step) * mr1 AS margin_base,
+           settle * (step_price / min_step) * mr1 * (1 + CASE WHEN currency <> 'RUB' OR asset = 'click' THEN radius_pct ELSE 0 END / 100) AS margin_radius, lead(trade_date) OVER (PARTITION BY contract_id ORDER BY trade_date) AS effective_to FROM priced
+), usable AS (SELECT * FROM margins WHERE official_margin > 0 AND margin_radius > 0),
+factor AS (SELECT asset, min(official_margin / margin_radius) AS factor FROM usable u WHERE trade_date = (SELECT max(trade_date) FROM usable x WHERE x.asset = u.asset) GROUP BY asset)"""
+
+
 @query(
     "contract_economics",
-    "contract_id d:D tick_value:d margin:d",
-    "SELECT contract_id, ts::DATE AS d, CASE WHEN floor(high) - floor(low) > 0 THEN (volume + 1) / (floor(high) - floor(low)) END AS tick_value, close * 0.1 + greatest(0, true_range) * 0.5 AS margin FROM (SELECT *, high - low AS true_range FROM daily)",
+    "contract_id trade_date:D effective_to:D step_source step_price:d tick_value:d margin_base:d margin_radius:d margin:d",
+    "SELECT *, margin_radius * factor AS margin FROM margins LEFT JOIN factor USING (asset)",
+    f"{market.CTE}, {ECONOMICS}",
 )
 def _(spark, sf_dir):
-    ticks = F.floor("high") - F.floor("low")
-    return market.daily(spark, sf_dir).select("contract_id", F.to_date("ts").alias("d"), F.when(ticks > 0, (c("volume") + 1) / ticks).alias("tick_value"), (c("close") * 0.1 + F.greatest(F.lit(0.0), c("high") - c("low")) * 0.5).alias("margin"))
+    d, e = market.daily(spark, sf_dir), table(spark, sf_dir, "events")
+    day = F.to_date("ts")
+    specs = d.select(
+        "contract_id", c("instrument_id").alias("asset"), day.alias("trade_date"), F.when(c("instrument_id").isin("view", "signup"), "USD").otherwise("RUB").alias("currency"), F.lit(0.5).alias("min_step"), F.lit(10).alias("lot"),
+        F.when(c("n") % 3 == 0, c("open") / 100).alias("official_step_price"), c("close").alias("settle"), F.when(c("volume") % 2 == 0, c("high") * 2).alias("official_margin"),
+    )
+    clearing = F.when(c("user_id") % 3 == 0, "tc").when(c("user_id") % 3 == 1, "mc").otherwise("xx")
+    rates = e.where(F.dayofmonth("ts") != 7).groupBy(F.lit("USD").alias("currency"), day.alias("rate_date"), clearing.alias("clearing")).agg((60 + F.max("value") / 10).alias("rate"))
+    risk = d.where(F.dayofmonth("ts") % 2 == 0).groupBy(c("instrument_id").alias("asset"), day.alias("risk_date")).agg((0.1 + F.max("high") / 1000).alias("mr1"), (F.max("n") % 5 * 1.5).alias("radius_pct"))
+    rules = spark.createDataFrame(RULES, "asset string, valid_from string, valid_to string, rule_currency string, rule_min_step double, rule_lot int, tick_value_quote double")
+    rules = rules.withColumns({k: c(k).cast("date") for k in ("valid_from", "valid_to")})
+    return economics.economics(specs, rates, risk, rules, linked=("click",))
 
 
 @query(

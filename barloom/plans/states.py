@@ -150,3 +150,24 @@ for _source, _mode, _more in (
         },
         lambda source=_source, mode=_mode: signals.divergence(source, long_max=0.3, short_min=0.7, mode=mode),
     )
+
+
+@query(
+    "rank_candidates",
+    "candidate_id run_id:i instrument_id ts:t side entry_ref:d stop_ref:d target_ref:d score:d",
+    """SELECT *, 'CAND-' || upper(left(sha256('trend-v1|' || instrument_id || '|1h|' || strftime(ts, '%Y-%m-%d %H:%M:%S')), 12)) AS candidate_id, ema_20 AS entry_ref,
+        CASE side WHEN 'long' THEN ema_20 - a ELSE ema_20 + a END AS stop_ref, CASE side WHEN 'long' THEN ema_20 + 2 * a ELSE ema_20 - 2 * a END AS target_ref, least(1, abs(ema_20 - ema_50) / a) AS score
+        FROM (SELECT *, greatest(coalesce(atr_14, 0), 1e-9) AS a, CASE WHEN rvol_20 >= 1 AND ema_20 > ema_50 THEN 'long' WHEN rvol_20 >= 1 AND ema_20 < ema_50 THEN 'short' END AS side FROM trigger),
+             (SELECT o_orderkey AS run_id FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1) WHERE side IS NOT NULL""",
+    CTE,
+)
+def _(spark, sf_dir):
+    """Every bar with a side, for the latest run: a table of one row."""
+    df = features.wide(frame(spark, sf_dir, 60))
+    loud, way = c("rvol_20") >= 1, F.when(c("side") == "long", 1).otherwise(-1)
+    side = F.when(loud & (c("ema_20") > c("ema_50")), "long").when(loud & (c("ema_20") < c("ema_50")), "short")
+    df = df.withColumns({"side": side, "a": F.greatest(F.coalesce("atr_14", F.lit(0.0)), F.lit(1e-9))}).where("side IS NOT NULL")
+    run = market.table(spark, sf_dir, "orders").agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("run_id"))
+    key = F.concat_ws("|", F.lit("trend-v1"), "instrument_id", F.lit("1h"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    made = {"candidate_id": F.concat(F.lit("CAND-"), F.upper(F.substring(F.sha2(key, 256), 1, 12))), "entry_ref": c("ema_20"), "stop_ref": c("ema_20") - way * c("a"), "target_ref": c("ema_20") + 2 * way * c("a"), "score": F.least(F.lit(1.0), F.abs(c("ema_20") - c("ema_50")) / c("a"))}
+    return df.withColumns(made).crossJoin(F.broadcast(run))  # one row

@@ -180,12 +180,21 @@ def _(spark, sf_dir):
     return spark.read.schema("o_orderpriority string").parquet(path).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("sink_year_layout", "ship_year:i n:i", "SELECT year(l_shipdate) AS ship_year, count(*) AS n FROM (SELECT DISTINCT * FROM lineitem) GROUP BY 1", "")
+@query(
+    "sink_year_layout",
+    "ship_year:i n:i total:d backed_up:i",
+    """SELECT year(d) AS ship_year, count(*) AS n, sum(q) AS total, (SELECT count(*) + count(*) FILTER (WHERE l_linenumber = 1) FROM lineitem) AS backed_up
+        FROM (SELECT max((l_shipdate, l_quantity))[1] AS d, max((l_shipdate, l_quantity))[2] AS q FROM lineitem GROUP BY l_orderkey, l_linenumber) GROUP BY 1""",
+    "",
+)
 def _(spark, sf_dir):
-    path = io.scratch(spark, "years")
-    df = table(spark, sf_dir, "lineitem").dropDuplicates().withColumn("ship_year", F.year("l_shipdate"))
-    df.repartition("ship_year").write.partitionBy("ship_year").parquet(path)
-    return spark.read.parquet(path).groupBy("ship_year").agg(F.count(F.lit(1)).alias("n"))
+    """A table with older versions of some rows is laid out by years; the former one is the backup."""
+    path = io.scratch(spark, "layout")
+    raw = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", F.lit(1).alias("version"))
+    io.overwrite(raw.unionByName(raw.where("l_linenumber = 1").withColumns({"version": F.lit(0), "l_quantity": F.lit(-1.0)})), path)
+    io.migrate_layout(spark, path, ["l_orderkey", "l_linenumber"], ["version", "l_shipdate", "l_quantity"], {"ship_year": F.year("l_shipdate")}, f"{path}.staged", f"{path}.backup")
+    backup = spark.read.parquet(f"{path}.backup").agg(F.count(F.lit(1)).alias("backed_up"))  # one row
+    return spark.read.parquet(path).groupBy("ship_year").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("total")).crossJoin(backup)
 
 
 @query("sink_fingerprint", "same n_rows:i", "SELECT true AS same, count(*) AS n_rows FROM orders", "")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import reduce
 from typing import Any
 
@@ -95,27 +96,56 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def replace_whole(df: DataFrame, path: str) -> None:
-    """Write beside path, then rename: the old table aside, the new one into its place. df may read path.
+def _files(spark: SparkSession, path: str) -> tuple[Any, Callable[[str], Any]]:
+    """The file system of path, and how its paths are made."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    return hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def promote(spark: SparkSession, staged: str, path: str, backup: str) -> None:
+    """The table at path moves to backup, which mustn't exist, and the staged one takes its place; if that fails it is put back.
 
-    Between the two renames there is no table at path for a moment. The old one is only deleted once the new one is in
-    place; if that fails it is put back, and OSError is raised.
+    Between the two renames there is no table at path for a moment. Raises OSError.
     """
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
-    hadoop = jvm.org.apache.hadoop.fs.Path
-    at, new, old = hadoop(path), hadoop(f"{path}.new-{uuid.uuid4().hex}"), hadoop(f"{path}.old-{uuid.uuid4().hex}")
-    df.write.parquet(str(new))
-    fs = at.getFileSystem(conf)
-    had = fs.exists(at)
-    if had and not fs.rename(at, old):
-        fs.delete(new, True)
+    fs, at = _files(spark, path)
+    if fs.exists(at(backup)) or not fs.exists(at(staged)):
+        raise OSError(f"{backup} must not exist, and {staged} must")
+    had = fs.exists(at(path))
+    if had and not fs.rename(at(path), at(backup)):
         raise OSError(f"{path} could not be moved aside; it is as it was")
-    if not fs.rename(new, at):
-        back = not had or fs.rename(old, at)
-        raise OSError(f"{path} could not be replaced; " + ("it is as it was" if back else f"its former content is in {old}"))
-    if had:
-        fs.delete(old, True)
+    if not fs.rename(at(staged), at(path)):
+        back = not had or fs.rename(at(backup), at(path))
+        raise OSError(f"{path} could not be replaced; " + ("it is as it was" if back else f"its former content is in {backup}"))
+
+
+def replace_whole(df: DataFrame, path: str) -> None:
+    """Write beside path, then promote: the old table is only deleted once the new one is in its place. df may read path."""
+    spark = df.sparkSession
+    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    df.write.parquet(new)
+    promote(spark, new, path, old)
+    fs, at = _files(spark, path)
+    fs.delete(at(old), True)
+
+
+def migrate_layout(spark: SparkSession, path: str, keys: list[str], latest: list[str], partition: dict[str, Column], staged: str, backup: str) -> dict[str, int]:
+    """Lay the table at path out anew: one row per key (the last by latest), partitioned by new columns; staged, validated, promoted.
+
+    Validation reads the staged table: as many rows as the source has keys, no key twice, every key there. If it fails nothing
+    is promoted and ValueError is raised. Returns source_rows, rows and dropped.
+    """
+    source = spark.read.parquet(path)
+    row = F.max_by(F.struct(*(c for c in source.columns if c not in keys)), F.struct(*latest))
+    one = source.groupBy(*keys).agg(row.alias("_r")).select(*keys, "_r.*")
+    one.withColumns(partition).repartition(*partition).write.partitionBy(*partition).parquet(staged)
+    written = spark.read.parquet(staged)
+    n, m = source.count(), written.count()
+    wanted = source.select(*keys).distinct()
+    lost = wanted.join(written.select(*(F.col(k).alias(f"_{k}") for k in keys)), reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys)), "left_anti").count()
+    if lost or wanted.count() != m:
+        raise ValueError(f"{staged} has {m} rows and lacks {lost} keys of {path}")
+    promote(spark, staged, path, backup)
+    return {"source_rows": n, "rows": m, "dropped": n - m}
 
 
 def content_fingerprint(df: DataFrame) -> DataFrame:

@@ -197,3 +197,32 @@ def test_replacing_keeps_the_old_table_when_it_fails(spark, tmp_path):
 def test_rows_of_a_series_are_numbered_across_days(spark):
     df = series(spark, 100)
     assert [r["_at"] for r in recursive.numbered(df, ["k"], "ts").orderBy("ts").collect()] == list(range(100))
+
+
+def test_layout_is_promoted_only_if_it_is_whole(spark, tmp_path):
+    path = f"file://{tmp_path}/raw"
+    spark.createDataFrame([(1, 0, 5.0), (1, 1, 6.0), (2, 0, 7.0), (None, 0, 8.0)], "k int, v int, x double").write.parquet(path)
+    got = io.migrate_layout(spark, path, ["k"], ["v"], {"part": F.col("v")}, f"{path}.staged", f"{path}.backup")
+    assert got == {"source_rows": 4, "rows": 3, "dropped": 1}
+    assert sorted((r["k"] or 0, r["x"]) for r in spark.read.parquet(path).collect()) == [(0, 8.0), (1, 6.0), (2, 7.0)]
+    assert spark.read.parquet(f"{path}.backup").count() == 4
+    spark.range(1).write.parquet(f"{path}.again")
+    with pytest.raises(OSError):
+        io.promote(spark, f"{path}.again", path, f"{path}.backup")  # the backup is there
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_a_roll_without_a_gap_is_an_error(spark):
+    from barloom.operators import roll
+
+    front = spark.createDataFrame([("a", at(0), 0), ("a", at(0) + dt.timedelta(days=1), 1)], "instrument_id string, ts timestamp, maturity int")
+    bars_ = spark.createDataFrame([("a", "a-0", at(1), 5.0), ("a", "a-1", at(1) + dt.timedelta(days=1), 7.0)], "instrument_id string, contract_id string, ts timestamp, close double")
+    bars_ = bars_.withColumns({k: F.col("close") for k in ("open", "high", "low")})
+    for gap in (2.0, None):
+        events = spark.createDataFrame([("a", at(0) + dt.timedelta(days=1), gap, 1)], "instrument_id string, ts timestamp, gap double, seq int")
+        if gap is None:
+            with pytest.raises(Exception, match="no gap for the roll"):
+                roll.input_frame(front, events, bars_).collect()
+            assert roll.input_frame(front, events, bars_, missing="keep").count() == 2
+        else:
+            assert [(r["roll_epoch"], r["close"]) for r in roll.input_frame(front, events, bars_).orderBy("ts").collect()] == [(0, 5.0), (1, 5.0)]
