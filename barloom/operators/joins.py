@@ -156,3 +156,30 @@ def covered_spans(spans: DataFrame, days: DataFrame, keys: list[str], start: str
     seen = days.select(*keys, F.col(day).alias("_day")).distinct().withColumn("_seen", F.lit(1))
     out = per_day.join(seen, [*keys, "_day"], "left").groupBy(*spans.columns).agg(F.count(F.lit(1)).alias("n_days"), F.count("_seen").alias("n_covered"))
     return out.withColumn("is_covered", F.col("n_days") == F.col("n_covered"))
+
+
+def admitted(candles: DataFrame, intervals: DataFrame, keys: list[str], minutes: int, slack: int = 60) -> DataFrame:
+    """candles (ts, of so many minutes) with verdict against session intervals (opens, closes) of their keys and day.
+
+    admitted: within an interval (it may begin slack seconds early); boundary_ignored: it ends when one opens, or begins when one closes;
+    else rejected. keys include the day, so candidates are a day's intervals.
+    """
+    t, end = F.unix_timestamp("ts"), F.unix_timestamp("ts") + minutes * 60
+    opens, closes = F.unix_timestamp("_opens"), F.unix_timestamp("_closes")
+    own = intervals.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("opens").alias("_opens"), F.col("closes").alias("_closes"))
+    same = [F.col(k) == F.col(f"_{k}") for k in keys]
+    met = candles.join(own, same, "left")
+    inside, touches = (t >= opens - slack) & (end <= closes) & (end > opens), (end == opens) | (t == closes)
+    best = F.max(F.when(inside, 2).when(touches, 1).otherwise(0))
+    return met.groupBy(*candles.columns).agg(best.alias("_best")).withColumn("verdict", F.when(F.col("_best") == 2, "admitted").when(F.col("_best") == 1, "boundary_ignored").otherwise("rejected")).drop("_best")
+
+
+def covered_by_finer(coarse: DataFrame, fine: DataFrame, intervals: DataFrame, keys: list[str], minutes: int, fine_minutes: int) -> DataFrame:
+    """Keys and ts of coarse candles of which every slot of fine_minutes within an interval, and there is one, has an admitted fine candle."""
+    steps = F.sequence(F.lit(0), F.lit(minutes - fine_minutes), F.lit(fine_minutes))
+    slots = coarse.select(*keys, "ts", F.explode(F.transform(steps, lambda m: F.timestamp_seconds(F.unix_timestamp("ts") + m * 60))).alias("slot"))
+    during = slots.select(*keys, F.col("ts").alias("coarse_ts"), F.col("slot").alias("ts"))
+    during = admitted(during, intervals, keys, fine_minutes).where("verdict = 'admitted'")
+    have = fine.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("ts").alias("_ts"), F.lit(1).alias("_has")).distinct()
+    seen = during.join(have, [*(F.col(k) == F.col(f"_{k}") for k in keys), F.col("ts") == F.col("_ts")], "left")
+    return seen.groupBy(*keys, F.col("coarse_ts").alias("ts")).agg((F.count("_has") == F.count(F.lit(1))).alias("_all")).where("_all").drop("_all")

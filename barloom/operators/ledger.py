@@ -108,3 +108,44 @@ def simulate_long(bars: DataFrame, keys: list[str], stop_distance: str = "atr",
         return pd.DataFrame(out, columns=[*keys, "entry_ts", "exit_ts", "entry_price", "exit_price", "reason"])
 
     return bars.groupBy(*keys).applyInPandas(walk, types)
+
+
+def simulate(bars: DataFrame, keys: list[str], stop_distance: str = "atr", stop_multiple: float = 2.0) -> DataFrame:
+    """Trades of a book per series that is long, short or flat: keys, side, entry_ts, exit_ts, entry_price, exit_price, reason.
+
+    bars have ts, open, high, low, entry, exit, short_entry, short_exit and the stop distance. A flat book enters at the open of a bar
+    with an entry (long before short). At a later bar's open it leaves on its exit, or turns on the other side's entry; else it
+    is stopped once that bar reaches the stop, at the stop or a worse open. What is open at the end is no trade. Books
+    don't share cash. A series is one task.
+    """
+    ship_package(bars.sparkSession)
+    kinds = {f.name: f.dataType.simpleString() for f in bars.schema}
+    types = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), f"side string, entry_ts {kinds['ts']}", f"exit_ts {kinds['ts']}", "entry_price double", "exit_price double", "reason string"])
+    columns = [*keys, "side", "entry_ts", "exit_ts", "entry_price", "exit_price", "reason"]
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ts", kind="stable")
+        head, out = [pdf[k].iloc[0] for k in keys], []
+        side, since, price, stop = 0, None, 0.0, 0.0
+        fields = ("ts", "open", "high", "low", "entry", "exit", "short_entry", "short_exit", stop_distance)
+        for ts, o, high, low, enter, leave, sell, cover, dist in zip(*(pdf[f] for f in fields), strict=True):
+            wanted, reason, at = 0, None, o
+            if side:
+                turn, done = (sell, leave) if side > 0 else (enter, cover)
+                if turn:
+                    wanted, reason = -side, "reverse"
+                elif done:
+                    reason = "exit"
+                elif (low <= stop) if side > 0 else (high >= stop):
+                    reason, at = "stop", min(o, stop) if side > 0 else max(o, stop)
+                if reason:
+                    out.append((*head, "long" if side > 0 else "short", since, ts, price, at, reason))
+                    side = 0
+            else:
+                wanted = 1 if enter else -1 if sell else 0
+            if wanted:
+                side, since, price = wanted, ts, o
+                stop = o - side * stop_multiple * dist if dist is not None and dist == dist else -side * float("inf")
+        return pd.DataFrame(out, columns=columns)
+
+    return bars.groupBy(*keys).applyInPandas(walk, types)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from barloom.operators import bars as B
 from barloom.operators import joins, quality, scoring
 from barloom.plans import market
 from barloom.plans.indicators import CTE as BASE_CTE
@@ -121,23 +122,48 @@ def _(spark, sf_dir):
     return e.join(f, "user_id", "left").withColumns({"fills": F.coalesce("f", F.lit(0)), "outcome": outcome})
 
 
+SESSIONS = """sessions AS (
+    SELECT d.day, s.opens + d.day AS opens, s.closes + d.day AS closes FROM (SELECT DISTINCT date_trunc('day', ts) AS day FROM ticks) d,
+        (VALUES (INTERVAL 7 HOUR, INTERVAL 14 HOUR), (INTERVAL 845 MINUTE, INTERVAL 1125 MINUTE), (INTERVAL 1145 MINUTE, INTERVAL 1430 MINUTE)) s(opens, closes) WHERE dayofweek(d.day) NOT IN (0, 6)
+)"""
+
+
+def verdicts_sql(candles: str, minutes: int) -> str:
+    """instrument_id, ts, best: 2 within an interval, 1 at its boundary, 0."""
+    end = f"c.ts + INTERVAL {minutes} MINUTE"
+    return f"""SELECT c.instrument_id, c.ts, coalesce(max(CASE WHEN c.ts >= s.opens - INTERVAL 60 SECOND AND {end} <= s.closes AND {end} > s.opens THEN 2 WHEN {end} = s.opens OR c.ts = s.closes THEN 1 ELSE 0 END), 0) AS best
+        FROM ({candles}) c LEFT JOIN sessions s ON s.day = date_trunc('day', c.ts) GROUP BY ALL"""
+
+
+QUARTERS = "SELECT DISTINCT instrument_id, to_timestamp(floor(epoch(ts) / 900) * 900)::TIMESTAMP AS ts FROM ticks"
+
+
 @query(
     "admission_pipeline",
     "instrument_id ts:t verdict",
-    """SELECT instrument_id, ts, CASE WHEN ts >= opens - INTERVAL 60 SECOND AND ts + INTERVAL 1 HOUR <= closes AND ts + INTERVAL 1 HOUR <> opens THEN 'admitted'
-        WHEN ts + INTERVAL 1 HOUR = opens OR ts = closes THEN 'boundary_ignored' WHEN q.n = 4 THEN 'covered_ignored' ELSE 'rejected' END AS verdict
-        FROM (SELECT *, date_trunc('day', ts) + INTERVAL 9 HOUR AS opens, date_trunc('day', ts) + INTERVAL 18 HOUR AS closes FROM hourly) h
-        LEFT JOIN (SELECT instrument_id, date_trunc('hour', ts) AS ts, count(DISTINCT floor(epoch(ts) / 900)) AS n FROM ticks GROUP BY ALL) q USING (instrument_id, ts)""",
+    f"""SELECT h.instrument_id, h.ts, CASE WHEN h.best = 2 THEN 'admitted' WHEN h.best = 1 THEN 'boundary_ignored' WHEN x.n > 0 AND x.n = x.k THEN 'covered_ignored' ELSE 'rejected' END AS verdict
+        FROM ({verdicts_sql('SELECT instrument_id, ts FROM hourly', 60)}) h LEFT JOIN (
+            SELECT instrument_id, date_trunc('hour', ts) AS ts, count(*) FILTER (WHERE best = 2) AS n, count(*) FILTER (WHERE best = 2 AND there) AS k FROM (
+                SELECT v.*, q.ts IS NOT NULL AS there FROM ({verdicts_sql("SELECT instrument_id, ts + to_minutes(CAST(m AS BIGINT)) AS ts FROM hourly, (VALUES (0), (15), (30), (45)) k(m)", 15)}) v LEFT JOIN ({QUARTERS}) q USING (instrument_id, ts)) GROUP BY 1, 2) x USING (instrument_id, ts)""",
+    f"{market.CTE}, {SESSIONS}",
 )
 def _(spark, sf_dir):
-    """Hourly candles against the day's session: admitted, ignored at its boundary, ignored because finer candles cover them, or rejected."""
-    day = F.unix_timestamp(F.date_trunc("day", "ts"))
-    t, end = F.unix_timestamp("ts"), F.unix_timestamp("ts") + 3600
-    opens, closes = day + 9 * 3600, day + 18 * 3600
-    fine = market.ticks(spark, sf_dir).groupBy("instrument_id", F.date_trunc("hour", "ts").alias("ts")).agg(F.countDistinct(F.floor(F.unix_timestamp("ts") / 900)).alias("quarters"))
-    verdict = F.when((t >= opens - 60) & (end <= closes) & (end != opens), "admitted").when((end == opens) | (t == closes), "boundary_ignored").when(c("quarters") == 4, "covered_ignored").otherwise("rejected")
-    h = market.hourly(spark, sf_dir).withColumn("ts", F.date_trunc("hour", "ts"))
-    return h.join(fine, ["instrument_id", "ts"], "left").withColumn("verdict", verdict)
+    """Hourly candles against a table of session intervals: admitted, ignored at a boundary, ignored because admitted quarters cover them, or rejected."""
+    t = market.ticks(spark, sf_dir)
+    day = F.date_trunc("day", "ts")
+    days = t.select(day.alias("day")).distinct().where(~F.dayofweek("day").isin(1, 7))
+    spans = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((420, 840), (845, 1125), (1145, 1430))))
+    minute = lambda m: F.timestamp_seconds(F.unix_timestamp("day") + m * 60)
+    intervals = days.withColumn("s", F.explode(spans)).select("day", minute(c("s.a")).alias("opens"), minute(c("s.b")).alias("closes"))
+    coarse = market.hourly(spark, sf_dir).select("instrument_id", "ts", day.alias("day"))
+    fine = t.select("instrument_id", B.bucket_start(c("ts"), 15).alias("ts")).distinct().withColumn("day", day)
+    every = intervals.join(coarse.select("instrument_id").distinct(), how="cross")  # a few instruments by a day's intervals: the table of intervals
+    keys = ["instrument_id", "day"]
+    out = joins.admitted(coarse, every, keys, 60)
+    fine = joins.admitted(fine, every, keys, 15).where("verdict = 'admitted'")
+    covered = joins.covered_by_finer(out.where("verdict = 'rejected'"), fine, every, keys, 60, 15).select(*(c(k).alias(f"_{k}") for k in ("instrument_id", "ts")), F.lit(True).alias("_covered"))
+    out = out.join(covered, (c("instrument_id") == c("_instrument_id")) & (c("ts") == c("_ts")), "left")
+    return out.withColumn("verdict", F.when(c("_covered"), "covered_ignored").otherwise(c("verdict")))
 
 
 @query(

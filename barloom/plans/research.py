@@ -166,6 +166,38 @@ def _(spark, sf_dir):
     return ledger.simulate_long(marked.select("instrument_id", "ts", "open", "low", "entry", "exit", "atr"), ["instrument_id"])
 
 
+@query(
+    "sim_long_short",
+    "instrument_id side entry_ts:t exit_ts:t entry_price:d exit_price:d reason",
+    f"""SELECT instrument_id, CASE was WHEN 1 THEN 'long' ELSE 'short' END AS side, ets AS entry_ts, ts AS exit_ts, xe AS entry_price, xp AS exit_price, reason FROM (WITH RECURSIVE
+        st AS (SELECT *, coalesce(f5 > s20, false) AS u, coalesce(f5 < s20 AND pos20 < 0.3, false) AS d FROM feat2),
+        e AS (SELECT *, u AND NOT coalesce({lag('u')}, false) AS ur, NOT u AND coalesce({lag('u')}, false) AS uf, d AND NOT coalesce({lag('d')}, false) AS dr, NOT d AND coalesce({lag('d')}, false) AS df FROM st),
+        b AS (SELECT instrument_id, ts, open, high, low, coalesce(2 * atr, 1e300) AS dist, coalesce({lag('ur')}, false) AS le, coalesce({lag('uf')}, false) AS lx, coalesce({lag('dr')}, false) AS se, coalesce({lag('df')}, false) AS sx,
+                row_number() OVER (PARTITION BY instrument_id ORDER BY ts) AS rn FROM e),
+        p AS (SELECT instrument_id, rn, ts, CASE WHEN le THEN 1 WHEN se THEN -1 ELSE 0 END AS side, open AS ep, CASE WHEN le THEN open - dist ELSE open + dist END AS stop, ts AS since,
+                0 AS was, NULL::TIMESTAMP AS ets, NULL::DOUBLE AS xe, NULL::DOUBLE AS xp, NULL::VARCHAR AS reason FROM b WHERE rn = 1
+            UNION ALL SELECT instrument_id, rn, ts, now, CASE WHEN fresh THEN open ELSE ep END, CASE WHEN fresh THEN open - now * dist ELSE stop END, CASE WHEN fresh THEN ts ELSE since END, side, since, ep,
+                CASE why WHEN 'stop' THEN CASE side WHEN 1 THEN least(open, stop) ELSE greatest(open, stop) END ELSE open END, why
+            FROM (SELECT *, CASE why WHEN 'reverse' THEN -side WHEN 'exit' THEN 0 WHEN 'stop' THEN 0 ELSE CASE WHEN side <> 0 THEN side WHEN le THEN 1 WHEN se THEN -1 ELSE 0 END END AS now,
+                    why = 'reverse' OR (side = 0 AND (le OR se)) AS fresh
+                FROM (SELECT b.*, p.side, p.ep, p.stop, p.since, CASE WHEN p.side = 0 THEN '' WHEN p.side = 1 AND b.se OR p.side = -1 AND b.le THEN 'reverse' WHEN p.side = 1 AND b.lx OR p.side = -1 AND b.sx THEN 'exit'
+                        WHEN p.side = 1 AND b.low <= p.stop OR p.side = -1 AND b.high >= p.stop THEN 'stop' ELSE '' END AS why
+                    FROM p JOIN b ON b.instrument_id = p.instrument_id AND b.rn = p.rn + 1)))
+        SELECT * FROM p WHERE reason <> '' AND reason IS NOT NULL)""",
+    F_CTE,
+)
+def _(spark, sf_dir):
+    df = features(spark, sf_dir).withColumns({"up": F.coalesce(c("f5") > c("s20"), F.lit(False)), "down": F.coalesce((c("f5") < c("s20")) & (c("pos20") < 0.3), F.lit(False))})
+    df = signals.edges(df, "down", W(), 1).withColumnsRenamed({"entry": "short_entry", "exit": "short_exit"})
+    df = signals.edges(df, "up", W(), 1)
+    return ledger.simulate(df.select("instrument_id", "ts", "open", "high", "low", "entry", "exit", "short_entry", "short_exit", "atr"), ["instrument_id"])
+
+
+@query("sim_drawdown", "instrument_id:i max_drawdown:d", "SELECT instrument_id, max(peak - eq) AS max_drawdown FROM (SELECT *, greatest(0, max(eq) OVER w) AS peak FROM (SELECT instrument_id, ts, order_id, fill_no, sum(net_pnl) OVER (PARTITION BY instrument_id ORDER BY ts, order_id, fill_no, net_pnl ROWS UNBOUNDED PRECEDING) AS eq, net_pnl FROM executions) WINDOW w AS (PARTITION BY instrument_id ORDER BY ts, order_id, fill_no, net_pnl ROWS UNBOUNDED PRECEDING)) GROUP BY 1")
+def _(spark, sf_dir):
+    return ledger.drawdown(market.executions(spark, sf_dir), ["instrument_id"], ["ts", "order_id", "fill_no", "net_pnl"])
+
+
 @query(
     "sim_position_size",
     "p_partkey:i qty:i",
@@ -263,8 +295,8 @@ def _(spark, sf_dir):
 
 GRADED = """money AS (
     SELECT run_id, max(peak - eq) / 1e6 AS drawdown FROM (SELECT *, greatest(0, max(eq) OVER w) AS peak FROM (
-        SELECT instrument_id AS run_id, ts, order_id, fill_no, sum(net_pnl) OVER (PARTITION BY instrument_id ORDER BY ts, order_id, fill_no ROWS UNBOUNDED PRECEDING) AS eq FROM executions)
-        WINDOW w AS (PARTITION BY run_id ORDER BY ts, order_id, fill_no ROWS UNBOUNDED PRECEDING)) GROUP BY run_id
+        SELECT instrument_id AS run_id, ts, order_id, fill_no, sum(net_pnl) OVER (PARTITION BY instrument_id ORDER BY ts, order_id, fill_no, net_pnl ROWS UNBOUNDED PRECEDING) AS eq, net_pnl FROM executions)
+        WINDOW w AS (PARTITION BY run_id ORDER BY ts, order_id, fill_no, net_pnl ROWS UNBOUNDED PRECEDING)) GROUP BY run_id
 ), folded AS (
     SELECT run_id, count(*) AS folds, sum(k) AS trades, min(k) AS least_trades, avg(CASE WHEN r > 0 THEN 1.0::DOUBLE ELSE 0.0 END) AS positive_folds,
            least(1, avg(CASE WHEN r > 0 THEN 1.0::DOUBLE ELSE 0.0 END) / (1 + stddev_pop(r) / greatest(abs(avg(r)), 0.02))) AS consistency
@@ -287,7 +319,7 @@ POLICY = scoring.Policy(folds=3, trades=20, trades_per_fold=4, positive_folds=0.
 def graded(spark, sf_dir):
     """Runs with everything that a policy looks at."""
     r, e = runs(spark, sf_dir), market.executions(spark, sf_dir)
-    dd = ledger.drawdown(e, ["instrument_id"], ["ts", "order_id", "fill_no"]).select(c("instrument_id").alias("run_id"), (c("max_drawdown") / 1e6).alias("drawdown"))
+    dd = ledger.drawdown(e, ["instrument_id"], ["ts", "order_id", "fill_no", "net_pnl"]).select(c("instrument_id").alias("run_id"), (c("max_drawdown") / 1e6).alias("drawdown"))
     steady = scoring.parameter_stability(r, "run_id", "strategy", ["p1", "p2"], "ret").select("run_id", "stability")
     won = scoring.linear_score(c("win"), 0.3, 0.7)
     r = r.join(scoring.fold_summary(e, "instrument_id", F.year("ts"), 1e6), "run_id").join(dd, "run_id").join(steady, "run_id")
