@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -25,6 +25,14 @@ def register_indicator(name: str, fn: Callable[[WindowSpec], dict[str, Column]])
     REGISTRY[name] = fn
 
 
+def apply_registered(df: DataFrame, w: WindowSpec, names: list[str]) -> DataFrame:
+    """df with the columns of registered indicators; an unknown name raises KeyError."""
+    made: dict[str, Column] = {}
+    for name in names:
+        made |= REGISTRY[name](w)
+    return df.withColumns(made)
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b, null where b is 0."""
     return F.when(b != 0, a / b)

@@ -435,3 +435,17 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     ok = F.col("volume").bitwiseAND(1) == 1
     return masked(base(spark, sf_dir), ["instrument_id"], "ts", ok, lambda d: d.withColumn("masked_sma_3", rolling(F.avg, c(), W(), 3)), "masked_sma_3", "hold")
+
+
+@query(
+    "ind_registered",
+    f"{KEYS} balance_of_power_14:d range_rank_20:i",
+    f"SELECT *, {agg('avg', div('close - open', 'high - low'), 14)} AS balance_of_power_14, CASE WHEN count(hl_range) {o(20)} = 20 THEN list_sum(list_transform(list(hl_range) {o(20)}, lambda v: CASE WHEN v < hl_range THEN 1 ELSE 0 END)) END AS range_rank_20 FROM base",
+    CTE,
+)
+def _(spark, sf_dir):
+    """Indicators of a user's own, found by name."""
+    own = lambda v: F.when(v < c("hl_range"), 1).otherwise(0)
+    I.register_indicator("balance_of_power", lambda w: {"balance_of_power_14": I.sma(w, 14, I.ratio(c() - c("open"), c("high") - c("low")))})
+    I.register_indicator("range_rank", lambda w: {"range_rank_20": full(F.aggregate(F.transform(F.collect_list("hl_range").over(rows(w, 20)), own), F.lit(0), lambda a, b: a + b), c("hl_range"), w, 20)})
+    return I.apply_registered(base(spark, sf_dir), W(), ["balance_of_power", "range_rank"])

@@ -215,6 +215,12 @@ def _(spark, sf_dir):
     return io.json_lines(table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))
 
 
+@query("page_options", "layer column_name value", "SELECT 'events' AS layer, 'event_type' AS column_name, event_type AS value FROM events GROUP BY 3 UNION ALL SELECT 'orders', 'o_orderstatus', o_orderstatus FROM orders GROUP BY 3 UNION ALL SELECT 'orders', 'o_orderpriority', o_orderpriority FROM orders GROUP BY 3", "")
+def _(spark, sf_dir):
+    """What each layer's page can be filtered by."""
+    return io.options({"events": table(spark, sf_dir, "events"), "orders": table(spark, sf_dir, "orders")}, {"events": ["event_type"], "orders": ["o_orderstatus", "o_orderpriority"]})
+
+
 @query("page_top_n", "event_id:i value:d", "SELECT event_id, value FROM events WHERE event_type <> 'view' ORDER BY event_id DESC LIMIT 50", "")
 def _(spark, sf_dir):
     return io.page(table(spark, sf_dir, "events"), "event_id", True, 50, [("event_type", "!=", "view")])
@@ -230,6 +236,14 @@ def _(spark, sf_dir):
     return cast_to_contract(table(spark, sf_dir, "events"), {"event_id": "bigint", "value": "double", "props": "json", "missing": "double"})
 
 
+@query("proj_first_column", "event_id:i amount:d flag", "SELECT event_id, value AS amount, false AS flag FROM events", "")
+def _(spark, sf_dir):
+    from barloom.schemas import first_of
+
+    df = table(spark, sf_dir, "events")
+    return df.select("event_id", first_of(df, ["amount", "value", "price"], "double").alias("amount"), F.coalesce(first_of(df, ["is_test", "test"], "boolean"), F.lit(False)).alias("flag"))
+
+
 @query("proj_json_fallback", "event_id:i k", "SELECT event_id, coalesce(NULL, json_extract_string(props, '$.missing'), json_extract_string(props, '$.k')) AS k FROM events", "")
 def _(spark, sf_dir):
     from barloom.schemas import column_or_json

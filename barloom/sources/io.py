@@ -168,3 +168,9 @@ def page(df: DataFrame, order_by: str, descending: bool = True, limit: int = 100
     own = df.where(dnf(filters)) if filters else df
     key = F.col(order_by).desc_nulls_last() if descending else F.col(order_by).asc_nulls_last()
     return own.orderBy(key).limit(min(max(limit, 1), 500))
+
+
+def options(layers: dict[str, DataFrame], columns: dict[str, list[str]]) -> DataFrame:
+    """layer, column_name, value: the distinct values of the columns that each layer's page can be filtered by, as text."""
+    parts = [df.select(F.lit(name).alias("layer"), F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns[name]))).alias("o")) for name, df in layers.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts).select("layer", "o.*").where("value IS NOT NULL").distinct()
