@@ -200,14 +200,14 @@ def _mtf_sql() -> str:
     market.CTE + "".join(base_of(m) for m in features.MINUTES.values()) + "".join(f", trend_{a} AS {trend_sql(features.MINUTES[a])}" for a in ("1h", "4h", "1d")),
 )
 def _(spark, sf_dir):
-    """Of each coarser frame the last bar that is closed when the finer one closes."""
-    trends = {a: trend_columns(frame(spark, sf_dir, features.MINUTES[a])).withColumnRenamed("close_ts", "source_close") for a in ("1h", "4h", "1d")}
+    """Of each coarser frame the last bar that is closed when the finer one closes: one as-of join for each coarser frame."""
     out = None
     for target in ("15m", "1h", "4h"):
-        own = frame(spark, sf_dir, features.MINUTES[target]).select("instrument_id", "ts", "close_ts")
-        for a in (a for a, b in features.MTF if b == target):
-            right = trends[a].select("instrument_id", "source_close", *(F.col(k).alias(f"mtf_{a}_to_{target}_{k}") for k in features.MTF_COLUMNS))
-            own = joins.asof(own, right, ["instrument_id"], "close_ts", "source_close", [f"mtf_{a}_to_{target}_{k}" for k in features.MTF_COLUMNS], bucket=lambda t: F.date_trunc("day", t)).drop("matched_source_close")
-        part = own.select(F.lit(target).alias("timeframe"), "instrument_id", "ts", *(F.col(k) if k in own.columns else F.lit(None).cast("double").alias(k) for k in MTF_OUT))
-        out = part if out is None else out.unionByName(part)
-    return out
+        own = frame(spark, sf_dir, features.MINUTES[target]).select(F.lit(target).alias("timeframe"), "instrument_id", "ts", "close_ts")
+        out = own if out is None else out.unionByName(own)
+    for a in ("1h", "4h", "1d"):
+        carried = [f"_{a}_{k}" for k in features.MTF_COLUMNS]
+        source = trend_columns(frame(spark, sf_dir, features.MINUTES[a]))
+        right = source.select("instrument_id", F.col("close_ts").alias("source_close"), *(F.col(k).alias(n) for k, n in zip(features.MTF_COLUMNS, carried, strict=True)))
+        out = joins.asof(out, right, ["instrument_id"], "close_ts", "source_close", carried, bucket=lambda t: F.date_trunc("day", t)).drop("matched_source_close")
+    return out.select("timeframe", "instrument_id", "ts", *(F.when(F.col("timeframe") == b, F.col(f"_{a}_{k}")).alias(f"mtf_{a}_to_{b}_{k}") for a, b in features.MTF for k in features.MTF_COLUMNS))
