@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from math import nan
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -57,27 +61,37 @@ def position_size(cash: Column, risk: Column, price: Column, stop: Column, tick:
 def folded_positions(fills: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """position and average_price after each fill: same direction averages, a partial close keeps it, a flip takes the fill's price.
 
-    An account's fills are folded in order in one task. Without a position the average is 0.
+    An account's fills are folded in order in one task, missing values of the order last; a task folds account after account as they
+    come, a batch at a time. Without a position the average is 0. After a fill without quantity the position is unknown.
     """
     ship_package(fills.sparkSession)
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fills.schema) + ", position double, average_price double"
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        q, avg, qs, avgs = 0.0, 0.0, [], []
-        for d, p in zip(pdf["qty"].to_numpy(), pdf["price"].to_numpy(), strict=True):
-            if q * d >= 0:
-                avg = (abs(q) * avg + abs(d) * p) / (abs(q) + abs(d)) if q + d else 0.0
-            elif abs(d) > abs(q):
-                avg = p
-            elif abs(d) == abs(q):
-                avg = 0.0
-            q += d
-            qs.append(q)
-            avgs.append(avg)
-        return pdf.assign(position=qs, average_price=avgs)
-
-    return fills.groupBy(*keys).applyInPandas(fold, types)
+    w = Window.partitionBy(*keys).orderBy(*(F.col(k).asc_nulls_last() for k in order))
+    columns = fills.columns
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q, avg = 0.0, 0.0
+        for batch in batches:
+            starts, qty, price = (batch.column(k).cast(t).to_pylist() for k, t in (("_starts", pa.bool_()), ("qty", pa.float64()), ("price", pa.float64())))
+            qs, avgs = [], []
+            for start, d, p in zip(starts, qty, price, strict=True):
+                d, p = nan if d is None else d, nan if p is None else p
+                if start:
+                    q, avg = 0.0, p if d else 0.0
+                elif q * d >= 0:
+                    avg = (abs(q) * avg + abs(d) * p) / (abs(q) + abs(d)) if q + d else 0.0
+                elif abs(d) > abs(q):
+                    avg = p
+                elif abs(d) == abs(q):
+                    avg = 0.0
+                q += d
+                qs.append(q)
+                avgs.append(avg)
+            made = [pa.array(x, pa.float64(), from_pandas=True) for x in (qs, avgs)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in columns), *made], names=[*columns, "position", "average_price"])
+
+    # the window deals accounts to tasks and puts their fills in order
+    return fills.withColumn("_starts", F.row_number().over(w) == 1).mapInArrow(fold, types)
 
 
 def simulate_long(bars: DataFrame, keys: list[str], stop_distance: str = "atr", stop_multiple: float = 2.0) -> DataFrame:

@@ -439,7 +439,8 @@ def _(spark, sf_dir):
                 WHEN abs(s.qty) > abs(p.q) THEN s.price WHEN abs(s.qty) = abs(p.q) THEN 0 ELSE p.avg END FROM p JOIN s ON s.order_id = p.order_id AND s.rn = p.rn + 1) SELECT * FROM p)""",
 )
 def _(spark, sf_dir):
-    return ledger.folded_positions(market.executions(spark, sf_dir), ["order_id"], ["ts", "fill_no", "price", "qty"])
+    fills = market.executions(spark, sf_dir).select("order_id", "fill_no", "ts", "price", "qty")
+    return ledger.folded_positions(fills, ["order_id"], ["ts", "fill_no", "price", "qty"])
 
 
 RULES = [("view", "1990-01-01", "2024-01-15", "USD", 0.5, 10, 0.2), ("view", "2024-01-16", "2099-01-01", "USD", 0.5, 10, 0.3), ("click", "1990-01-01", "2099-01-01", "RUB", 0.5, 10, 7.0), ("purchase", "1990-01-01", "2099-01-01", "RUB", 1.0, 10, 3.0)]

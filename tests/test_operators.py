@@ -117,6 +117,21 @@ def test_positions_average_keep_and_flip(spark):
     assert got == [(2.0, 10.0), (4.0, 15.0), (3.0, 15.0), (-2.0, 30.0), (0.0, 0.0)]
 
 
+def test_positions_of_many_accounts_and_missing_values(spark, monkeypatch):
+    monkeypatch.setattr("pyspark.sql.GroupedData.applyInPandas", None)  # a frame for each account takes milliseconds each
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # accounts run over batches
+    try:
+        many = spark.range(4000).selectExpr("id % 400 AS k", "id AS t", "1.0D AS qty", "CAST(id DIV 400 AS DOUBLE) AS price")
+        got = ledger.folded_positions(many, ["k"], ["t"]).where("position <> t DIV 400 + 1 OR abs(average_price - (t DIV 400) / 2) > 1e-9 OR average_price IS NULL")
+        assert got.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    odd = [(None, 1, 2.0, 10.0), (None, 2, 2.0, 20.0), ("a", None, 3.0, 5.0), ("a", 1, 1.0, 1.0), ("b", 1, None, 7.0), ("b", 2, 1.0, 8.0)]
+    made = ledger.folded_positions(spark.createDataFrame(odd, "k string, t int, qty double, price double"), ["k"], ["t"])
+    got = {(r["k"], r["t"]): (r["position"], r["average_price"]) for r in made.collect()}
+    assert got == {(None, 1): (2.0, 10.0), (None, 2): (4.0, 15.0), ("a", 1): (1.0, 1.0), ("a", None): (4.0, 4.0), ("b", 1): (None, 7.0), ("b", 2): (None, 7.0)}
+
+
 def test_edges_are_delayed(spark):
     df = spark.createDataFrame([("a", i, s) for i, s in enumerate([False, True, True, False, False])], "k string, t int, state boolean")
     got = signals.edges(df, "state", Window.partitionBy("k").orderBy("t"), 1).orderBy("t").collect()
